@@ -3,29 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 # Columns each stage may rely on. Types are the ones the stages produce.
 SESSION_KEYS = ["session_id", "did", "country", "source"]
 MODEL_KEYS = ["model_date", "model_type", "is_main_model"]
 
-SCHEMAS: dict[str, T.StructType] = {
-    "panel": T.StructType.fromDDL(
-        "country int, source string, did string, model string, cv string, osv string, v string, "
-        "local_ts timestamp, utc_ts timestamp, local_ts_ms bigint, host string, ua string"
-    ),
-    "learning_set": T.StructType.fromDDL("app string, host string, hits bigint, is_lab boolean"),
-    "cnb_params": T.StructType.fromDDL(
-        "app string, host string, cond_p double, host_importance double, inv_freq double, "
-        "is_unique boolean, hits bigint, is_lab boolean"
-    ),
-    "priors": T.StructType.fromDDL("app string, country int, p_prior double"),
-    "source_estimation": T.StructType.fromDDL(
-        "country int, app string, source string, model_date date, model_type string, "
-        "is_main_model boolean, p double, n bigint, reliability double"
-    ),
-    "estimation": T.StructType.fromDDL("country int, app string, p double, n bigint, reliability double"),
-    "edges": T.StructType.fromDDL("host string, target string, correlation double"),
+SCHEMAS: dict[str, dict[str, str]] = {
+    "panel": {
+        "country": "int", "source": "string", "did": "string", "model": "string", "cv": "string", "osv": "string",
+        "v": "string", "local_ts": "timestamp", "utc_ts": "timestamp", "local_ts_ms": "bigint", "host": "string",
+        "ua": "string",
+    },
+    "learning_set": {"app": "string", "host": "string", "hits": "bigint", "is_lab": "boolean"},
+    "cnb_params": {
+        "app": "string", "host": "string", "cond_p": "double", "host_importance": "double", "inv_freq": "double",
+        "is_unique": "boolean", "hits": "bigint", "is_lab": "boolean",
+    },
+    "priors": {"app": "string", "country": "int", "p_prior": "double"},
+    "source_estimation": {
+        "country": "int", "app": "string", "source": "string", "model_date": "date", "model_type": "string",
+        "is_main_model": "boolean", "p": "double", "n": "bigint", "reliability": "double",
+    },
+    "estimation": {"country": "int", "app": "string", "p": "double", "n": "bigint", "reliability": "double"},
+    "edges": {"host": "string", "target": "string", "correlation": "double"},
 }
 
 # Evidence list carried by trend-applied estimates.
@@ -44,7 +44,7 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Project and cast ``df`` to the declared schema of a dataset."""
-    schema = SCHEMAS[name]
-    require(df, *schema.fieldNames())
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Project and cast ``df`` to the declared columns of a dataset."""
+    columns = SCHEMAS[name]
+    require(df, *columns)
+    return df.select(*[df[c].cast(kind).alias(c) for c, kind in columns.items()])

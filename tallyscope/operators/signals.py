@@ -71,7 +71,7 @@ def select_apps(lists: list[DataFrame], pinned: list[str], vip: DataFrame) -> Da
 
 
 def join_signals(signals: dict[str, DataFrame]) -> DataFrame:
-    """Daily signals side by side; each input has date, country, app and the column it is named after.
+    """Daily signals side by side; each input has one row per date, country and app, and the column it is named after.
 
     Stacking the signals and taking the one value per key is a full outer join of all of them with a single shuffle.
     """
