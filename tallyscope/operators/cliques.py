@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tallyscope.contracts import require
 from tallyscope.functions.exprs import ratio
-from tallyscope.functions.skew import join_spread
 from tallyscope.functions.urls import domain_label, url_host, with_domain
 from tallyscope.operators.assoc import correlate, phi
 from tallyscope.operators.sessions import sessionize
@@ -254,7 +253,7 @@ def clique_jaccard(flat: DataFrame, bundles: DataFrame, on: str, source: str) ->
     theirs = bundles.select("bundle_id", on).filter(F.col(on).isNotNull()).distinct()
     x = mine.groupBy("clique_id").agg(F.count(F.lit(1)).alias("_x"))
     y = theirs.groupBy("bundle_id").agg(F.count(F.lit(1)).alias("_y"))
-    xy = join_spread(mine, theirs, on, spread_by=["clique_id"]).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("_xy"))
+    xy = mine.join(theirs, on).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("_xy"))
     return (
         xy.join(x, "clique_id")
         .join(y, "bundle_id")
@@ -272,7 +271,7 @@ def clique_max_correlation(flat: DataFrame, bundles: DataFrame) -> DataFrame:
     best = bundles.groupBy("bundle_id", "host").agg(F.max("correlation").alias("correlation"))
     hosts = flat.select("clique_id", "host").distinct()
     return (
-        join_spread(hosts, best, "host", spread_by=["clique_id"])
+        hosts.join(best, "host")
         .groupBy(*PAIR)
         .agg(F.max("correlation").alias("max_corr"))
     )
@@ -381,7 +380,7 @@ def match_sessions(panel: DataFrame, scored: DataFrame, min_share: float = 0.6)
     )
     seen = panel.groupBy("country", "did", "session_id", "host").agg(F.min("ts").alias("ts"))
     touched = (
-        join_spread(seen.select("session_id", "host").distinct(), cliques, "host", spread_by=["session_id"])
+        seen.select("session_id", "host").distinct().join(cliques, "host")
         .groupBy("session_id", "clique_id", "n_hosts")
         .agg(F.count_distinct("host").alias("_met"))
         .filter(ratio("_met", "n_hosts") >= min_share)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyscope.contracts import require
 from tallyscope.functions.exprs import ratio
-from tallyscope.functions.skew import join_spread
 
 MIN_SHARE = 0.001
 TYPICAL_APPS = 4
@@ -41,7 +40,7 @@ def session_pairs(sessions: DataFrame, params: DataFrame) -> DataFrame:
     """Distinct (session, app, host) with the host's portions and the mean event time of the session."""
     hosts = sessions.groupBy(*SESSION, "host").agg(F.count(F.lit(1)).alias("_events"), F.sum("ts").alias("_ts"))
     known = params.select("host", "app", "total_host_portion", "host_portion_per_bundle")
-    pairs = join_spread(hosts, known, "host", spread_by=SESSION)
+    pairs = hosts.join(known, "host")
     times = pairs.groupBy(*SESSION).agg(ratio(F.sum("_ts"), F.sum("_events")).alias("avg_session"))
     return pairs.drop("_events", "_ts").join(times, SESSION)
 

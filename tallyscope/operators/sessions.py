@@ -115,8 +115,9 @@ def sessionize_capped(
 ) -> DataFrame:
     """Sessions split at long gaps, then cut further at the widest gaps of the key until they are short enough.
 
-    Gaps longer than ``req_diff_ms`` separate groups. A group lasting d ms asks for int(d / session_len_ms) more cuts
-    and gets one before each of its rows whose gap ranks that high among all inner gaps of the key.
+    Gaps longer than ``req_diff_ms`` separate groups. A group lasting d ms asks for c = int(d / session_len_ms) more
+    cuts and gets one before each of its rows whose gap is among the c widest inner gaps of the whole key, that is
+    where the gap is at least the c-th widest. So each group needs a single threshold, not a rank for every row.
 
     The work is done on ticks, the distinct times of a key with their number of rows, so the panel itself is only
     shuffled for the final join. Rows sharing a tick have gap 0 and rank behind every positive gap.
@@ -124,40 +125,39 @@ def sessionize_capped(
     keys = keys or CAP_KEYS
     require(panel, *keys, ts)
     rows = scan.with_slice(panel.withColumn("_key", key_text(*keys)), ts, slice_ms)
-    ticks = rows.groupBy("_key", "_slice", ts).agg(F.count(F.lit(1)).alias("_rows"))
-    ticks = scan.previous(ticks, "_key", ts, "_previous")
-    ticks = ticks.withColumn("_gap", F.col(ts) - F.col("_previous")).drop("_previous")
-    opens = F.col("_gap").isNull() | (F.col("_gap") > req_diff_ms)
-    ticks = ticks.withColumn("_opens", opens.cast("int"))
-    ticks = scan.running(ticks, "_key", ts, F.col("_opens"), "_group")
+    ticks = scan.number_runs(scan.ticks_of(rows, ts), ts, req_diff_ms)
 
     whole_key = Window.partitionBy("_key")
     groups = (
-        ticks.groupBy("_key", "_group")
+        ticks.groupBy("_key", "_run")
         .agg(
             F.floor((F.max(ts) - F.min(ts)) / F.lit(session_len_ms)).alias("_cuts"),
-            F.sum(F.lit(1) - F.col("_opens")).alias("_inner"),
+            (F.count(F.lit(1)) - F.sum("_opens")).alias("_inner"),
         )
         .withColumn("_most_cuts", F.max("_cuts").over(whole_key))
         .withColumn("_inner_gaps", F.sum("_inner").over(whole_key))
-        .drop("_inner")
+        .filter(F.col("_cuts") > 0)
     )
-    ticks = ticks.join(groups, ["_key", "_group"])
-
-    # Only gaps among the first `_most_cuts` of their slice can rank that high in the key.
-    by_gap = F.col("_gap").desc()
-    widest = (
-        ticks.filter((F.col("_opens") == 0) & (F.col("_most_cuts") > 0))
-        .withColumn("_in_slice", F.rank().over(Window.partitionBy("_key", "_slice").orderBy(by_gap)))
-        .filter(F.col("_in_slice") <= F.col("_most_cuts"))
-        .withColumn("_rank", F.rank().over(Window.partitionBy("_key").orderBy(by_gap)))
-        .filter(F.col("_rank") <= F.col("_cuts"))
-        .select("_key", "_slice", ts, F.lit(1).alias("_cut"))
+    # The c-th widest gap of a key is among the c widest of its slice, so each slice keeps only that many.
+    widest_first = F.col("_gap").desc()
+    wanted = groups.select("_key", "_most_cuts").distinct()
+    thresholds = (
+        ticks.filter(F.col("_opens") == 0)
+        .join(wanted, "_key")
+        .withColumn("_at", F.row_number().over(Window.partitionBy("_key", "_slice").orderBy(widest_first)))
+        .filter(F.col("_at") <= F.col("_most_cuts"))
+        .withColumn("_cuts", F.row_number().over(Window.partitionBy("_key").orderBy(widest_first)).cast("bigint"))
+        .filter(F.col("_cuts") <= F.col("_most_cuts"))
+        .select("_key", "_cuts", F.col("_gap").alias("_threshold"))
     )
-    ticks = ticks.join(widest, ["_key", "_slice", ts], "left")
-    same_tick_cuts = F.when(F.col("_inner_gaps") + 1 <= F.col("_cuts"), F.col("_rows") - 1).otherwise(F.lit(0))
-    steps = F.greatest("_opens", F.coalesce("_cut", F.lit(0))) + same_tick_cuts
-    numbered = scan.running(ticks, "_key", ts, steps, "_session").select("_key", "_slice", ts, "_session")
+    limits = groups.join(thresholds, ["_key", "_cuts"], "left").select(
+        "_key", "_run", "_cuts", "_inner_gaps", F.coalesce("_threshold", F.lit(0)).alias("_threshold")
+    )
+    cut = F.when((F.col("_opens") == 1) | (F.col("_gap") >= F.col("_threshold")), 1).otherwise(0)
+    # With more cuts than inner gaps, rows sharing a tick are cut as well, which moves the numbering on.
+    shared = F.when(F.col("_cuts") > F.col("_inner_gaps"), F.col("_rows") - 1).otherwise(0)
+    marked = ticks.join(limits, ["_key", "_run"], "left").select("_key", "_slice", ts, (cut + shared).alias("_steps"))
+    numbered = scan.running_sum(marked, ts, F.col("_steps"), "_session").drop("_steps")
     return (
         rows.join(numbered, ["_key", "_slice", ts])
         .withColumn("session_id", F.md5(F.concat_ws("\x1f", F.col("_session").cast("string"), F.col("_key"))))
@@ -170,16 +170,11 @@ def sessionize(
 ) -> DataFrame:
     """Sessions split at gaps above ``gap``; the id is the keys and the position of the session's first event.
 
-    Works on ticks like :func:`sessionize_capped`. The position counts the rows of the key before the session.
+    Works on ticks like :func:`sessionize_capped`.
     """
     require(df, *keys, ts)
     rows = scan.with_slice(df.withColumn("_key", key_text(*keys)), ts, slice_width)
-    ticks = rows.groupBy("_key", "_slice", ts).agg(F.count(F.lit(1)).alias("_rows"))
-    ticks = scan.previous(ticks, "_key", ts, "_previous")
-    ticks = scan.running(ticks, "_key", ts, F.col("_rows"), "_through")
-    opens = F.col("_previous").isNull() | (F.col(ts) - F.col("_previous") > gap)
-    position = F.when(opens, F.col("_through") - F.col("_rows") + 1)
-    ticks = scan.running(ticks, "_key", ts, position, "_first", how="max")
+    ticks = scan.number_runs(scan.ticks_of(rows, ts), ts, gap)
     return (
         rows.join(ticks.select("_key", "_slice", ts, "_first"), ["_key", "_slice", ts])
         .withColumn("session_id", F.concat_ws("-", *keys, "_first"))
