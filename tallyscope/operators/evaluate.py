@@ -28,13 +28,15 @@ def paired_means(truth: DataFrame, estimates: DataFrame, min_truth: float) -> Da
     )
 
 
-def bucketed_accuracy(pairs: DataFrame, extra: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+def bucketed_accuracy(
+    pairs: DataFrame, extra: dict[str, tuple[str, str]] | None = None, by: tuple[str, ...] = ()
+) -> DataFrame:
     """Median error, share of errors below 0.3 and count, per country and size bucket (-1 for all sizes).
 
     ``pairs`` has country, y and yhat. ``extra`` maps more median-error columns to their (truth, estimate) columns.
-    Errors are compared as rows; medians come from grouped quantiles.
+    ``by`` adds grouping columns such as the date. Errors are compared as rows; medians come from grouped quantiles.
     """
-    keys = ["country", "bucket"]
+    keys = [*by, "country", "bucket"]
     sizes = F.array(F.lit(OVERALL), F.floor(F.log10("y")).cast("int"))
     errors = {"mape": ("y", "yhat"), **(extra or {})}
     rows = pairs.withColumn("bucket", F.explode(sizes))

@@ -172,7 +172,9 @@ def closest_signal(truth: str = "ga_active_users", min_dau: float = MIN_DAU) ->
     return F.array_min(F.array_compact(F.array(*options))).getField("at")
 
 
-def train_blend_classifier(train: DataFrame, seed: int = 1, folds: int = 3, depths=(2, 5, 8), num_trees: int = 20):
+def train_blend_classifier(
+    train: DataFrame, seed: int = 1, folds: int = 3, min_truth: float = MIN_TRUTH_TRAIN, depths=(2, 5, 8), num_trees: int = 20
+):
     """Random forest that picks the best signal, tuned by cross-validation on Spark.
 
     Rows need a raw signal, enough truth and a label. Categories unseen in training are skipped, missing numbers are -1.
@@ -197,11 +199,11 @@ def train_blend_classifier(train: DataFrame, seed: int = 1, folds: int = 3, dept
         numFolds=folds,
         seed=seed,
     )
-    return Pipeline(stages=[indexer, assembler, tuned]).fit(training_rows(train))
+    return Pipeline(stages=[indexer, assembler, tuned]).fit(training_rows(train, min_truth))
 
 
-def training_rows(df: DataFrame) -> DataFrame:
-    usable = (F.col("raw_est_active_users") > MIN_DAU) & (F.col("ga_active_users") > MIN_TRUTH_TRAIN)
+def training_rows(df: DataFrame, min_truth: float = MIN_TRUTH_TRAIN) -> DataFrame:
+    usable = (F.col("raw_est_active_users") > MIN_DAU) & (F.col("ga_active_users") > min_truth)
     return ready_features(df).filter(usable & F.col("label").isNotNull())
 
 
@@ -212,7 +214,9 @@ def ready_features(df: DataFrame) -> DataFrame:
     return df.withColumns(numbers).withColumns({c: F.col(c).cast("string") for c in CATEGORICAL_FEATURES})
 
 
-def blend_probabilities(data: DataFrame, train: DataFrame, folds: int = 3, seed: int = 1, **forest) -> DataFrame:
+def blend_probabilities(
+    data: DataFrame, train: DataFrame, folds: int = 3, seed: int = 1, min_truth: float = MIN_TRUTH_TRAIN, **forest
+) -> DataFrame:
     """Class probabilities of the apps with a raw signal; training apps get theirs from a fold that left them out."""
     from pyspark.ml.functions import vector_to_array
 
@@ -223,12 +227,12 @@ def blend_probabilities(data: DataFrame, train: DataFrame, folds: int = 3, seed:
         scored = model.transform(ready_features(rows))
         return scored.select(*KEYS, *[F.coalesce(F.get(p, F.lit(i)), F.lit(0.0)).alias(c) for i, c in enumerate(cols)])
 
-    scored = score(train_blend_classifier(train, seed, folds, **forest), data.filter("raw_est_indicator = 1"))
+    scored = score(train_blend_classifier(train, seed, folds, min_truth, **forest), data.filter("raw_est_indicator = 1"))
     numbered = train.withColumn("_fold", hash_fold(folds, "country", "app"))
     held_out = None
     for fold in range(folds):
-        model = train_blend_classifier(numbered.filter(F.col("_fold") != fold), seed, folds, **forest)
-        part = score(model, training_rows(numbered.filter(F.col("_fold") == fold)))
+        model = train_blend_classifier(numbered.filter(F.col("_fold") != fold), seed, folds, min_truth, **forest)
+        part = score(model, training_rows(numbered.filter(F.col("_fold") == fold), min_truth))
         held_out = part if held_out is None else held_out.unionByName(part)
     own = held_out.select(*KEYS, *[F.col(c).alias(f"_{c}") for c in cols])
     return scored.join(own, KEYS, "left").select(
