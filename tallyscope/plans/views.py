@@ -118,6 +118,10 @@ VIEWS: dict[str, str] = {
         SELECT DISTINCT concat('a', o_orderkey % 50) AS bundle_id, {_host('o_custkey')} AS host,
           CAST(((o_orderkey % 50) * 7 + o_custkey * 3) % 10 AS DOUBLE) / CAST(10 AS DOUBLE) AS correlation
         FROM {{orders}}""",
+    "f_order_panel": f"""
+        SELECT 840 AS country, concat('d', CAST(floor(o_orderkey / 30) AS BIGINT)) AS did,
+          concat('o', CAST(floor(o_orderkey / 3) AS BIGINT)) AS session_id, {_host('o_custkey')} AS host, o_orderkey AS ts
+        FROM {{orders}}""",
     "f_app_pages": f"""
         SELECT concat('a', p_partkey % 50) AS bundle_id, min(p_name) AS app_name, min(p_brand) AS publisher_name,
           concat('https://', {_host('min(p_partkey)')}, '/about') AS publisher_url,
