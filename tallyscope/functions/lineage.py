@@ -1,22 +1,35 @@
-"""Cutting long plans through reliable storage."""
+"""Cutting long plans through tables in shared storage."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from there.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder the session names in ``spark.checkpoint.dir`` (shared storage, so tables outlive lost executors).
 
-    The folder is the one the session names in ``spark.checkpoint.dir`` (shared storage on a cluster, so the data
-    outlives lost executors). Only where none is named, as in local tests, a temporary folder is used.
+    Only where none is named, as in local tests, a temporary folder is used.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
-        if named is None and not context.master.startswith("local"):
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyscope-checkpoint-"))
-    return df.checkpoint(eager=True)
+        named = tempfile.mkdtemp(prefix="tallyscope-checkpoint-")
+        context.setCheckpointDir(named)
+    return named
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table below the checkpoint folder and continue from there.
+
+    Every later use reads the table instead of computing it again. Being parquet, it keeps column pruning, filter
+    pushdown and sizes, by which Spark chooses between broadcast and shuffled joins.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark).rstrip('/')}/tallyscope-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

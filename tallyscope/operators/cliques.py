@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyscope.contracts import require
 from tallyscope.functions.exprs import ratio
+from tallyscope.functions.lineage import cut_lineage
 from tallyscope.functions.urls import domain_label, url_host, with_domain
 from tallyscope.operators.assoc import correlate, phi
 from tallyscope.operators.sessions import sessionize
@@ -145,13 +146,16 @@ def clique_id(members: Column) -> Column:
     return F.md5(F.array_join(members, ""))
 
 
-def maximal_cliques(edges: DataFrame, min_corr: float = 0.3) -> DataFrame:
+def maximal_cliques(
+    edges: DataFrame, min_corr: float = 0.3, cut: Callable[[DataFrame], DataFrame] = cut_lineage
+) -> DataFrame:
     """Maximal cliques of three or more hosts of the graph of edges above ``min_corr``.
 
     Vertices are ordered by degree, then name, and edges point to the later end; then no vertex has more than
     sqrt(2 * edges) later neighbours, hubs included. Every triangle is found once by joining edges. A clique is listed
     by the task of its first vertex, which sees the triangles of that vertex only. What a task lists is maximal among
-    later vertices; a join with the triangles then drops cliques that an earlier vertex extends.
+    later vertices; a join with the triangles then drops cliques that an earlier vertex extends. Triangles and lists are
+    written out, as both are read twice.
     """
     require(edges, "host", "target", "correlation")
     strong = edges.filter((F.col("correlation") > min_corr) & (F.col("host") != F.col("target")))
@@ -166,13 +170,14 @@ def maximal_cliques(edges: DataFrame, min_corr: float = 0.3) -> DataFrame:
         F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("u"),
         F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v"),
     )
-    triangles = (
+    triangles = cut(
         arcs.join(arcs.select(F.col("u").alias("v"), F.col("v").alias("w")), "v")
         .join(arcs.select("u", F.col("v").alias("w")), ["u", "w"], "left_semi")
         .select("u", "v", "w")
     )
     listed = triangles.groupBy("u").applyInPandas(_cliques_of_first, "u string, members array<string>")
-    numbered = listed.select("u", F.array_sort("members").alias("members")).withColumn("_id", clique_id(F.col("members")))
+    listed = cut(listed.select("u", F.array_sort("members").alias("members")))
+    numbered = listed.withColumn("_id", clique_id(F.col("members")))
     # An earlier vertex extends a clique when it forms a triangle with the clique's first vertex and each other member.
     extended = (
         numbered.select("_id", F.col("u").alias("v"), F.size("members").alias("_size"), F.explode("members").alias("w"))

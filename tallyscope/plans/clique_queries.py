@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyscope.functions.exprs import hash_uniform
-from tallyscope.functions.lineage import cut_lineage
 from tallyscope.functions.urls import with_domain
 from tallyscope.operators import cliques
 from tallyscope.plans.base_queries import domain_sql, panel_sessions
@@ -63,7 +62,7 @@ STAGES["v_app_hosts"] = """
 
 
 def app_hosts(d: Data):
-    return cliques.validated_app_hosts(d["f_app_pages"], d["f_suffix"])
+    return d.stage("app_hosts", lambda: cliques.validated_app_hosts(d["f_app_pages"], d["f_suffix"]))
 
 
 @query("validated_app_hosts", "SELECT bundle_id, host, domain FROM v_app_hosts")
@@ -118,7 +117,7 @@ def both_ways(edges):
        WHERE host NOT IN (SELECT host FROM v_hubs) AND target NOT IN (SELECT host FROM v_hubs)""",
 )
 def _(d):
-    return cliques.remove_hubs(both_ways(d["f_edges"]), d["f_suffix"], 14)
+    return cliques.remove_hubs(both_ways(edges(d)), d["f_suffix"], 14)
 
 
 # Cliques level by level: every clique grows by one later vertex at a time; maximal ones have no common neighbour.
@@ -138,8 +137,12 @@ STAGES["v_cliques"] = """
     SELECT m AS clique, md5(array_to_string(m, '')) AS clique_id FROM c WHERE m NOT IN (SELECT m FROM e)"""
 
 
+def edges(d: Data):
+    return d.stage("edges", lambda: d["f_edges"])
+
+
 def found_cliques(d: Data):
-    return cliques.maximal_cliques(d["f_edges"], MIN_EDGE)
+    return d.stage("cliques", lambda: cliques.maximal_cliques(edges(d), MIN_EDGE))
 
 
 def flat(df):
@@ -164,7 +167,10 @@ STAGES["v_all_cliques"] = f"""
 
 
 def all_cliques(d: Data):
-    return cliques.complete_cliques(found_cliques(d), d["f_edges"], d["f_lab_corr"], MIN_PAIR, MIN_SINGLE)
+    return d.stage(
+        "all_cliques",
+        lambda: cliques.complete_cliques(found_cliques(d), edges(d), d["f_lab_corr"], MIN_PAIR, MIN_SINGLE),
+    )
 
 
 @query("clique_completion", "SELECT array_to_string(clique, ',') AS clique, clique_id FROM v_all_cliques")
@@ -182,7 +188,7 @@ STAGES["v_flat"] = "SELECT clique_id, host, domain FROM v_clique_hosts JOIN v_cl
 
 
 def lab_hosts(d: Data):
-    return with_domain(d["f_lab_corr"].filter(F.col("correlation") > 0.5), d["f_suffix"])
+    return d.stage("lab_hosts", lambda: with_domain(d["f_lab_corr"].filter(F.col("correlation") > 0.5), d["f_suffix"]))
 
 
 def jaccard_sql(bundles: str, on: str, source: str) -> str:
@@ -257,7 +263,10 @@ STAGES["v_candidates"] = f"""
 
 
 def candidates(d: Data):
-    return cliques.clique_candidates(all_cliques(d), app_hosts(d), lab_hosts(d), d["f_app_pages"], d["f_suffix"])
+    return d.stage(
+        "candidates",
+        lambda: cliques.clique_candidates(all_cliques(d), app_hosts(d), lab_hosts(d), d["f_app_pages"], d["f_suffix"]),
+    )
 
 
 @query(
@@ -296,7 +305,7 @@ def _(d):
 @query("clique_model_ml")
 def _(d):
     # Trained on a label every engine can compute: whether the pair shares more than a trace of its domains.
-    rows = cut_lineage(candidates(d))
+    rows = candidates(d)
     labelled = rows.withColumn("label", (F.col("panel_domains_score") > 0.02).cast("double"))
     model = cliques.train_clique_model(labelled, num_trees=10, max_depth=3)
     return cliques.predict_candidates(rows, model).select("clique_id", "bundle_id", "predict")
@@ -313,5 +322,6 @@ def _(d):
        FROM s JOIN t ON t.session_id = s.session_id JOIN v_clique_scores USING (clique_id)""",
 )
 def _(d):
-    matched = cliques.match_sessions(d["f_order_panel"], scored_cliques(d), 0.6)
+    scored = d.stage("scored_cliques", lambda: scored_cliques(d))
+    matched = cliques.match_sessions(d["f_order_panel"], scored, 0.6)
     return matched.withColumn("hosts", F.array_join(F.array_sort("hosts"), ","))

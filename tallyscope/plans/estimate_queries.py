@@ -75,7 +75,7 @@ STAGES["v_share"] = """
 
 
 def share_estimates(d: Data):
-    return share.share_reach(d["f_second_platform"], d["f_population"], ratios(d))
+    return d.stage("share", lambda: share.share_reach(d["f_second_platform"], d["f_population"], ratios(d)))
 
 
 @query("share_reach", "SELECT date, country, app, round(ratio, 6) AS ratio, round(p, 6) AS p FROM v_share")
@@ -285,7 +285,7 @@ STAGES["v_applied27"] = step_sql("2024-01-27", "v_known26")
 
 
 def applied(d: Data):
-    trends = union_all(
+    trends = lambda: union_all(
         trend.merge_source_trends(trends_of(d, day, back[0], back[-1], back, [",".join(back)])).withColumn(
             "date", F.lit(day).cast("date")
         )
@@ -293,7 +293,7 @@ def applied(d: Data):
     )
     raw = daily_estimates(d)
     seeds = between_dates(raw, "2024-01-22", "2024-01-24").withColumn("eff_p", F.col("p"))
-    return trend.apply_trends(trends, raw, seeds, list(CHAIN))
+    return d.stage("applied", lambda: trend.apply_trends(d.stage("chain", trends), raw, seeds, list(CHAIN)))
 
 
 @query(
@@ -390,14 +390,15 @@ def raw_estimates(d: Data):
 
 
 def field_estimates(d: Data):
-    return labelled.field_reach(learning_log(d))
+    return d.stage("field", lambda: labelled.field_reach(learning_log(d)))
 
 
 def adjustments(d: Data):
+    truth = d["f_truth"]
     return (
-        scale.median_scale(raw_estimates(d), d["f_truth"], "p", min_users=0.05, min_truth=MIN_TRUTH),
-        scale.median_scale(share_estimates(d), d["f_truth"], "p", min_truth=MIN_TRUTH),
-        scale.median_scale(field_estimates(d), d["f_truth"], "p", min_truth=MIN_TRUTH, by_date=False),
+        d.stage("adj1", lambda: scale.median_scale(raw_estimates(d), truth, "p", min_users=0.05, min_truth=MIN_TRUTH)),
+        d.stage("adj2", lambda: scale.median_scale(share_estimates(d), truth, "p", min_truth=MIN_TRUTH)),
+        d.stage("adj3", lambda: scale.median_scale(field_estimates(d), truth, "p", min_truth=MIN_TRUTH, by_date=False)),
     )
 
 
@@ -455,10 +456,13 @@ def _(d):
 def signals(d: Data):
     raw, shares, field = scaled_signals(d)
     n_days = scale.count_days(between_dates(daily_estimates(d), DAY, DAY, 27)).scalar()
-    return scale.join_signals(
-        scale.average_signal(raw, "raw_est", n_days, with_days=True),
-        scale.average_signal(shares, "ios_share", n_days),
-        field,
+    return d.stage(
+        "signals",
+        lambda: scale.join_signals(
+            scale.average_signal(raw, "raw_est", n_days, with_days=True),
+            scale.average_signal(shares, "ios_share", n_days),
+            field,
+        ),
     )
 
 
@@ -480,7 +484,10 @@ STAGES["v_train"] = f"""
 
 def training(d: Data):
     raw, shares, field = scaled_signals(d)
-    return scale.join_signals_for_training(between_dates(d["f_truth"], DAY, DAY, 27), raw, shares, field)
+    return d.stage(
+        "training",
+        lambda: scale.join_signals_for_training(between_dates(d["f_truth"], DAY, DAY, 27), raw, shares, field),
+    )
 
 
 @query(
@@ -536,8 +543,12 @@ def _(d):
 
 @query("blend_classifier")
 def _(d):
-    labelled_rows = scale.add_features(training(d), store(d), session_eval(d)).withColumn("label", scale.closest_signal())
-    return scale.blend_probabilities(features(d), labelled_rows, folds=2, min_truth=MIN_TRUTH, depths=(2, 5), num_trees=10)
+    rows = d.stage(
+        "blend_training",
+        lambda: scale.add_features(training(d), store(d), session_eval(d)).withColumn("label", scale.closest_signal()),
+    )
+    data = d.stage("blend_features", lambda: features(d))
+    return scale.blend_probabilities(data, rows, folds=2, min_truth=MIN_TRUTH, depths=(2, 5), num_trees=10)
 
 
 PROBS = {"raw_est_model_p": (3, 10), "ios_share_est_model_p": (5, 20), "mp_est_model_p": (7, 30)}
@@ -632,7 +643,9 @@ def daily_reach(d: Data):
 
 
 def calibration_rows(d: Data):
-    return calibrate.calibration_rows(d["f_truth"], daily_reach(d), MIN_TRUTH, 0.05)
+    return d.stage(
+        "calibration_rows", lambda: calibrate.calibration_rows(d["f_truth"], daily_reach(d), MIN_TRUTH, 0.05)
+    )
 
 
 @query(

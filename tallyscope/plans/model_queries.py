@@ -25,7 +25,7 @@ UNIQUE_P = -1.0
 
 
 def params(d: Data):
-    return cnb.cnb_params(d["f_ls"], min_cond_p=UNIQUE_P)
+    return d.stage("params", lambda: cnb.cnb_params(d["f_ls"], min_cond_p=UNIQUE_P))
 
 
 @query("host_inv_freq", "SELECT host, round(1.0 / count(DISTINCT app), 6) AS inv_freq FROM f_ls GROUP BY host")
@@ -168,7 +168,10 @@ STAGES["v_solved_models"] = """
 
 
 def solved_models(d: Data):
-    return cnb.infer_sessions(counts(d), model_params(d), models=("model_date", "model_type", "is_main_model"))
+    return d.stage(
+        "solved",
+        lambda: cnb.infer_sessions(counts(d), model_params(d), models=("model_date", "model_type", "is_main_model")),
+    )
 
 
 @query(
@@ -307,7 +310,7 @@ STAGES["v_eval"] = """
 
 
 def session_eval(d: Data):
-    return labelled.session_eval(d["f_solved"], labelled_sessions(d))
+    return d.stage("session_eval", lambda: labelled.session_eval(d["f_solved"], labelled_sessions(d)))
 
 
 @query(
@@ -574,7 +577,7 @@ def _(d):
 
 
 def daily_sources(d: Data):
-    return reach.source_estimation(d["f_solved"], by=("date",))
+    return d.stage("sources", lambda: reach.source_estimation(d["f_solved"], by=("date",)))
 
 
 @query(
@@ -627,7 +630,7 @@ STAGES["v_merged"] = """
 
 
 def daily_estimates(d: Data):
-    return reach.merge_newest(daily_sources(d), by=("date",))
+    return d.stage("estimates", lambda: reach.merge_newest(daily_sources(d), by=("date",)))
 
 
 @query(

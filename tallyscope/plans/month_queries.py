@@ -25,7 +25,7 @@ STAGES["v_kept"] = "SELECT * FROM v_month_scores JOIN v_reporting USING (source,
 
 
 def scores(d: Data):
-    return monthly.newest_scores(d["f_solved"])
+    return d.stage("scores", lambda: monthly.newest_scores(d["f_solved"]))
 
 
 def kept(d: Data):

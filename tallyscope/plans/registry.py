@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyscope.functions.exprs import round_doubles
+from tallyscope.functions.lineage import cut_lineage
 from tallyscope.plans import views
 
 
@@ -24,6 +25,12 @@ class Data:
             self._frames[name] = self._table(name) if name in views.TABLES else self._view(name)
         return self._frames[name]
 
+    def stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Result of a stage that several later steps read: written once, as between the jobs of a pipeline."""
+        if name not in self._frames:
+            self._frames[name] = cut_lineage(build())
+        return self._frames[name]
+
     def _table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
