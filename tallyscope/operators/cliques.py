@@ -58,7 +58,9 @@ def validated_app_hosts(app_info: DataFrame, suffixes: DataFrame, min_length: in
     return with_domain(hosts, suffixes).filter(named).select("bundle_id", "host", "domain").distinct()
 
 
-def host_correlation(panel: DataFrame, min_host_count: int, min_corr: float = 0.1) -> DataFrame:
+def host_correlation(
+    panel: DataFrame, min_host_count: int, min_corr: float = 0.1, cut: Callable[[DataFrame], DataFrame] = cut_lineage
+) -> DataFrame:
     """Correlation of hosts over the sessions they share, for hosts in more than ``min_host_count`` sessions.
 
     Sessions with the same hosts are counted together first, so pairs are made once per distinct host set. Correlation
@@ -83,8 +85,9 @@ def host_correlation(panel: DataFrame, min_host_count: int, min_corr: float = 0.
         .groupBy("_size", "_one", "_two")
         .agg(F.min("session_id").alias("session_id"), F.count(F.lit(1)).alias("_times"))
     )
-    total = sets.agg(F.sum("_times").alias("n")).scalar()
-    members = kept.join(sets.select("session_id", "_size", "_times"), "session_id")
+    # One row per host of a distinct set: written out, because counts, both sides of the pairs and N read it.
+    members = cut(kept.join(sets.select("session_id", "_size", "_times"), "session_id"))
+    total = members.select("session_id", "_times").distinct().agg(F.sum("_times").alias("n")).scalar()
     counts = members.groupBy("host").agg(F.sum("_times").alias("_count"))
     # Width of a band in log odds: pairs further apart stay below min_corr.
     width = F.lit(-2.0) * F.log(F.lit(min_corr))

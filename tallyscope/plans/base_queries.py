@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from tallyscope.functions import dates, exprs
+from tallyscope.functions.lineage import checkpoint_folder
 from tallyscope.functions.urls import url_host, with_domain
 from tallyscope.operators import assoc, sessions
 from tallyscope.plans.registry import Data, query
@@ -40,6 +42,15 @@ def _(d):
     return parsed.groupBy("event_type", F.col("p.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("scan_partitioned", "SELECT date, country, app, active_users FROM f_truth WHERE date >= DATE '2024-01-20'")
+def _(d):
+    # Written by date, then read back by folder with the partition column restored.
+    path = f"{checkpoint_folder(d.spark)}/partitioned-{uuid.uuid4().hex}"
+    tables.write_parquet(d["f_truth"], path, partition_by=["date"])
+    late = tables.read_parquet(d.spark, f"{path}/date=2024-01-[23]*", base_path=path)
+    return late.select("date", "country", "app", "active_users")
+
+
 @query(
     "read_between_dates",
     """SELECT date, country, app, active_users FROM f_truth
