@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: list[str] = []
+
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir`` (shared storage, so tables outlive lost executors).
+    """The folder the session names in ``spark.checkpoint.dir``: shared storage, so tables outlive lost executors.
 
-    Only where none is named, as in local tests, a temporary folder is used.
+    Where none is named, a folder in the session's warehouse is used, which a cluster shares, too.
     """
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if named is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        named = tempfile.mkdtemp(prefix="tallyscope-checkpoint-")
-        context.setCheckpointDir(named)
-    return named
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    return named.rstrip("/")
+
+
+def new_folder(spark: SparkSession, kind: str = "stage") -> str:
+    """A path of its own below the checkpoint folder; ``clear_stages`` removes what was written there."""
+    path = f"{checkpoint_folder(spark)}/tallyscope-{kind}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -29,7 +33,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Every later use reads the table instead of computing it again. Being parquet, it keeps column pruning, filter
     pushdown and sizes, by which Spark chooses between broadcast and shuffled joins.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_folder(spark).rstrip('/')}/tallyscope-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_stages(spark: SparkSession) -> int:
+    """Delete every table and folder this process made through this module; call it when all results are consumed."""
+    made, _MADE[:] = list(_MADE), []
+    jvm = spark.sparkContext._jvm
+    for path in made:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(made)
