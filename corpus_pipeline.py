@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyscope.functions.lineage import cut_lineage
-from tallyscope.llm import exact, mixing, quality
+from tallyscope.llm import bagminhash, exact, mixing, pieces, quality
 from tallyscope.llm.common import read
 
 
@@ -20,15 +20,27 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return bagminhash.drop_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in training order, repeated as often as the mix passes over them."""
     return mixing.training_order(docs)
 
 
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every text of the training order."""
+    return pieces.encode(docs)
+
+
 STAGES = [
     ("quality classifier", keep_good),
     ("exact dedup", drop_exact_copies),
+    ("near dedup", drop_near_copies),
     ("mix sources", mix_sources),
+    ("sampled pieces", encode_pieces),
 ]
 
 #: Compression, signatures and sampled segmentations can't be written in SQL; the tests compare with brute force.

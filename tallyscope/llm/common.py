@@ -26,3 +26,15 @@ def spread(key: Column) -> Column:
 
 def read(spark, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def slices(sizes: list[int], most: int):
+    """Cut a list into runs (from, to) of a summed size of at most ``most``; a larger item is a run of its own."""
+    lo, total = 0, 0
+    for k, size in enumerate(sizes):
+        if k > lo and total + size > most:
+            yield lo, k
+            lo, total = k, 0
+        total += size
+    if lo < len(sizes):
+        yield lo, len(sizes)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscope.llm import exact, mixing, quality
+from tallyscope.llm import bagminhash, exact, mixing, pieces, quality
 from tallyscope.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op3_sampled_pieces")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of every document."""
+    return pieces.encode(read(spark, sf_dir, "documents"))
+
+
 @query(
     "op4_exact_dedup",
     r"""
@@ -96,3 +102,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.score_quality(docs, read(spark, sf_dir, "labels").select("doc_id", "quality"))
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query("op10_bagminhash")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return bagminhash.near_duplicates(read(spark, sf_dir, "documents"))
