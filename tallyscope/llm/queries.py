@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscope.llm import bagminhash, exact, mixing, pieces, quality
+from tallyscope.llm import bagminhash, exact, mixing, multi_index, pieces, quality, warc
 from tallyscope.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,31 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_position")
 
 
+@query("op6_multi_index")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every 50th vector."""
+    return multi_index.search(read(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op7_dictionary_warc",
+    """
+    WITH p AS (
+      SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+    ), f AS (
+      SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+      CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+    FROM f
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives say of every page."""
+    return warc.archive_and_read(read(spark, sf_dir, "pages")).drop("url")
+
+
 @query("op8_compression_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability that a document is good, for every document."""
