@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscope.llm import bagminhash, exact, mixing, multi_index, pieces, quality, warc
+from tallyscope.llm import bagminhash, exact, hosts, licences, mixing, multi_index, pieces, quality, warc
 from tallyscope.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,73 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in licences.TEMPLATES.items())
+
+
+@query(
+    "op2_licence_scan",
+    rf"""
+    WITH f AS (
+      SELECT doc_id, coalesce(source, 'none') AS s, coalesce(lang, 'none') AS l, coalesce(text, '') AS text FROM documents
+    ), p AS (
+      SELECT doc_id, text, doc_id % 10 = 0 AS speaks,
+        CASE WHEN doc_id % 100 = 0 THEN s WHEN doc_id % 20 = 0 THEN s || '/' || l ELSE s || '/' || l || '/b' || (doc_id // 500) END AS dir,
+        CASE WHEN doc_id % 10 = 0 THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END AS name
+      FROM f
+    ), templates(licence, text) AS (VALUES {TEMPLATE_ROWS}),
+    tt AS (
+      SELECT licence, term, count(*) AS n FROM (SELECT licence, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM templates) GROUP BY ALL
+    ), df AS (
+      SELECT v.term, count(x.term) AS df
+      FROM (SELECT DISTINCT term FROM tt) v
+      LEFT JOIN (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS term FROM p) x ON v.term = x.term
+      GROUP BY 1
+    ), idf AS (
+      SELECT term, ln((1 + (SELECT count(*) FROM p)) / (1 + df)::DOUBLE) + 1 AS idf FROM df
+    ), tw AS (
+      SELECT licence, term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY licence)) AS weight FROM tt JOIN idf USING (term)
+    ), lines AS (
+      SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS text FROM p
+    ), lt AS (
+      SELECT doc_id, line, term, count(*) * any_value(idf) AS w
+      FROM (SELECT doc_id, line, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM lines) JOIN idf USING (term)
+      GROUP BY ALL
+    ), dots AS (
+      SELECT doc_id, line, licence, sum(w * weight) AS dot FROM lt JOIN tw USING (term) GROUP BY ALL
+    ), norms AS (
+      SELECT doc_id, line, sqrt(sum(w * w)) AS norm FROM lt GROUP BY ALL
+    ), near AS (
+      SELECT doc_id, licence, round(dot / norm, 9) AS score FROM dots JOIN norms USING (doc_id, line) WHERE round(dot / norm, 9) >= 0.8
+    ), own AS (
+      SELECT doc_id, licence, score FROM near QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1
+    ), given AS (
+      SELECT dir, licence FROM own JOIN p USING (doc_id) WHERE speaks
+      QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, dir || '/' || name) = 1
+    ), inherited AS (
+      SELECT d.dir, g.dir AS above, g.licence
+      FROM (SELECT DISTINCT dir FROM p) d JOIN given g ON d.dir = g.dir OR starts_with(d.dir, g.dir || '/')
+      QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(g.dir) DESC) = 1
+    )
+    SELECT p.doc_id, p.dir || '/' || p.name AS path, coalesce(o.licence, i.licence) AS licence, o.score,
+      CASE WHEN o.licence IS NOT NULL THEN 'header' ELSE i.above END AS origin
+    FROM p LEFT JOIN own o ON p.doc_id = o.doc_id LEFT JOIN inherited i ON p.dir = i.dir
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document, the documents being files of a tree by source, language and number."""
+    i = F.col("doc_id")
+    source, lang = (F.coalesce(c, F.lit("none")) for c in ("source", "lang"))
+    folder = (
+        F.when(i % 100 == 0, source)
+        .when(i % 20 == 0, F.concat_ws("/", source, lang))
+        .otherwise(F.concat_ws("/", source, lang, F.concat(F.lit("b"), F.floor(i / 500))))
+    )
+    name = F.when(i % 10 == 0, F.concat(F.lit("LICENSE-"), i)).otherwise(F.concat(i, F.lit(".txt")))
+    files = read(spark, sf_dir, "documents").select(F.concat_ws("/", folder, name).alias("path"), "text")
+    number = F.regexp_extract("path", r"([0-9]+)(\.txt)?$", 1).cast("long")
+    return licences.scan(files).select(number.alias("doc_id"), "path", "licence", "score", "origin")
+
+
 @query("op3_sampled_pieces")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every document."""
@@ -129,6 +196,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+@query("op9_host_trust")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every page may be read."""
+    return hosts.judge(read(spark, sf_dir, "pages"))
+
+
 @query("op10_bagminhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
