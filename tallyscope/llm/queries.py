@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscope.llm import bagminhash, exact, hosts, licences, mixing, multi_index, pieces, quality, warc
+from tallyscope.llm import bagminhash, exact, hosts, licences, lm, mixing, multi_index, pieces, quality, warc
 from tallyscope.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_gru_scores")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the corpus's own language model."""
+    return lm.score_documents(read(spark, sf_dir, "documents"))
+
+
 TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in licences.TEMPLATES.items())
 
 
