@@ -8,26 +8,6 @@ from pyspark.sql import DataFrame
 SESSION_KEYS = ["session_id", "did", "country", "source"]
 MODEL_KEYS = ["model_date", "model_type", "is_main_model"]
 
-SCHEMAS: dict[str, dict[str, str]] = {
-    "panel": {
-        "country": "int", "source": "string", "did": "string", "model": "string", "cv": "string", "osv": "string",
-        "v": "string", "local_ts": "timestamp", "utc_ts": "timestamp", "local_ts_ms": "bigint", "host": "string",
-        "ua": "string",
-    },
-    "learning_set": {"app": "string", "host": "string", "hits": "bigint", "is_lab": "boolean"},
-    "cnb_params": {
-        "app": "string", "host": "string", "cond_p": "double", "host_importance": "double", "inv_freq": "double",
-        "is_unique": "boolean", "hits": "bigint", "is_lab": "boolean",
-    },
-    "priors": {"app": "string", "country": "int", "p_prior": "double"},
-    "source_estimation": {
-        "country": "int", "app": "string", "source": "string", "model_date": "date", "model_type": "string",
-        "is_main_model": "boolean", "p": "double", "n": "bigint", "reliability": "double",
-    },
-    "estimation": {"country": "int", "app": "string", "p": "double", "n": "bigint", "reliability": "double"},
-    "edges": {"host": "string", "target": "string", "correlation": "double"},
-}
-
 # Evidence list carried by trend-applied estimates.
 ANCHORS_TYPE = (
     "array<struct<trend_id:struct<type:string,anchor_dates:string>,"
@@ -41,10 +21,3 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns {missing}; present: {df.columns}")
     return df
-
-
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """Project and cast ``df`` to the declared columns of a dataset."""
-    columns = SCHEMAS[name]
-    require(df, *columns)
-    return df.select(*[df[c].cast(kind).alias(c) for c, kind in columns.items()])

@@ -11,10 +11,16 @@ from tallyscope.functions.exprs import _col
 
 
 def add_date(df: DataFrame, year_n_digits: int = 4) -> DataFrame:
-    """Build ``date`` (text, ISO) from year, month and day columns; short years belong to 2000+."""
+    """Build ``date`` (text, ISO) from year, month and day columns.
+
+    Years of two digits belong to 2000 and after where four are wanted, and years of four lose the century where two are.
+    """
     year = F.col("year").cast("int")
-    gap = F.lit(year_n_digits) - F.length(F.col("year").cast("string"))
-    full = year + gap * F.lit(1000)
+    digits = F.length(F.col("year").cast("string"))
+    if year_n_digits == 4:
+        full = F.when(digits == 2, F.lit(2000) + year).otherwise(year)
+    else:
+        full = F.when(digits == 4, F.pmod(year, F.lit(100))).otherwise(year)
     two = lambda c: F.lpad(F.col(c).cast("string"), 2, "0")
     return df.withColumn("date", F.concat_ws("-", full.cast("string"), two("month"), two("day")))
 

@@ -23,7 +23,7 @@ def grouped_quantiles(
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bin", F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * F.lit(RESOLUTION)))
+        .withColumn("_bin", _bin(F.col("_v")))
     )
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -69,6 +69,13 @@ def grouped_quantiles(
     )
 
 
+def _bin(v: Column) -> Column:
+    """Number of a value's bin, ascending with the value: equal steps of ln |v|, so small values have bins, too."""
+    # |v| is between e**-745 and e**710, so steps above 0 are positive, those of negative values are their mirror.
+    step = F.floor(F.log(F.abs(v)) * F.lit(RESOLUTION)) + F.lit(750 * RESOLUTION)
+    return F.when(v == 0, F.lit(0)).when(v > 0, step).otherwise(-step)
+
+
 def _ranks(n: Column, p: float, discrete: bool) -> tuple[Column, Column, Column]:
     """Zero-based positions below and above a quantile, and the part of the way between them."""
     if discrete:

@@ -23,9 +23,10 @@ def bare_host(host) -> Column:
 def with_domain(df: DataFrame, suffixes: DataFrame, host: str = "host", out: str = "domain") -> DataFrame:
     """Add the registered domain of ``host``: one label, a dot and the longest public suffix.
 
-    ``suffixes`` has one column, ``suffix``. Each distinct host is cut into its possible suffixes, those are
-    joined with the table, and the longest match wins. Without a match the last label stands before an empty
-    suffix; an IPv4 address is its own label.
+    ``suffixes`` has one column, ``suffix``, with rules of three kinds: a suffix; ``*.`` and a suffix, under which every
+    label makes a suffix; ``!`` and a name that such a rule does not make a suffix. Each distinct host is cut into its
+    possible suffixes, those are joined with the rules in all three spellings, and an exception or else the longest match
+    wins. Without a match the last label stands before an empty suffix; an IPv4 address is its own label.
     """
     hosts = df.select(F.col(host)).distinct().select(host, bare_host(host).alias("_name"))
     parts = F.split("_name", r"\.")
@@ -35,10 +36,18 @@ def with_domain(df: DataFrame, suffixes: DataFrame, host: str = "host", out: str
             F.transform(parts, lambda _, i: F.array_join(F.slice(parts, i + 1, F.size(parts) - i), "."))
         ).alias("_at", "suffix"),
     )
+    at, name = F.col("_at"), F.col("suffix")
+    below = F.regexp_replace(name, r"^[^.]*\.", "")
+    spelled = [
+        F.struct(name.alias("rule"), at.alias("from"), F.lit(False).alias("excepts")),
+        F.when(F.locate(".", name) > 0, F.struct(F.concat(F.lit("*."), below).alias("rule"), at.alias("from"), F.lit(False).alias("excepts"))),
+        F.struct(F.concat(F.lit("!"), name).alias("rule"), (at + 1).alias("from"), F.lit(True).alias("excepts")),
+    ]
     longest = (
-        candidates.join(suffixes.select("suffix").distinct(), "suffix")
+        candidates.select(host, F.inline(F.array_compact(F.array(*spelled))))
+        .join(suffixes.select(F.col("suffix").alias("rule")).distinct(), "rule")
         .groupBy(host)
-        .agg(F.min("_at").alias("_at"))
+        .agg(F.coalesce(F.min(F.when(F.col("excepts"), F.col("from"))), F.min("from")).alias("_at"))
     )
     at = F.coalesce(F.col("_at"), F.size(parts))
     label = F.when(at > 0, F.get(parts, at - 1)).otherwise(F.lit(""))

@@ -8,15 +8,6 @@ from pyspark.sql import functions as F
 from tallyscope.contracts import require
 from tallyscope.functions.exprs import ratio
 
-# Apps that collect the data, hosts whose joint appearance marks an untrusted app.
-COLLECTOR_APPS = ("co.ios.BlockSite", "co.ios.BlockSite.BlockSiteVPN", "com.mywot.ios", "com.mywot.ios.WotPacketTunnel")
-CHECK_HOSTS = (
-    "provider-api.health.apple.com",
-    "config-chr.health.apple.com",
-    "weather-data.apple.com",
-    "sequoia.cdn-apple.com",
-)
-
 
 def phi(pxy: Column, px: Column, py: Column) -> Column:
     """Correlation of two presence indicators; NULL when one of them is constant."""
@@ -104,12 +95,15 @@ def lab_learning_set(lab: DataFrame) -> DataFrame:
     )
 
 
-def learning_set(field: DataFrame, lab: DataFrame, remove_vendor: bool = False) -> DataFrame:
-    """Field and lab pairs merged: summed hits, and whether any lab run saw the pair."""
+def learning_set(field: DataFrame, lab: DataFrame, collectors: list[str], remove_vendor: bool = False) -> DataFrame:
+    """Field and lab pairs merged: summed hits, and whether any lab run saw the pair.
+
+    ``collectors`` are the apps that collect the data; they would be seen with every host and are left out.
+    """
     both = field.select("app", "host", "hits", F.lit(False).alias("is_lab")).unionByName(
         lab.select("app", "host", "hits", F.lit(True).alias("is_lab"))
     )
-    kept = both.filter(~F.col("app").isin(*COLLECTOR_APPS))
+    kept = both.filter(~F.col("app").isin(*collectors)) if collectors else both
     if remove_vendor:
         kept = kept.filter(~F.col("host").like("%apple%") & ~F.col("host").like("%icloud%"))
     return kept.groupBy("app", "host").agg(F.sum("hits").alias("hits"), F.max("is_lab").alias("is_lab"))

@@ -10,14 +10,6 @@ from tallyscope.functions.exprs import hash_fold, ratio
 from tallyscope.functions.quantile import grouped_quantiles
 from tallyscope.sources.tables import as_date
 
-# App ids recorded wrongly in the ground truth, with the right ones.
-ALIASES = (
-    ("com.dutchbros.loyalty.ios", "com.loyalty.dutchbros"),
-    ("com.classpass.Classpass", "com.classpass.classpass"),
-    ("com.shakeshack.kioskapp", "com.halickman.ShackHQ"),
-    ("com.flipfit", "com.flipfit.flip"),
-    ("com.aisense.Otter", "com.aisense.otter"),
-)
 MIN_TRUTH = 30_000
 MIN_TRUTH_TRAIN = 15_000
 MIN_DAU = 10
@@ -178,6 +170,7 @@ def train_blend_classifier(
     """Random forest that picks the best signal, tuned by cross-validation on Spark.
 
     Rows need a raw signal, enough truth and a label. Categories unseen in training are skipped, missing numbers are -1.
+    A forest needs as many bins as its largest feature has categories; these are known once the categories are indexed.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
@@ -186,10 +179,12 @@ def train_blend_classifier(
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     indexed = [f"{c}_idx" for c in CATEGORICAL_FEATURES]
-    indexer = StringIndexer(inputCols=CATEGORICAL_FEATURES, outputCols=indexed, handleInvalid="skip")
+    rows = training_rows(train, min_truth)
+    indexer = StringIndexer(inputCols=CATEGORICAL_FEATURES, outputCols=indexed, handleInvalid="skip").fit(rows)
+    bins = max(32, *map(len, indexer.labelsArray))
     assembler = VectorAssembler(inputCols=[*indexed, *NUMERIC_FEATURES], outputCol="features")
     forest = RandomForestClassifier(
-        featuresCol="features", labelCol="label", probabilityCol="probability", seed=seed, numTrees=num_trees, maxBins=256
+        featuresCol="features", labelCol="label", probabilityCol="probability", seed=seed, numTrees=num_trees, maxBins=bins
     )
     grid = ParamGridBuilder().addGrid(forest.maxDepth, list(depths)).build()
     tuned = CrossValidator(
@@ -199,7 +194,7 @@ def train_blend_classifier(
         numFolds=folds,
         seed=seed,
     )
-    return Pipeline(stages=[indexer, assembler, tuned]).fit(training_rows(train, min_truth))
+    return Pipeline(stages=[indexer, assembler, tuned]).fit(rows)
 
 
 def training_rows(df: DataFrame, min_truth: float = MIN_TRUTH_TRAIN) -> DataFrame:

@@ -17,6 +17,8 @@ from tallyscope.sources import tables
 
 GAP_S = 43_200
 SESSION_KEYS = ["did", "country", "source"]
+# Apps that collect the data, for the learning set.
+COLLECTORS = ["a3"]
 BLACKLIST = "SELECT DISTINCT host FROM f_ls WHERE is_lab AND hits % 7 = 0"
 
 
@@ -27,7 +29,7 @@ def order_days(d: Data):
 # ---- sources and calendar
 
 
-@query("scan_parquet", "SELECT l_returnflag, count(*) AS n, round(sum(l_quantity), 6) AS qty FROM lineitem GROUP BY 1")
+@query("scan_parquet", "SELECT l_returnflag, count(*) AS n, round(sum(l_quantity), 12) AS qty FROM lineitem GROUP BY 1")
 def _(d):
     files = tables.read_parquet(d.spark, f"{d.folder}/lineitem.parquet")
     return files.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"))
@@ -305,8 +307,8 @@ def _(d):
 
 @query(
     "paint_sessions",
-    """SELECT s.event_id, s.session_id, round(a.median_p_browsing, 6) AS median_p_browsing,
-         round(a.mean_p_browsing, 6) AS mean_p_browsing
+    """SELECT s.event_id, s.session_id, round(a.median_p_browsing, 12) AS median_p_browsing,
+         round(a.mean_p_browsing, 12) AS mean_p_browsing
        FROM v_sessions s LEFT JOIN (
          SELECT session_id, quantile_disc(p_browsing, 0.5) AS median_p_browsing, avg(p_browsing) AS mean_p_browsing
          FROM v_sessions JOIN f_browsing USING (host) GROUP BY 1) a USING (session_id)""",
@@ -329,8 +331,8 @@ def _(d):
        xy AS (SELECT host, country, count(DISTINCT did) AS xy FROM u GROUP BY ALL),
        p AS (SELECT host, country, n AS "N", x / n AS px, y / n AS py, xy / n AS pxy
          FROM xy JOIN x USING (host) JOIN y USING (country), n)
-       SELECT host, country, "N", round(px, 6) AS px, round(py, 6) AS py, round(pxy, 6) AS pxy,
-         round((pxy - px * py) / nullif(sqrt(px * (1 - px)) * sqrt(py * (1 - py)), 0), 6) AS correlation FROM p""",
+       SELECT host, country, "N", round(px, 12) AS px, round(py, 12) AS py, round(pxy, 12) AS pxy,
+         round((pxy - px * py) / nullif(sqrt(px * (1 - px)) * sqrt(py * (1 - py)), 0), 12) AS correlation FROM p""",
 )
 def _(d):
     return assoc.correlate(d["f_panel"], "host", "country", ["did"])
@@ -356,10 +358,15 @@ def domain_sql(source: str, column: str = "host") -> str:
         WHEN suffix IS NULL THEN list_extract(string_split(name, '.'), -1) || '.'
         WHEN length(suffix) = length(name) THEN '.' || suffix
         ELSE list_extract(string_split(name[:length(name) - length(suffix) - 1], '.'), -1) || '.' || suffix END AS domain
-    FROM (SELECT raw, name, arg_max(suffix, length(suffix)) AS suffix FROM (
-        SELECT DISTINCT {column} AS raw,
-          regexp_replace(lower({column}), '^.*@|:[0-9]*$|[.]$', '', 'g') AS name FROM {source}) h
-      LEFT JOIN f_suffix ON name = suffix OR ends_with(name, '.' || suffix) GROUP BY raw, name) t"""
+    FROM (SELECT raw, name, coalesce(max(CASE WHEN rule LIKE '!%' THEN found END), arg_max(found, length(found))) AS suffix FROM (
+        SELECT raw, name, suffix AS rule, CASE
+            WHEN suffix LIKE '!%' THEN substr(suffix, strpos(suffix, '.') + 1)
+            WHEN suffix LIKE '*.%' THEN list_extract(string_split(name[:length(name) - length(suffix) + 1], '.'), -1) || suffix[2:]
+            ELSE suffix END AS found
+        FROM (SELECT DISTINCT {column} AS raw,
+            regexp_replace(lower({column}), '^.*@|:[0-9]*$|[.]$', '', 'g') AS name FROM {source}) h
+        LEFT JOIN f_suffix ON name = ltrim(suffix, '!') OR ends_with(name, '.' || ltrim(suffix, '!*.'))) r
+      GROUP BY raw, name) t"""
 
 
 @query("registered_domain", domain_sql("v_url_hosts"))
@@ -377,8 +384,8 @@ def _(d):
 @query(
     "weighted_avg",
     """SELECT l_returnflag, l_linestatus,
-         round(sum(l_discount * l_quantity) / nullif(sum(l_quantity), 0), 6) AS discount,
-         round(sum(v * l_quantity) / nullif(sum(CASE WHEN v IS NOT NULL THEN l_quantity END), 0), 6) AS some
+         round(sum(l_discount * l_quantity) / nullif(sum(l_quantity), 0), 12) AS discount,
+         round(sum(v * l_quantity) / nullif(sum(CASE WHEN v IS NOT NULL THEN l_quantity END), 0), 12) AS some
        FROM (SELECT *, CASE WHEN l_linenumber <> 2 THEN l_tax END AS v FROM lineitem) t GROUP BY ALL""",
 )
 def _(d):
@@ -391,7 +398,7 @@ def _(d):
 
 @query(
     "binomial_mean",
-    """SELECT l_suppkey, round((p * n + 1) / (n + 2), 6) AS mean FROM (
+    """SELECT l_suppkey, round((p * n + 1) / (n + 2), 12) AS mean FROM (
          SELECT l_suppkey, avg(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) AS p, count(*) AS n
          FROM lineitem GROUP BY 1) t""",
 )
@@ -455,8 +462,7 @@ def _(d):
     "learning_set",
     """SELECT app, host, CAST(sum(hits) AS BIGINT) AS hits, max(is_lab) AS is_lab FROM (
          SELECT app, host, hits, false AS is_lab FROM v_log UNION ALL SELECT app, host, hits, true FROM v_lab) t
-       WHERE app NOT IN ('co.ios.BlockSite', 'co.ios.BlockSite.BlockSiteVPN', 'com.mywot.ios',
-         'com.mywot.ios.WotPacketTunnel') AND host NOT LIKE '%apple%' AND host NOT LIKE '%icloud%' GROUP BY app, host""",
+       WHERE app NOT IN ('a3') AND host NOT LIKE '%apple%' AND host NOT LIKE '%icloud%' GROUP BY app, host""",
 )
 def _(d):
-    return assoc.learning_set(learning_log(d), assoc.lab_learning_set(d["f_lab_log"]), remove_vendor=True)
+    return assoc.learning_set(learning_log(d), assoc.lab_learning_set(d["f_lab_log"]), COLLECTORS, remove_vendor=True)

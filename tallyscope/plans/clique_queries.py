@@ -40,8 +40,8 @@ STAGES["v_lab_domains"] = domain_sql("v_lab_phi")
 
 @query(
     "host_bundle_corr",
-    """SELECT host, bundle_id, "N", round(px, 6) AS px, round(py, 6) AS py, round(pxy, 6) AS pxy,
-         round(correlation, 6) AS correlation, domain FROM v_lab_phi JOIN v_lab_domains USING (host)""",
+    """SELECT host, bundle_id, "N", round(px, 12) AS px, round(py, 12) AS py, round(pxy, 12) AS pxy,
+         round(correlation, 12) AS correlation, domain FROM v_lab_phi JOIN v_lab_domains USING (host)""",
 )
 def _(d):
     lab = d["f_panel"].select(
@@ -90,8 +90,8 @@ def host_corr(d: Data):
 
 @query(
     "host_host_corr",
-    """SELECT host, target, "N", round(px, 6) AS px, round(py, 6) AS py, round(pxy, 6) AS pxy,
-         round(correlation, 6) AS correlation FROM v_host_corr""",
+    """SELECT host, target, "N", round(px, 12) AS px, round(py, 12) AS py, round(pxy, 12) AS pxy,
+         round(correlation, 12) AS correlation FROM v_host_corr""",
 )
 def _(d):
     return host_corr(d)
@@ -113,7 +113,7 @@ def both_ways(edges):
 
 @query(
     "hub_filtered_corr",
-    """SELECT least(host, target) AS host, greatest(host, target) AS target, round(correlation, 6) AS correlation FROM f_edges
+    """SELECT least(host, target) AS host, greatest(host, target) AS target, round(correlation, 12) AS correlation FROM f_edges
        WHERE host NOT IN (SELECT host FROM v_hubs) AND target NOT IN (SELECT host FROM v_hubs)""",
 )
 def _(d):
@@ -207,7 +207,7 @@ for _name, _bundles in (("app_info", "v_app_hosts"), ("panel", "v_lab_hosts")):
 
 @query(
     "clique_jaccard",
-    """SELECT bundle_id, clique_id, "panel_hosts_X", "panel_hosts_Y", round("panel_hosts_score", 6) AS "panel_hosts_score"
+    """SELECT bundle_id, clique_id, "panel_hosts_X", "panel_hosts_Y", round("panel_hosts_score", 12) AS "panel_hosts_score"
        FROM v_jac_panel_host""",
 )
 def _(d):
@@ -218,7 +218,7 @@ STAGES["v_max_corr"] = """
     SELECT bundle_id, clique_id, max(correlation) AS max_corr FROM v_flat JOIN v_lab_hosts USING (host) GROUP BY ALL"""
 
 
-@query("clique_max_corr", "SELECT bundle_id, clique_id, round(max_corr, 6) AS max_corr FROM v_max_corr")
+@query("clique_max_corr", "SELECT bundle_id, clique_id, round(max_corr, 12) AS max_corr FROM v_max_corr")
 def _(d):
     return cliques.clique_max_correlation(cliques.flatten_cliques(all_cliques(d), d["f_suffix"]), lab_hosts(d))
 
@@ -271,7 +271,7 @@ def candidates(d: Data):
 
 @query(
     "clique_candidates",
-    f"""SELECT clique_id, bundle_id, {", ".join(f'round("{c}", 6) AS "{c}"' for c in cliques.FEATURES)},
+    f"""SELECT clique_id, bundle_id, {", ".join(f'round("{c}", 12) AS "{c}"' for c in cliques.FEATURES)},
           array_to_string(clique, ',') AS clique FROM v_candidates""",
 )
 def _(d):
@@ -295,8 +295,8 @@ def scored_cliques(d: Data):
 
 @query(
     "clique_scores",
-    """SELECT clique_id, array_to_string(clique, ',') AS clique, bundle_id, round(score, 6) AS score,
-         round(predict, 6) AS model_predict FROM v_clique_scores""",
+    """SELECT clique_id, array_to_string(clique, ',') AS clique, bundle_id, round(score, 12) AS score,
+         round(predict, 12) AS model_predict FROM v_clique_scores""",
 )
 def _(d):
     return flat(scored_cliques(d))
@@ -317,8 +317,8 @@ def _(d):
        t AS (SELECT session_id, clique_id FROM f_order_panel JOIN q USING (host) GROUP BY session_id, clique_id, n_hosts
          HAVING count(DISTINCT host) / n_hosts >= 0.6),
        s AS (SELECT country, did, session_id, min(ts) AS ts, list_sort(list(DISTINCT host)) AS hosts FROM f_order_panel GROUP BY ALL)
-       SELECT country, did, s.session_id, ts, array_to_string(hosts, ',') AS hosts, clique_id, bundle_id, round(score, 6) AS score,
-         round(predict, 6) AS model_predict
+       SELECT country, did, s.session_id, ts, array_to_string(hosts, ',') AS hosts, clique_id, bundle_id, round(score, 12) AS score,
+         round(predict, 12) AS model_predict
        FROM s JOIN t ON t.session_id = s.session_id JOIN v_clique_scores USING (clique_id)""",
 )
 def _(d):

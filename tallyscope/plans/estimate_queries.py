@@ -43,7 +43,7 @@ DOW = """CASE dow WHEN 'Sun' THEN 1 WHEN 'Mon' THEN 2 WHEN 'Tue' THEN 3 WHEN 'We
 @query(
     "share_ratio_v1",
     f"""SELECT app_android, app_ios, r.country, {DOW} AS dow,
-          round(coalesce(ios_ratio, country_ratio, category_country_ratio), 6) AS ratio
+          round(coalesce(ios_ratio, country_ratio, category_country_ratio), 12) AS ratio
         FROM v_apps LEFT JOIN f_ratio r USING (app_ios, app_android) LEFT JOIN v_country_ratio c ON c.country = r.country
         LEFT JOIN v_category_ratio k ON k.country = r.country AND k.category = v_apps.category""",
 )
@@ -63,7 +63,7 @@ def ratios(d: Data):
     return share.share_ratio_v2(apps(d), d["f_ratio"], d["f_country_ratio"], d["f_category_ratio"])
 
 
-@query("share_ratio_v2", "SELECT app_android, app_ios, country, dow, round(ratio, 6) AS ratio FROM v_ratio")
+@query("share_ratio_v2", "SELECT app_android, app_ios, country, dow, round(ratio, 12) AS ratio FROM v_ratio")
 def _(d):
     return ratios(d)
 
@@ -78,7 +78,7 @@ def share_estimates(d: Data):
     return d.stage("share", lambda: share.share_reach(d["f_second_platform"], d["f_population"], ratios(d)))
 
 
-@query("share_reach", "SELECT date, country, app, round(ratio, 6) AS ratio, round(p, 6) AS p FROM v_share")
+@query("share_reach", "SELECT date, country, app, round(ratio, 12) AS ratio, round(p, 12) AS p FROM v_share")
 def _(d):
     return share_estimates(d)
 
@@ -86,8 +86,8 @@ def _(d):
 # ---- trends
 
 SUBJECT, FIRST_ANCHOR, LAST_ANCHOR = "2024-01-27", "2024-01-20", "2024-01-26"
-DAYS = ["2024-01-24", "2024-01-25", "2024-01-26"]
-SETS = ["2024-01-24,2024-01-25,2024-01-26", "2024-01-20,2024-01-21"]
+DAYS = [f"2024-01-{n}" for n in range(20, 27)]
+SETS = [",".join(DAYS), "2024-01-24,2024-01-25,2024-01-26", "2024-01-20,2024-01-21"]
 
 
 def trend_sql(subject: str, first: str, last: str, days: list[str], sets: list[str]) -> str:
@@ -157,8 +157,8 @@ def trends_of(d: Data, subject: str, first: str, last: str, days, sets):
 
 STAGES["v_trends"] = trend_sql(SUBJECT, FIRST_ANCHOR, LAST_ANCHOR, DAYS, SETS)
 STAGES["v_merged_trends"] = merge_sql("v_trends")
-TREND_COLS = """country, app, source, model_type, model_date, trend_type, anchor_dates, round(p, 6) AS p, n,
-    round(anchor_p, 6) AS anchor_p, anchor_n, round(trend, 6) AS trend, round(reliability, 6) AS reliability"""
+TREND_COLS = """country, app, source, model_type, model_date, trend_type, anchor_dates, round(p, 12) AS p, n,
+    round(anchor_p, 12) AS anchor_p, anchor_n, round(trend, 12) AS trend, round(reliability, 12) AS reliability"""
 
 
 @query("trend_day2day", f"SELECT {TREND_COLS} FROM v_trends WHERE trend_type = 'DAY'")
@@ -178,9 +178,9 @@ def merged_trends(d: Data):
 
 @query(
     "merge_source_trends",
-    """SELECT country, app, trend_type, anchor_dates, round(trend, 6) AS trend, round(p, 6) AS p, round(n, 6) AS n,
-         round(anchor_p, 6) AS anchor_p, round(anchor_n, 6) AS anchor_n, round(stability_score, 6) AS stability_score,
-         round(reliability, 6) AS reliability FROM v_merged_trends""",
+    """SELECT country, app, trend_type, anchor_dates, round(trend, 12) AS trend, round(p, 12) AS p, round(n, 12) AS n,
+         round(anchor_p, 12) AS anchor_p, round(anchor_n, 12) AS anchor_n, round(stability_score, 12) AS stability_score,
+         round(reliability, 12) AS reliability FROM v_merged_trends""",
 )
 def _(d):
     return flat_trend(merged_trends(d))
@@ -222,8 +222,8 @@ def prior_trends(d: Data):
 
 @query(
     "prior_trend",
-    """SELECT country, app, trend_type, anchor_dates, round(prior_trend, 6) AS prior_trend,
-         round(active_users, 6) AS active_users, round(anchor_active_users, 6) AS anchor_active_users FROM v_prior_trends""",
+    """SELECT country, app, trend_type, anchor_dates, round(prior_trend, 12) AS prior_trend,
+         round(active_users, 12) AS active_users, round(anchor_active_users, 12) AS anchor_active_users FROM v_prior_trends""",
 )
 def _(d):
     return flat_trend(prior_trends(d))
@@ -232,29 +232,26 @@ def _(d):
 @query(
     "trend_prior_blend",
     """SELECT country, app, trend_type, anchor_dates,
-         round(CASE WHEN q.prior_trend IS NULL THEN trend ELSE 0.75 * trend + 0.25 * q.prior_trend END, 6) AS trend,
-         round(p, 6) AS p, round(n, 6) AS n, round(anchor_p, 6) AS anchor_p, round(anchor_n, 6) AS anchor_n,
-         round(stability_score, 6) AS stability_score, round(reliability, 6) AS reliability,
-         round(trend, 6) AS clean_trend, round(q.prior_trend, 6) AS prior_trend
+         round(CASE WHEN q.prior_trend IS NULL THEN trend ELSE 0.75 * trend + 0.25 * q.prior_trend END, 12) AS trend,
+         round(p, 12) AS p, round(n, 12) AS n, round(anchor_p, 12) AS anchor_p, round(anchor_n, 12) AS anchor_n,
+         round(stability_score, 12) AS stability_score, round(reliability, 12) AS reliability,
+         round(trend, 12) AS clean_trend, round(q.prior_trend, 12) AS prior_trend
        FROM v_merged_trends LEFT JOIN v_prior_trends q USING (country, app, trend_type, anchor_dates)""",
 )
 def _(d):
     return flat_trend(trend.blend_prior(merged_trends(d), prior_trends(d), prior_weight=0.25))
 
 
-# Three dates to carry forward from three anchor days; each has trends from its three previous days.
-CHAIN = {
-    "2024-01-25": ["2024-01-22", "2024-01-23", "2024-01-24"],
-    "2024-01-26": ["2024-01-23", "2024-01-24", "2024-01-25"],
-    "2024-01-27": ["2024-01-24", "2024-01-25", "2024-01-26"],
-}
+# The last week of the data, carried forward from the seven days before it; each date has trends from its seven previous days.
+LAST_WEEK = [f"2024-01-{n}" for n in range(24, 31)]
+CHAIN = {day: [f"2024-01-{n}" for n in range(int(day[-2:]) - 7, int(day[-2:]))] for day in LAST_WEEK}
 for _day, _back in CHAIN.items():
     _tag = _day[-2:]
     STAGES[f"v_chain_trends{_tag}"] = trend_sql(_day, _back[0], _back[-1], _back, [",".join(_back)])
     STAGES[f"v_chain{_tag}"] = merge_sql(f"v_chain_trends{_tag}")
-STAGES["v_known24"] = """
+STAGES["v_known23"] = """
     SELECT date AS anchor_date, country, app, p, n, p AS eff FROM v_merged
-    WHERE date BETWEEN DATE '2024-01-22' AND DATE '2024-01-24'"""
+    WHERE date BETWEEN DATE '2024-01-17' AND DATE '2024-01-23'"""
 
 
 def step_sql(day: str, known: str) -> str:
@@ -268,20 +265,20 @@ def step_sql(day: str, known: str) -> str:
       FROM t JOIN {known} k ON k.country = t.country AND k.app = t.app AND k.anchor_date = CAST(one AS DATE) GROUP BY ALL),
     w AS (SELECT *, ap * trend AS p, sqrt(ae * an * (tap * tan)) AS w0 FROM j WHERE ap > 0),
     v AS (SELECT *, w0 / sum(w0) OVER (PARTITION BY country, app) AS w FROM w),
-    g AS (SELECT country, app, sum(p * w) / sum(w) AS p, sum(tp * w) / sum(w) AS eff, ceil(sum(tn * w) / sum(w)) AS n,
+    g AS (SELECT country, app, sum(p * w) / sum(w) AS p, sum(tp * w) / sum(w) AS eff, ceil(round(sum(tn * w) / sum(w), 9)) AS n,
         count(*) AS n_anchors FROM v GROUP BY ALL
-      HAVING round((sum(tap * w) / sum(w)) * ceil(sum(tan * w) / sum(w))) > 0),
+      HAVING round((sum(tap * w) / sum(w)) * ceil(round(sum(tan * w) / sum(w), 9))) > 0),
     r AS (SELECT country, app, p AS raw_p, n AS raw_n FROM v_merged WHERE date = DATE '{day}')
     SELECT DATE '{day}' AS date, coalesce(g.country, r.country) AS country, coalesce(g.app, r.app) AS app,
       coalesce(p, raw_p) AS p, CAST(ceil(coalesce(n, raw_n)) AS BIGINT) AS n, raw_p, coalesce(eff, raw_p) AS eff_p, n_anchors
     FROM g FULL JOIN r ON g.country = r.country AND g.app = r.app"""
 
 
-STAGES["v_applied25"] = step_sql("2024-01-25", "v_known24")
-STAGES["v_known25"] = """SELECT * FROM v_known24 UNION ALL SELECT date, country, app, p, n, eff_p FROM v_applied25"""
-STAGES["v_applied26"] = step_sql("2024-01-26", "v_known25")
-STAGES["v_known26"] = """SELECT * FROM v_known25 UNION ALL SELECT date, country, app, p, n, eff_p FROM v_applied26"""
-STAGES["v_applied27"] = step_sql("2024-01-27", "v_known26")
+for _day in LAST_WEEK:
+    _n = int(_day[-2:])
+    STAGES[f"v_applied{_n}"] = step_sql(_day, f"v_known{_n - 1}")
+    STAGES[f"v_known{_n}"] = f"SELECT * FROM v_known{_n - 1} UNION ALL SELECT date, country, app, p, n, eff_p FROM v_applied{_n}"
+STAGES["v_applied"] = " UNION ALL ".join(f"SELECT * FROM v_applied{day[-2:]}" for day in LAST_WEEK)
 
 
 def applied(d: Data):
@@ -292,14 +289,14 @@ def applied(d: Data):
         for day, back in CHAIN.items()
     )
     raw = daily_estimates(d)
-    seeds = between_dates(raw, "2024-01-22", "2024-01-24").withColumn("eff_p", F.col("p"))
+    seeds = between_dates(raw, "2024-01-17", "2024-01-23").withColumn("eff_p", F.col("p"))
     return d.stage("applied", lambda: trend.apply_trends(d.stage("chain", trends), raw, seeds, list(CHAIN)))
 
 
 @query(
     "apply_trend",
-    """SELECT date, country, app, round(p, 6) AS p, n, round(raw_p, 6) AS raw_p, round(eff_p, 6) AS eff_p, n_anchors
-       FROM v_applied27""",
+    """SELECT date, country, app, round(p, 12) AS p, n, round(raw_p, 12) AS raw_p, round(eff_p, 12) AS eff_p, n_anchors
+       FROM v_applied""",
 )
 def _(d):
     done = applied(d)
@@ -309,7 +306,7 @@ def _(d):
 
 @query(
     "apply_trend_init",
-    """SELECT country, app, round(p, 6) AS p, n, round(p, 6) AS raw_p, round(p, 6) AS eff_p, CAST(NULL AS BIGINT) AS n_anchors
+    """SELECT country, app, round(p, 12) AS p, n, round(p, 12) AS raw_p, round(p, 12) AS eff_p, CAST(NULL AS BIGINT) AS n_anchors
        FROM v_merged WHERE date = DATE '2024-01-20'""",
 )
 def _(d):
@@ -353,7 +350,7 @@ def store(d: Data):
 
 @query(
     "store_features",
-    """SELECT country, app, rank, round("averageUserRating", 6) AS "averageUserRating", "contentAdvisoryRating",
+    """SELECT country, app, rank, round("averageUserRating", 12) AS "averageUserRating", "contentAdvisoryRating",
          "hasInAppPurchases", category, "userRatingCount" FROM v_store""",
 )
 def _(d):
@@ -429,9 +426,9 @@ STAGES["v_signals"] = """
       coalesce(ios_share_active_users, 0) AS ios_share_active_users, ios_share_adj,
       coalesce(mp_active_users, 0) AS mp_active_users, mp_adj, days_count, first_seen
     FROM r FULL JOIN s USING (country, app) FULL JOIN m USING (country, app)"""
-SIGNAL_COLS = """country, app, round(raw_est_active_users, 6) AS raw_est_active_users, raw_est_adj,
-    round(ios_share_active_users, 6) AS ios_share_active_users, ios_share_adj,
-    round(mp_active_users, 6) AS mp_active_users, mp_adj"""
+SIGNAL_COLS = """country, app, round(raw_est_active_users, 12) AS raw_est_active_users, raw_est_adj,
+    round(ios_share_active_users, 12) AS ios_share_active_users, ios_share_adj,
+    round(mp_active_users, 12) AS mp_active_users, mp_adj"""
 
 
 def scaled_signals(d: Data):
@@ -445,7 +442,7 @@ def scaled_signals(d: Data):
 @query(
     "scaled_signals",
     """SELECT country, app, max(adj) AS raw_est_adj, count(date) AS days_count, min(date) AS first_seen,
-         round(sum(users) / max(n_days), 6) AS raw_est_active_users FROM v_raw_scaled, v_days GROUP BY ALL""",
+         round(sum(users) / max(n_days), 12) AS raw_est_active_users FROM v_raw_scaled, v_days GROUP BY ALL""",
 )
 def _(d):
     raw, _, _ = scaled_signals(d)
@@ -492,7 +489,7 @@ def training(d: Data):
 
 @query(
     "joined_signals_train",
-    f"SELECT {SIGNAL_COLS}, round(ga_active_users, 6) AS ga_active_users FROM v_train",
+    f"SELECT {SIGNAL_COLS}, round(ga_active_users, 12) AS ga_active_users FROM v_train",
 )
 def _(d):
     return training(d)
@@ -517,9 +514,9 @@ def features(d: Data):
 
 @query(
     "blend_features",
-    """SELECT country, app, rank, category, true_n_users, round(n_users_err, 6) AS n_users_err, raw_est_indicator,
-         ios_share_est_indicator, mp_est_indicator, round(avg_est, 6) AS avg_est, round(raw_est_ratio, 6) AS raw_est_ratio,
-         round(ios_share_est_ratio, 6) AS ios_share_est_ratio, round(mp_est_ratio, 6) AS mp_est_ratio FROM v_features""",
+    """SELECT country, app, rank, category, true_n_users, round(n_users_err, 12) AS n_users_err, raw_est_indicator,
+         ios_share_est_indicator, mp_est_indicator, round(avg_est, 12) AS avg_est, round(raw_est_ratio, 12) AS raw_est_ratio,
+         round(ios_share_est_ratio, 12) AS ios_share_est_ratio, round(mp_est_ratio, 12) AS mp_est_ratio FROM v_features""",
 )
 def _(d):
     return features(d).select(
@@ -548,7 +545,7 @@ def _(d):
         lambda: scale.add_features(training(d), store(d), session_eval(d)).withColumn("label", scale.closest_signal()),
     )
     data = d.stage("blend_features", lambda: features(d))
-    return scale.blend_probabilities(data, rows, folds=2, min_truth=MIN_TRUTH, depths=(2, 5), num_trees=10)
+    return scale.blend_probabilities(data, rows, min_truth=MIN_TRUTH)
 
 
 PROBS = {"raw_est_model_p": (3, 10), "ios_share_est_model_p": (5, 20), "mp_est_model_p": (7, 30)}
@@ -578,8 +575,8 @@ def blended(d: Data):
 
 @query(
     "blended_scale",
-    """SELECT country, app, round(p, 6) AS p, n, round(scale_factor, 6) AS scale_factor,
-         round(blended_active_users, 6) AS blended_active_users, days_count FROM v_blended""",
+    """SELECT country, app, round(p, 12) AS p, n, round(scale_factor, 12) AS scale_factor,
+         round(blended_active_users, 12) AS blended_active_users, days_count FROM v_blended""",
 )
 def _(d):
     return blended(d).select("country", "app", "p", "n", "scale_factor", "blended_active_users", "days_count")
@@ -594,7 +591,7 @@ def daily_users(d: Data):
     return scale.population_scale(daily_estimates(d), d["f_population"], d["f_bundle"])
 
 
-@query("population_scale", "SELECT date, country, app, track_id, round(active_users, 6) AS active_users FROM v_dau")
+@query("population_scale", "SELECT date, country, app, track_id, round(active_users, 12) AS active_users FROM v_dau")
 def _(d):
     return daily_users(d)
 
@@ -650,14 +647,14 @@ def calibration_rows(d: Data):
 
 @query(
     "cv_scale_calibration",
-    """SELECT r.date, country, app, round(r.p, 6) AS dau_p, round(adj, 4) AS adj, round(adj * r.p, 4) AS dau_abs
+    """SELECT r.date, country, app, round(r.p, 12) AS dau_p, round(adj, 12) AS adj, round(adj * r.p, 12) AS dau_abs
        FROM v_daily_reach r JOIN v_final_scale USING (country)""",
 )
 def _(d):
     final = calibrate.final_scale(calibrate.fold_scales(calibration_rows(d)))
     daily = daily_reach(d).select("date", "country", "app", F.col("p").alias("dau"))
     out = calibrate.apply_calibration(daily, final)
-    return out.withColumn("dau_abs", F.round("dau_abs", 4)).withColumn("adj", F.round("adj", 4))
+    return out.withColumn("dau_abs", F.round("dau_abs", 12)).withColumn("adj", F.round("adj", 12))
 
 
 @query(
@@ -665,8 +662,8 @@ def _(d):
     f"""WITH p AS (SELECT c.country, y, adj * x AS yhat FROM (SELECT *, {hash_sql(5, "'outer'", "country", "app")} AS fold
           FROM v_calibration) c JOIN v_fold_scales s ON s.country = c.country AND s.fold = c.fold),
         b AS (SELECT country, y, yhat, unnest([-1, CAST(floor(log10(y)) AS INTEGER)]) AS bucket FROM p)
-        SELECT country, bucket, round(median(abs(y - yhat) / y), 6) AS mape,
-          round(avg(CASE WHEN abs(y - yhat) / y < 0.3 THEN 1.0 ELSE 0.0 END), 6) AS swacc, count(*) AS n_apps
+        SELECT country, bucket, round(median(abs(y - yhat) / y), 12) AS mape,
+          round(avg(CASE WHEN abs(y - yhat) / y < 0.3 THEN 1.0 ELSE 0.0 END), 12) AS swacc, count(*) AS n_apps
         FROM b GROUP BY ALL""",
 )
 def _(d):
@@ -674,9 +671,9 @@ def _(d):
     return evaluate.bucketed_accuracy(calibrate.held_out_predictions(rows, calibrate.fold_scales(rows)))
 
 
-@query("median_ratio", "SELECT country, round(median(y / x), 4) AS adj FROM v_calibration GROUP BY 1")
+@query("median_ratio", "SELECT country, round(median(y / x), 12) AS adj FROM v_calibration GROUP BY 1")
 def _(d):
-    return calibrate.median_ratio(calibration_rows(d)).withColumn("adj", F.round("adj", 4))
+    return calibrate.median_ratio(calibration_rows(d)).withColumn("adj", F.round("adj", 12))
 
 
 # ---- evaluation
@@ -699,7 +696,7 @@ def accuracy(d: Data):
 
 @query(
     "bucketed_accuracy",
-    "SELECT country, bucket, round(mape, 6) AS mape, round(swacc, 6) AS swacc, n_apps FROM v_accuracy",
+    "SELECT country, bucket, round(mape, 12) AS mape, round(swacc, 12) AS swacc, n_apps FROM v_accuracy",
 )
 def _(d):
     return accuracy(d)
@@ -717,7 +714,7 @@ def _(d):
 
 @query(
     "accuracy_with_coverage",
-    """SELECT country, bucket, round(mape, 6) AS mape, round(swacc, 6) AS swacc, n_apps, CAST(NULL AS BIGINT) AS coverage
+    """SELECT country, bucket, round(mape, 12) AS mape, round(swacc, 12) AS swacc, n_apps, CAST(NULL AS BIGINT) AS coverage
        FROM v_accuracy
        UNION ALL SELECT country, NULL, NULL, NULL, NULL, count(DISTINCT app) FROM v_daily_reach JOIN v_final_scale USING (country)
          WHERE adj * p >= 10 GROUP BY country""",
@@ -736,7 +733,7 @@ def _(d):
            ON e.date = t.date AND e.country = t.country AND e.app = t.app WHERE e.active_users > 0 AND t.active_users >= 1000) p),
        a AS (SELECT date, country, bucket, median(abs(y - yhat) / y) AS mape,
          avg(CASE WHEN abs(y - yhat) / y < 0.3 THEN 1.0 ELSE 0.0 END) AS swacc, count(*) AS n_apps FROM b GROUP BY ALL)
-       SELECT country, bucket, round(avg(mape), 6) AS mape, round(avg(swacc), 6) AS swacc, round(avg(n_apps), 6) AS n_apps
+       SELECT country, bucket, round(avg(mape), 12) AS mape, round(avg(swacc), 12) AS swacc, round(avg(n_apps), 12) AS n_apps
        FROM a GROUP BY country, bucket""",
 )
 def _(d):

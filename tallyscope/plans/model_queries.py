@@ -28,28 +28,28 @@ def params(d: Data):
     return d.stage("params", lambda: cnb.cnb_params(d["f_ls"], min_cond_p=UNIQUE_P))
 
 
-@query("host_inv_freq", "SELECT host, round(1.0 / count(DISTINCT app), 6) AS inv_freq FROM f_ls GROUP BY host")
+@query("host_inv_freq", "SELECT host, round(1.0 / count(DISTINCT app), 12) AS inv_freq FROM f_ls GROUP BY host")
 def _(d):
     return cnb.host_inverse_frequency(d["f_ls"])
 
 
 @query(
     "median_hits_per_app",
-    "SELECT app, round(median(hits), 6) AS median_hits, CAST(sum(hits) AS BIGINT) AS hits FROM f_ls GROUP BY app",
+    "SELECT app, round(median(hits), 12) AS median_hits, CAST(sum(hits) AS BIGINT) AS hits FROM f_ls GROUP BY app",
 )
 def _(d):
     return d["f_ls"].groupBy("app").agg(F.median("hits").alias("median_hits"), F.sum("hits").alias("hits"))
 
 
-@query("cnb_cond_p", "SELECT app, host, round(cond_p, 6) AS cond_p, round(host_importance, 6) AS host_importance FROM v_params")
+@query("cnb_cond_p", "SELECT app, host, round(cond_p, 12) AS cond_p, round(host_importance, 12) AS host_importance FROM v_params")
 def _(d):
     return params(d).select("app", "host", "cond_p", "host_importance")
 
 
 @query(
     "cnb_params",
-    """SELECT app, host, round(cond_p, 6) AS cond_p, round(host_importance, 6) AS host_importance,
-         round(inv_freq, 6) AS inv_freq, is_unique, hits, is_lab FROM v_params""",
+    """SELECT app, host, round(cond_p, 12) AS cond_p, round(host_importance, 12) AS host_importance,
+         round(inv_freq, 12) AS inv_freq, is_unique, hits, is_lab FROM v_params""",
 )
 def _(d):
     return params(d)
@@ -57,7 +57,7 @@ def _(d):
 
 @query(
     "cnb_params_filtered",
-    """SELECT app, host, round(cond_p, 6) AS cond_p, hits, is_lab FROM v_params
+    """SELECT app, host, round(cond_p, 12) AS cond_p, hits, is_lab FROM v_params
        WHERE (hits >= 20 OR is_lab) AND cond_p >= 0.001 AND host NOT LIKE '%apple%'""",
 )
 def _(d):
@@ -77,7 +77,7 @@ def priors(d: Data):
     )
 
 
-@query("usage_priors", "SELECT app, country, round(p_prior, 6) AS p_prior FROM v_priors")
+@query("usage_priors", "SELECT app, country, round(p_prior, 12) AS p_prior FROM v_priors")
 def _(d):
     return priors(d)
 
@@ -114,7 +114,7 @@ def flat_hosts(df):
 
 @query(
     "session_information",
-    """SELECT session_id, did, country, source, local_ts, utc_ts, round(info_q, 6) AS "info_Q",
+    """SELECT session_id, did, country, source, local_ts, utc_ts, round(info_q, 12) AS "info_Q",
          array_to_string(hosts, ',') AS hosts FROM v_info""",
 )
 def _(d):
@@ -142,7 +142,7 @@ STAGES["v_scored"] = infer_sql()
 
 @query(
     "cnb_infer",
-    """SELECT session_id, did, country, source, round(info_q, 6) AS "info_Q", app, round(score, 6) AS score FROM v_scored""",
+    """SELECT session_id, did, country, source, round(info_q, 12) AS "info_Q", app, round(score, 12) AS score FROM v_scored""",
 )
 def _(d):
     return cnb.infer_sessions(counts(d), params(d)).drop("hosts", "local_ts", "utc_ts")
@@ -176,7 +176,7 @@ def solved_models(d: Data):
 
 @query(
     "cnb_infer_multi_model",
-    """SELECT session_id, did, country, source, round(info_q, 6) AS "info_Q", app, round(score, 6) AS score,
+    """SELECT session_id, did, country, source, round(info_q, 12) AS "info_Q", app, round(score, 12) AS score,
          model_date, model_type, is_main_model FROM v_solved_models""",
 )
 def _(d):
@@ -227,8 +227,8 @@ def merged_solved(d: Data):
 
 @query(
     "solved_with_trivial",
-    """SELECT session_id, did, country, source, local_ts, utc_ts, round(info_q, 6) AS "info_Q", app, hosts,
-         round(score, 6) AS score, model_date, model_type, is_main_model FROM v_merged_solved""",
+    """SELECT session_id, did, country, source, local_ts, utc_ts, round(info_q, 12) AS "info_Q", app, hosts,
+         round(score, 12) AS score, model_date, model_type, is_main_model FROM v_merged_solved""",
 )
 def _(d):
     return flat_hosts(merged_solved(d))
@@ -242,8 +242,8 @@ def _(d):
          unnest(string_split(hosts, ',')) AS hc FROM b),
        c AS (SELECT country, app, source, split_part(hc, ':', 1) AS host, model_date, model_type, is_main_model,
          sum(ln(CAST(split_part(hc, ':', 2) AS BIGINT) + 1)) AS host_count FROM e GROUP BY ALL)
-       SELECT country, app, source, host, model_date, model_type, is_main_model, round(host_count, 6) AS host_count,
-         round(inv_freq, 6) AS inv_freq, round(cond_p, 6) AS cond_p
+       SELECT country, app, source, host, model_date, model_type, is_main_model, round(host_count, 12) AS host_count,
+         round(inv_freq, 12) AS inv_freq, round(cond_p, 12) AS cond_p
        FROM c LEFT JOIN (SELECT app, host, inv_freq, cond_p, true AS is_main_model FROM v_params
          UNION ALL SELECT app, host, inv_freq, cond_p, false FROM v_params_two) p USING (app, host, is_main_model)""",
 )
@@ -315,8 +315,8 @@ def session_eval(d: Data):
 
 @query(
     "session_eval",
-    """SELECT app, true_n_users, true_n_sessions, round(n_users_err, 6) AS n_users_err,
-         round(n_sessions_err, 6) AS n_sessions_err FROM v_eval""",
+    """SELECT app, true_n_users, true_n_sessions, round(n_users_err, 12) AS n_users_err,
+         round(n_sessions_err, 12) AS n_sessions_err FROM v_eval""",
 )
 def _(d):
     return session_eval(d)
@@ -380,7 +380,7 @@ STAGES["v_interval_reach"] = """
 
 @query(
     "interval_reach",
-    "SELECT app, date, country, activities, active_users, round(dau, 6) AS dau, day_type FROM v_interval_reach",
+    "SELECT app, date, country, activities, active_users, round(dau, 12) AS dau, day_type FROM v_interval_reach",
 )
 def _(d):
     first = labelled.life_intervals(timed(d), labelled.FIRST)
@@ -394,7 +394,7 @@ STAGES["v_field_reach"] = """
     LEFT JOIN v_interval_reach USING (app, country, date, day_type) GROUP BY ALL"""
 
 
-@query("zero_filled_reach", "SELECT app, country, round(p, 6) AS p FROM v_field_reach")
+@query("zero_filled_reach", "SELECT app, country, round(p, 12) AS p FROM v_field_reach")
 def _(d):
     return labelled.field_reach(learning_log(d))
 
@@ -404,7 +404,7 @@ def _(d):
 
 def seconds(df):
     """Mean epoch seconds to the precision a double of that size keeps."""
-    return df.withColumn("avg_session", F.round("avg_session", 2))
+    return df.withColumn("avg_session", F.round("avg_session", 12))
 
 
 STAGES["v_mi"] = """
@@ -423,9 +423,9 @@ STAGES["v_mi"] = """
 @query(
     "mi_params",
     """SELECT app, host, bundle_hits, total_distinct_hosts_in_bundle, hits_of_host,
-         round(prior_bundle_hits, 6) AS prior_bundle_hits, round(p_h, 6) AS p_h, round(p_of_h_given_b, 6) AS p_of_h_given_b,
-         round(p_of_b_h, 6) AS p_of_b_h, round(p_of_b_given_h, 6) AS p_of_b_given_h,
-         round(mutual_information, 6) AS mutual_information FROM v_mi""",
+         round(prior_bundle_hits, 12) AS prior_bundle_hits, round(p_h, 12) AS p_h, round(p_of_h_given_b, 12) AS p_of_h_given_b,
+         round(p_of_b_h, 12) AS p_of_b_h, round(p_of_b_given_h, 12) AS p_of_b_given_h,
+         round(mutual_information, 12) AS mutual_information FROM v_mi""",
 )
 def _(d):
     return info.info_params(d["f_ls"]).drop("hits")
@@ -444,11 +444,11 @@ def _(d):
        s AS (SELECT *, bh / (1e-20 + sum(bh) OVER (PARTITION BY session_id)) AS share FROM a),
        e AS (SELECT *, sum(CASE WHEN share > 0 THEN -ln(share) * share END) OVER (PARTITION BY session_id) AS entropy FROM s),
        f AS (SELECT *, 1 - entropy / nullif(ln(n), 0) AS activity FROM e)
-       SELECT did, country, source, session_id, app, round(avg_session, 2) AS avg_session, n AS num_bundles_in_session,
-         round(bundle_prob_by_panel, 6) AS bundle_prob_by_panel,
-         round(host_activity_for_bundle, 6) AS host_activity_for_bundle,
-         round(share, 6) AS prob_of_activity_in_session, round(entropy, 6) AS entropy, round(activity, 6) AS activity_in_session,
-         round(CASE WHEN activity > 0.1 THEN max_p_b_given_h ELSE 0 END, 6) AS score FROM f""",
+       SELECT did, country, source, session_id, app, round(avg_session, 12) AS avg_session, n AS num_bundles_in_session,
+         round(bundle_prob_by_panel, 12) AS bundle_prob_by_panel,
+         round(host_activity_for_bundle, 12) AS host_activity_for_bundle,
+         round(share, 12) AS prob_of_activity_in_session, round(entropy, 12) AS entropy, round(activity, 12) AS activity_in_session,
+         round(CASE WHEN activity > 0.1 THEN max_p_b_given_h ELSE 0 END, 12) AS score FROM f""",
 )
 def _(d):
     scored = info.score_sessions(panel_sessions(d), info.info_params(d["f_ls"]), min_activity=0.1)
@@ -471,8 +471,8 @@ def portions(d: Data):
 
 @query(
     "posterior_params",
-    """SELECT app, host, round(total_host_portion, 6) AS total_host_portion,
-         round(host_portion_per_bundle, 6) AS host_portion_per_bundle FROM v_portions""",
+    """SELECT app, host, round(total_host_portion, 12) AS total_host_portion,
+         round(host_portion_per_bundle, 12) AS host_portion_per_bundle FROM v_portions""",
 )
 def _(d):
     return portions(d)
@@ -489,8 +489,8 @@ STAGES["v_pairs"] = """
     "session_posterior",
     """WITH g AS (SELECT country, did, session_id, app, avg_session, sum(o) AS o, sum(t) AS t, max(o / t) AS m FROM v_pairs
          GROUP BY ALL), p AS (SELECT *, greatest(o / t, m) AS posterior FROM g)
-       SELECT country, did, session_id, app, round(avg_session, 2) AS avg_session, round(o, 6) AS expected_hits_given_bundle,
-         round(t, 6) AS expected_total_hits, round(m, 6) AS max_single, round(posterior, 6) AS posterior FROM p""",
+       SELECT country, did, session_id, app, round(avg_session, 12) AS avg_session, round(o, 12) AS expected_hits_given_bundle,
+         round(t, 12) AS expected_total_hits, round(m, 12) AS max_single, round(posterior, 12) AS posterior FROM p""",
 )
 def _(d):
     # The rank is checked by a unit test: float noise decides between equal posteriors.
@@ -511,9 +511,9 @@ STAGES["v_frame1"], STAGES["v_frame2"] = frame_sql(1), frame_sql(2)
 
 @query(
     "windowed_posterior",
-    """SELECT 1 AS reach, country, did, session_id, app, round(avg_session, 2) AS avg_session,
-         round(posterior, 6) AS posterior FROM v_frame1
-       UNION ALL SELECT 2, country, did, session_id, app, round(avg_session, 2), round(posterior, 6) FROM v_frame2""",
+    """SELECT 1 AS reach, country, did, session_id, app, round(avg_session, 12) AS avg_session,
+         round(posterior, 12) AS posterior FROM v_frame1
+       UNION ALL SELECT 2, country, did, session_id, app, round(avg_session, 12), round(posterior, 12) FROM v_frame2""",
 )
 def _(d):
     parts = [
@@ -527,9 +527,9 @@ def _(d):
     "posterior_score",
     """WITH g AS (SELECT country, did, session_id, app, avg_session, greatest(sum(o) / sum(t), max(o / t)) AS posterior
          FROM v_pairs GROUP BY ALL)
-       SELECT country, did, session_id, app, round(g.avg_session, 2) AS avg_session, round(g.posterior, 6) AS posterior,
-         round(a.posterior, 6) AS posterior3, round(b.posterior, 6) AS posterior5,
-         round(greatest(g.posterior, a.posterior, b.posterior), 6) AS score
+       SELECT country, did, session_id, app, round(g.avg_session, 12) AS avg_session, round(g.posterior, 12) AS posterior,
+         round(a.posterior, 12) AS posterior3, round(b.posterior, 12) AS posterior5,
+         round(greatest(g.posterior, a.posterior, b.posterior), 12) AS score
        FROM g JOIN v_frame1 a USING (country, did, session_id, app) JOIN v_frame2 b USING (country, did, session_id, app)""",
 )
 def _(d):
@@ -548,7 +548,7 @@ STAGES["v_reach"] = """
 
 @query(
     "reach_per_source",
-    """SELECT country, source, app, round(total_visits, 6) AS total_visits, total_users, round(dau, 6) AS dau FROM v_reach""",
+    """SELECT country, source, app, round(total_visits, 12) AS total_visits, total_users, round(dau, 12) AS dau FROM v_reach""",
 )
 def _(d):
     return reach.reach(d["f_solved"], ["country", "source"])
@@ -556,7 +556,7 @@ def _(d):
 
 @query(
     "reach_overall",
-    """SELECT country, app, round(total_visits, 6) AS total_visits, total_users, round(total_visits / total_users, 6) AS dau
+    """SELECT country, app, round(total_visits, 12) AS total_visits, total_users, round(total_visits / total_users, 12) AS dau
        FROM (SELECT country, app, sum(s) AS total_visits FROM (
          SELECT did, country, app, max(score) AS s FROM f_solved GROUP BY ALL) b GROUP BY ALL) k
        JOIN (SELECT country, count(DISTINCT did) AS total_users FROM f_solved GROUP BY ALL) n USING (country)""",
@@ -567,7 +567,7 @@ def _(d):
 
 @query(
     "merge_sources_totals",
-    """SELECT country, app, round(v, 6) AS total_visits, CAST(u AS BIGINT) AS total_users, round(v / u, 6) AS dau
+    """SELECT country, app, round(v, 12) AS total_visits, CAST(u AS BIGINT) AS total_users, round(v / u, 12) AS dau
        FROM (SELECT country, app, sum(total_visits) AS v FROM v_reach GROUP BY ALL) a
        JOIN (SELECT country, sum(total_users) AS u FROM (SELECT DISTINCT country, source, total_users FROM v_reach) s
          GROUP BY 1) b USING (country)""",
@@ -582,7 +582,7 @@ def daily_sources(d: Data):
 
 @query(
     "raw_source_estimation",
-    """SELECT date, country, app, source, model_date, model_type, is_main_model, round(p, 6) AS p, n, reliability FROM v_src""",
+    """SELECT date, country, app, source, model_date, model_type, is_main_model, round(p, 12) AS p, n, reliability FROM v_src""",
 )
 def _(d):
     return daily_sources(d)
@@ -599,7 +599,7 @@ STAGES["v_filled"] = """
 
 @query(
     "zero_fill_sources",
-    """SELECT date, country, app, source, model_type, model_date, round(p, 6) AS p, n, reliability FROM v_filled""",
+    """SELECT date, country, app, source, model_type, model_date, round(p, 12) AS p, n, reliability FROM v_filled""",
 )
 def _(d):
     given = daily_sources(d).select("date", "country", "app", "source", "model_type", "model_date", "p", "n", "reliability")
@@ -618,7 +618,7 @@ STAGES["v_latest"] = """
 
 @query(
     "latest_model_version",
-    "SELECT date, country, app, source, round(p, 6) AS p, n, reliability FROM v_latest",
+    "SELECT date, country, app, source, round(p, 12) AS p, n, reliability FROM v_latest",
 )
 def _(d):
     return reach.fill_and_pick(daily_sources(d), by=("date",))
@@ -635,7 +635,7 @@ def daily_estimates(d: Data):
 
 @query(
     "merge_sources_weighted",
-    "SELECT date, country, app, round(p, 6) AS p, n, round(reliability, 6) AS reliability FROM v_merged",
+    "SELECT date, country, app, round(p, 12) AS p, n, round(reliability, 12) AS reliability FROM v_merged",
 )
 def _(d):
     return daily_estimates(d)
@@ -656,8 +656,8 @@ def _(d):
        l AS (SELECT g.*, coalesce(m.seen, max(g.model_date) OVER (PARTITION BY g.country, g.app, g.source)) AS latest
          FROM g LEFT JOIN (SELECT country, app, source, max(model_date) AS seen FROM e GROUP BY ALL) m
            USING (country, app, source))
-       SELECT country, app, round(sum(p * n) / sum(n), 6) AS p, CAST(sum(n) AS BIGINT) AS n,
-         round(CAST(sum(r * n) AS DOUBLE) / sum(n), 6) AS reliability
+       SELECT country, app, round(sum(p * n) / sum(n), 12) AS p, CAST(sum(n) AS BIGINT) AS n,
+         round(CAST(sum(r * n) AS DOUBLE) / sum(n), 12) AS reliability
        FROM l WHERE model_date = latest GROUP BY ALL""",
 )
 def _(d):

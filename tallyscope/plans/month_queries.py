@@ -47,7 +47,7 @@ STAGES["v_period_reach"] = """
     JOIN (SELECT source, country, count(DISTINCT did) AS n FROM v_kept GROUP BY ALL) y USING (source, country)"""
 
 
-@query("period_reach", "SELECT source, country, app, round(p, 6) AS p, n FROM v_period_reach")
+@query("period_reach", "SELECT source, country, app, round(p, 12) AS p, n FROM v_period_reach")
 def _(d):
     return monthly.period_reach(kept(d))
 
@@ -65,7 +65,7 @@ STAGES["v_engaged"] = """
     FROM s LEFT JOIN r USING (date, source, country, did) GROUP BY ALL"""
 
 
-@query("engagement_imputed_daily", "SELECT date, source, country, app, round(k, 6) AS k FROM v_engaged")
+@query("engagement_imputed_daily", "SELECT date, source, country, app, round(k, 12) AS k FROM v_engaged")
 def _(d):
     return monthly.engagement_daily(kept(d), monthly.period_days(scores(d)))
 
@@ -83,7 +83,7 @@ STAGES["v_month_average"] = """
 
 @query(
     "monthly_avg_reach",
-    """SELECT source, country, app, round(r.p, 6) AS p, round(avg_dau_p, 6) AS avg_dau_p, round(max_dau_p, 6) AS max_dau_p, n
+    """SELECT source, country, app, round(r.p, 12) AS p, round(avg_dau_p, 12) AS avg_dau_p, round(max_dau_p, 12) AS max_dau_p, n
        FROM v_period_reach r JOIN v_month_average USING (source, country, app)""",
 )
 def _(d):
@@ -132,10 +132,10 @@ def fused(d: Data):
 
 @query(
     "historic_prior_fusion",
-    """SELECT country, app, round(p, 6) AS p, round(avg_dau_p, 6) AS avg_dau_p, round(n, 6) AS n, round(clean_p, 6) AS clean_p,
-         round(clean_avg_dau_p, 6) AS clean_avg_dau_p, clean_n, round(historic_p, 6) AS historic_p,
-         round(historic_avg_dau_p, 6) AS historic_avg_dau_p, round(historic_n, 6) AS historic_n,
-         round(historic_w, 6) AS historic_w FROM v_fused""",
+    """SELECT country, app, round(p, 12) AS p, round(avg_dau_p, 12) AS avg_dau_p, round(n, 12) AS n, round(clean_p, 12) AS clean_p,
+         round(clean_avg_dau_p, 12) AS clean_avg_dau_p, clean_n, round(historic_p, 12) AS historic_p,
+         round(historic_avg_dau_p, 12) AS historic_avg_dau_p, round(historic_n, 12) AS historic_n,
+         round(historic_w, 12) AS historic_w FROM v_fused""",
 )
 def _(d):
     return fused(d)
@@ -153,9 +153,9 @@ def stats(d: Data):
     return monthly.published_stats(daily_users(d))
 
 
-@query("mau_scale", "SELECT country, app, round(active_users, 4) AS active_users FROM v_mau")
+@query("mau_scale", "SELECT country, app, round(active_users, 12) AS active_users FROM v_mau")
 def _(d):
-    return monthly.scale_monthly(fused(d), stats(d)).withColumn("active_users", F.round("active_users", 4))
+    return monthly.scale_monthly(fused(d), stats(d)).withColumn("active_users", F.round("active_users", 12))
 
 
 UNIFORM = "(('0x' || substr(md5(concat_ws('|', country, app)), 1, 8))::BIGINT / 4294967296.0)"
@@ -177,15 +177,15 @@ def clamped(d: Data):
 
 def tame(df, *columns):
     for c in columns:
-        df = df.withColumn(c, F.round(c, 4))
+        df = df.withColumn(c, F.round(c, 12))
     return df
 
 
 @query(
     "mau_clamp",
-    """SELECT country, app, round(active_users, 4) AS active_users, round(clean_active_users, 4) AS clean_active_users,
-         round(min_border, 4) AS min_border, round(max_border, 4) AS max_border,
-         round(published_avg_dau, 4) AS published_avg_dau FROM v_clamped""",
+    """SELECT country, app, round(active_users, 12) AS active_users, round(clean_active_users, 12) AS clean_active_users,
+         round(min_border, 12) AS min_border, round(max_border, 12) AS max_border,
+         round(published_avg_dau, 12) AS published_avg_dau FROM v_clamped""",
 )
 def _(d):
     return tame(clamped(d), "active_users", "clean_active_users", "min_border", "max_border", "published_avg_dau")
@@ -200,9 +200,9 @@ def _(d):
          JOIN (SELECT country, app, avg(active_users) AS avg_dau FROM f_truth GROUP BY ALL) u
            ON u.country = t.country AND u.app = t.app WHERE m.active_users > 0 AND t.active_users >= 1000),
        b AS (SELECT *, unnest([-1, CAST(floor(log10(y)) AS INTEGER)]) AS bucket FROM p)
-       SELECT country, bucket, round(median(abs(y - yhat) / y), 6) AS mape,
-         round(median(abs(ratio_y - ratio_yhat) / ratio_y), 6) AS mau_dau_ratio_mape,
-         round(avg(CASE WHEN abs(y - yhat) / y < 0.3 THEN 1.0 ELSE 0.0 END), 6) AS swacc, count(*) AS n_apps FROM b GROUP BY ALL""",
+       SELECT country, bucket, round(median(abs(y - yhat) / y), 12) AS mape,
+         round(median(abs(ratio_y - ratio_yhat) / ratio_y), 12) AS mau_dau_ratio_mape,
+         round(avg(CASE WHEN abs(y - yhat) / y < 0.3 THEN 1.0 ELSE 0.0 END), 12) AS swacc, count(*) AS n_apps FROM b GROUP BY ALL""",
 )
 def _(d):
     stream = F.concat_ws("-", "country", "app").alias("stream_id")
@@ -227,7 +227,7 @@ def factors(d: Data):
     return monthly.alignment_factors(overlap, overlap)
 
 
-@query("alignment_factors", "SELECT app, country, round(factor, 6) AS factor FROM v_factors")
+@query("alignment_factors", "SELECT app, country, round(factor, 12) AS factor FROM v_factors")
 def _(d):
     return factors(d)
 
@@ -239,7 +239,7 @@ STAGES["v_aligned"] = """
 
 @query(
     "apply_alignment",
-    """SELECT date, country, app, round(CAST(active_users AS DOUBLE), 4) AS active_users, CAST(0 AS DOUBLE) AS clean_active_users,
+    """SELECT date, country, app, round(CAST(active_users AS DOUBLE), 12) AS active_users, CAST(0 AS DOUBLE) AS clean_active_users,
          CAST(0 AS DOUBLE) AS min_border, CAST(0 AS DOUBLE) AS max_border FROM v_aligned""",
 )
 def _(d):
@@ -248,7 +248,7 @@ def _(d):
 
 @query(
     "adapt_ids",
-    """SELECT date, country, a.app AS bundle_id, b.id AS app, round(CAST(active_users AS DOUBLE), 4) AS active_users,
+    """SELECT date, country, a.app AS bundle_id, b.id AS app, round(CAST(active_users AS DOUBLE), 12) AS active_users,
          CAST(1 AS DOUBLE) AS confidence
        FROM v_aligned a LEFT JOIN (SELECT DISTINCT bundle_id, id FROM f_bundle) b ON b.bundle_id = a.app""",
 )
@@ -265,7 +265,7 @@ STAGES["v_sized"] = """
 
 @query(
     "stratified_sample",
-    """SELECT country, app, round(active_users, 4) AS active_users, bucket_size, CAST(pos AS INTEGER) AS rank FROM (
+    """SELECT country, app, round(active_users, 12) AS active_users, bucket_size, CAST(pos AS INTEGER) AS rank FROM (
          SELECT *, row_number() OVER (PARTITION BY country, bucket_size ORDER BY md5(concat_ws('|', country, app)), app) AS pos
          FROM v_sized) x WHERE pos <= 10""",
 )
@@ -275,7 +275,7 @@ def _(d):
 
 @query(
     "top_k_per_group",
-    """SELECT country, app, n_days, round(avg_active_users, 4) AS avg_active_users, CAST(pos AS INTEGER) AS rank FROM (
+    """SELECT country, app, n_days, round(avg_active_users, 12) AS avg_active_users, CAST(pos AS INTEGER) AS rank FROM (
          SELECT *, row_number() OVER (PARTITION BY country ORDER BY avg_active_users DESC, app) AS pos FROM (
            SELECT country, app, count(date) AS n_days, avg(active_users) AS avg_active_users FROM f_truth
            WHERE active_users >= 0 GROUP BY ALL) m) x WHERE pos <= 20""",
@@ -350,8 +350,8 @@ def all_signals(d: Data):
 
 @query(
     "signal_outer_join",
-    """SELECT date, country, app, round(active_users, 4) AS active_users, ga_dau, android_dau,
-         round(data_ai_dau, 6) AS data_ai_dau FROM v_all_signals""",
+    """SELECT date, country, app, round(active_users, 12) AS active_users, ga_dau, android_dau,
+         round(data_ai_dau, 12) AS data_ai_dau FROM v_all_signals""",
 )
 def _(d):
     return tame(all_signals(d), "active_users")
@@ -360,7 +360,7 @@ def _(d):
 STAGES["v_stage_signals"] = """
     WITH r AS (SELECT date, country, app, p AS raw_p, p * n AS k, n FROM v_merged),
     e AS (SELECT date, country, app, p AS established_scale_p FROM v_share),
-    t AS (SELECT date, country, app, p AS tss_p FROM v_applied27)
+    t AS (SELECT date, country, app, p AS tss_p FROM v_applied)
     SELECT date, country, app, coalesce(raw_p, 0) AS raw_p, k, n, coalesce(established_scale_p, 0) AS established_scale_p,
       coalesce(tss_p, 0) AS tss_p FROM r FULL JOIN e USING (date, country, app) FULL JOIN t USING (date, country, app)"""
 
@@ -371,8 +371,8 @@ def stage_signals(d: Data):
 
 @query(
     "scale_stage_signals",
-    """SELECT date, country, app, round(raw_p, 6) AS raw_p, round(k, 6) AS k, n,
-         round(established_scale_p, 6) AS established_scale_p, round(tss_p, 6) AS tss_p FROM v_stage_signals""",
+    """SELECT date, country, app, round(raw_p, 12) AS raw_p, round(k, 12) AS k, n,
+         round(established_scale_p, 12) AS established_scale_p, round(tss_p, 12) AS tss_p FROM v_stage_signals""",
 )
 def _(d):
     return stage_signals(d)
@@ -385,13 +385,13 @@ def rescale_sql(columns: list[str]) -> str:
             f"(SELECT country, app, avg(a / {c}) AS f FROM (SELECT *, row_number() OVER (PARTITION BY country, app ORDER BY date) "
             f"AS pos FROM b WHERE {c} > 0 AND a > 0) x WHERE pos <= 14 GROUP BY ALL) f_{c}"
         )
-        shown.append(f"round({c} * coalesce(f_{c}.f, 1), 4) AS {c}")
+        shown.append(f"round({c} * coalesce(f_{c}.f, 1), 12) AS {c}")
     joins = " ".join(f"LEFT JOIN {s} ON {s.split()[-1]}.country = b.country AND {s.split()[-1]}.app = b.app" for s in steps)
     return f"""
     WITH m AS (SELECT country, app, avg(active_users) AS m FROM (SELECT *, row_number() OVER (PARTITION BY country, app
         ORDER BY date) AS pos FROM v_all_signals) x WHERE pos <= 14 GROUP BY ALL),
     b AS (SELECT s.*, active_users / nullif(m, 0) AS a FROM v_all_signals s JOIN m USING (country, app))
-    SELECT b.date, b.country, b.app, round(a, 4) AS active_users, {", ".join(shown)} FROM b {joins}"""
+    SELECT b.date, b.country, b.app, round(a, 12) AS active_users, {", ".join(shown)} FROM b {joins}"""
 
 
 @query("signal_rescale", rescale_sql(["ga_dau", "android_dau", "data_ai_dau"]))
@@ -407,7 +407,7 @@ def _(d):
 
 @query(
     "live_signals",
-    """SELECT date, country, app, round(active_users, 4) AS active_users, ga_dau, android_dau, round(data_ai_dau, 6) AS data_ai_dau
+    """SELECT date, country, app, round(active_users, 12) AS active_users, ga_dau, android_dau, round(data_ai_dau, 12) AS data_ai_dau
        FROM v_all_signals s WHERE EXISTS (SELECT 1 FROM v_stage_signals t WHERE t.country = s.country AND t.app = s.app)""",
 )
 def _(d):
@@ -416,7 +416,7 @@ def _(d):
 
 @query(
     "app_ordering",
-    """SELECT country, app, round(avg(active_users), 4) AS active_users, count(active_users) AS count FROM v_all_signals
+    """SELECT country, app, round(avg(active_users), 12) AS active_users, count(active_users) AS count FROM v_all_signals
        GROUP BY country, app""",
 )
 def _(d):

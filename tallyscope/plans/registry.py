@@ -43,7 +43,7 @@ QUERIES: dict[str, Callable[[Data], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None, places: int = 6):
+def query(name: str, sql: str | None = None, places: int = 12):
     """Register a query and, where there is one, its SQL counterpart."""
 
     def register(fn: Callable[[Data], DataFrame]):

@@ -130,7 +130,7 @@ VIEWS: dict[str, str] = {
     "f_browsing": """
         SELECT host, CAST(sum(hits) % 97 AS DOUBLE) / CAST(97 AS DOUBLE) AS p_browsing FROM {f_ls} GROUP BY host""",
     "f_urls": "SELECT page_id, url FROM {pages}",
-    "f_suffix": "SELECT * FROM (VALUES ('com'), ('net'), ('org'), ('example.com'), ('co.uk')) t(suffix)",
+    "f_suffix": "SELECT * FROM (VALUES ('com'), ('net'), ('org'), ('example.com'), ('co.uk'), ('*.net'), ('!example.net'), ('*.org')) t(suffix)",
 }
 
 # SQL of stages, for the counterparts only.
@@ -181,7 +181,9 @@ def with_views(sql: str) -> str:
     visit(sql)
     if not done:
         return sql
-    head = ",\n".join(f"{name} AS ({body})" for name, body in done.items())
+    # Stages are read by several later ones: computed once, or a chain of them doubles with every link.
+    kept = {name: " MATERIALIZED" if name in STAGES else "" for name in done}
+    head = ",\n".join(f"{name} AS{kept[name]} ({body})" for name, body in done.items())
     own = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", sql)
     if own is None:
         return f"WITH {head}\n{sql}"

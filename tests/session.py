@@ -12,6 +12,7 @@ def local_session(cpus: str | int = 8, partitions: int = 8, **conf: str) -> Spar
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tallyscope")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
