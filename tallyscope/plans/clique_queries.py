@@ -304,10 +304,13 @@ def _(d):
 
 @query("clique_model_ml")
 def _(d):
-    # Trained on a label every engine can compute: whether the pair shares more than a trace of its domains.
+    # Trained on a label that is no feature: whether the bundle is used more than the mean bundle on the second platform.
     rows = candidates(d)
-    labelled = rows.withColumn("label", (F.col("panel_domains_score") > 0.02).cast("double"))
-    model = cliques.train_clique_model(labelled, num_trees=10, max_depth=3)
+    usage = priors(d).groupBy(F.col("app").alias("bundle_id")).agg(F.avg("p_prior").alias("_usage"))
+    typical = usage.agg(F.avg("_usage").alias("typical")).scalar()
+    often = F.coalesce(F.col("_usage") > typical, F.lit(False)).cast("double")
+    labelled = rows.join(usage, "bundle_id", "left").withColumn("label", often).drop("_usage")
+    model = cliques.train_clique_model(labelled)
     return cliques.predict_candidates(rows, model).select("clique_id", "bundle_id", "predict")
 
 
