@@ -158,6 +158,75 @@ def overlaps(pairs: DataFrame, width: int) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
 
 
+def shingle_rows(texts: DataFrame, width: int) -> DataFrame:
+    """(id, shingle, n) of the texts (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given, ids = batch.column("text").to_pylist(), batch.column("id").to_numpy()
+            for lo, hi in slices([len(t) for t in given], CHARS):
+                text, h, count = shingles([words_of(t) for t in given[lo:hi]], width)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][text]), pa.array(h.view(np.int64)), pa.array(count)], names=["id", "shingle", "n"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, shingle long, n long")
+
+
+def unconnected(member: DataFrame, texts: DataFrame, width: int, least: float, rare: int = 16) -> DataFrame:
+    """Pairs (a, b) of texts in different components that may still reach ``least``, of buckets with three or more texts.
+
+    ``member`` has (key, id, size, component) of every text of a bucket. No pair that reaches the threshold is left out:
+    a pair of sizes m and n needs a common part of least / (1 + least) * (m + n) shingles. A shingle that at most ``rare``
+    of the texts have can be common to few pairs, which are listed; all other pairs have in common at most what either text
+    has of shingles that are not rare. So texts that each differ from a much copied one in words of their own, many enough
+    to part them, are told apart by counting, without being paired.
+    """
+    need = least / (1 + least) * (1 - 1e-9)
+    per = member.groupBy("key", "component").agg(F.count("*").alias("n"))
+    open_keys = (
+        per.groupBy("key")
+        .agg(F.sum("n").alias("texts"), F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts"))
+        .filter("parts > 1 and texts > 2")
+        .select("key", F.col("most.component").alias("major"))
+    )
+    inside = cut_lineage(member.join(open_keys, "key"))
+    nodes = inside.select("id", "size", "component").distinct()
+    rows = cut_lineage(shingle_rows(texts.join(nodes.select("id"), "id", "left_semi"), width))
+    few = rows.groupBy("shingle").agg(F.count("*").alias("texts")).filter(F.col("texts") <= rare).select("shingle", "texts")
+    scarce = cut_lineage(rows.join(few, "shingle"))
+    own = scarce.groupBy("id").agg(F.sum("n").alias("scarce"))
+    known = cut_lineage(nodes.join(own, "id", "left").withColumn("plain", F.col("size") - F.coalesce("scarce", F.lit(0))).select("id", "size", "component", "plain"))
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        for k in ("a", "b"):
+            pairs = pairs.join(known.select(*[F.col(c).alias(k if c == "id" else f"{c}_{k}") for c in known.columns]), k)
+        return pairs
+
+    # Pairs with rare shingles in common: at most rare ** 2 / 2 for each of these.
+    listed = scarce.filter("texts > 1").groupBy("shingle").agg(F.collect_list(F.struct("id", "n")).alias("of"))
+    one = listed.select("of", F.explode("of").alias("x")).select("x", F.explode("of").alias("y")).filter("x.id < y.id")
+    common = one.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.sum(F.least("x.n", "y.n")).alias("extra"))
+    may = F.col("extra") + F.least("plain_a", "plain_b") >= need * (F.col("size_a") + F.col("size_b"))
+    with_rare = ends(common).filter(F.col("component_a") != F.col("component_b")).filter(may).select("a", "b")
+
+    # The others: a text outside its bucket's largest component against the rest of the bucket.
+    kept = inside.join(known.select("id", "plain"), "id")
+    smallest = kept.groupBy("key").agg(F.min("size").alias("smallest"))
+    kept = kept.join(smallest, "key").filter(F.col("plain") >= need * (F.col("size") + F.col("smallest")))
+    # A pair that shares several buckets is taken in the one of the lowest key.
+    kept = cut_lineage(kept)
+    kept = kept.join(kept.groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys")), "id")
+    x, y = (kept.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "size", "component", "plain", "major", "keys")]) for k in ("x", "y"))
+    meets = (
+        (F.col("component_x") != F.col("major_x"))
+        & (F.col("component_x") != F.col("component_y"))
+        & ((F.col("id_x") < F.col("id_y")) | (F.col("component_y") == F.col("major_y")))
+        & (F.least("plain_x", "plain_y") >= need * (F.col("size_x") + F.col("size_y")))
+        & (F.get(F.array_intersect("keys_x", "keys_y"), F.lit(0)) == F.col("x.key"))
+    )
+    plain = x.filter("component_x <> major_x").alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & meets)
+    return plain.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).unionByName(with_rare).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int = 32, rows: int = 6) -> DataFrame:
     """(doc_id, class_id, class_size, n_links, kept) for every row of ``docs`` (doc_id, text, …).
 
@@ -169,9 +238,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, least: float = 0.8, bands:
 
     Documents of equal words are one node. A pair is a candidate if all ``rows`` places of one of ``bands`` bands agree: at
     similarity 0.8 all but one pair in 17,000, at 0.9 all but one in 10 billion. In each bucket of equal keys every text
-    is first compared with the bucket's smallest document, a star and not all pairs. Only where that leaves texts of a
-    bucket in different components their pairs are compared, too, so no link is lost and a group of near copies never
-    meets itself pairwise. All candidates are verified on whole texts.
+    is first compared with the bucket's smallest document, a star and not all pairs. Where that leaves texts of a bucket
+    in different components, those of their pairs that can still reach the threshold are compared, too (``unconnected``),
+    so no link is lost and a group of near copies never meets itself pairwise. All candidates are verified on whole texts.
     """
     signed = cut_lineage(sign(docs, width, bands, rows))
     known = signed.filter("doc_id is not null and size > 0")
@@ -193,21 +262,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, least: float = 0.8, bands:
 
     links = verified(stars)
     grouped = components(links)
-    # Buckets whose texts are not all connected yet: their remaining pairs.
-    member = shared.join(grouped.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
-    member = cut_lineage(member.select("key", "b", "size", "component"))
-    split = member.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    rest = member.join(split.select("key"), "key", "left_semi")
-    one, two = (rest.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("b", "size", "component")]) for k in (1, 2))
-    open_pairs = (
-        one.join(two, "key")
-        .filter("b1 < b2 and component1 <> component2")
-        .filter(F.least("size1", "size2") >= least * F.greatest("size1", "size2"))
-        .select(F.col("b1").alias("a"), F.col("b2").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    links = links.unionByName(verified(open_pairs))
+    member = shared.join(grouped.withColumnRenamed("node", "b"), "b", "left")
+    member = member.select("key", F.col("b").alias("id"), "size", F.coalesce("component", "b").alias("component"))
+    rest = unconnected(cut_lineage(member), held, width, least).join(stars, ["a", "b"], "left_anti")
+    links = links.unionByName(verified(rest))
     grouped = components(links)
     ends = F.explode(F.array("a", "b")).alias("node")
     degree = links.select(ends).groupBy("node").agg(F.count("*").alias("n_links"))
