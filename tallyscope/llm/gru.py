@@ -97,18 +97,22 @@ def run_forward(w: dict, batch: Batch, lo: int, hi: int, h: np.ndarray, keep: bo
     return out, h, tape
 
 
-def softmax_(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
+def exponentials(x: np.ndarray) -> np.ndarray:
+    """exp of ``x`` in place, and its row sums. One shift serves all rows: states are within -1 and 1, so rows differ little."""
+    x -= x.max()
     np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
+def softmax_(x: np.ndarray) -> np.ndarray:
+    x /= exponentials(x)[:, None]
     return x
 
 
 def log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log of the softmax of each row in the given column."""
-    x -= x.max(axis=1, keepdims=True)
-    chosen = x[np.arange(len(x)), at].astype(np.float64)
-    return chosen - np.log(np.exp(x, out=x).sum(axis=1, dtype=np.float64))
+    totals = exponentials(x)
+    return np.log(x[np.arange(len(x)), at] / totals)
 
 
 def word_groups(cls: np.ndarray, own: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -172,35 +176,33 @@ def gradient(w: dict, shape: Shape, batch: Batch, flat: np.ndarray, lo: int, hi:
         g["to_word"][c] = xs.T @ q
         g["word_bias"][c] = q.sum(0)
         dx[k] += q @ w["to_word"][c].T
-    # Back through the window's steps; what came before it is taken as given.
-    g["recur"], g["bias"] = np.zeros_like(w["recur"]), np.zeros_like(w["bias"])
-    into_rows, into_grads = [], []
-    carry = np.zeros((batch.live[lo], size), F32)
+    # Back through the window's steps; what came before it is taken as given. All that does not depend on later steps is
+    # worked out for the whole window at once.
+    before, zr, cand, from_state, first = (np.concatenate(part) for part in zip(*tape))
+    z, r = zr[:, :size], zr[:, size:]
+    by_cand = (1 - z) * (1 - cand * cand)
+    by_z = (before - cand) * z * (1 - z)
+    by_r = by_cand * from_state * r * (1 - r)
+    fresh = np.where(first, F32(0), F32(1))[:, None]
+    grads, state_grads = np.empty((n, 3 * size), F32), np.empty((n, 3 * size), F32)
     ends = np.concatenate([[0], np.cumsum([len(s) for s in states])])
-    carry_n = 0
-    for t in range(hi - 1, lo - 1, -1):
-        before, zr, cand, ghn, first = tape[t - lo]
-        m = len(cand)
-        dh = dx[ends[t - lo] : ends[t - lo + 1]].copy()
-        dh[:carry_n] += carry[:carry_n]
-        z, r = zr[:, :size], zr[:, size:]
-        dcand = dh * (1 - z) * (1 - cand * cand)
-        d = np.empty((m, 3 * size), F32)
-        d[:, :size] = dh * (before - cand) * z * (1 - z)
-        d[:, size : 2 * size] = dcand * ghn * r * (1 - r)
-        d[:, 2 * size :] = dcand
-        into_rows.append(batch.inputs[t, :m])
-        into_grads.append(d)
-        dgh = d.copy()
-        dgh[:, 2 * size :] *= r
-        g["recur"] += before.T @ dgh
-        back = dh * z + dgh @ w["recur"].T
-        if first.any():
-            back[first] = 0
-        carry, carry_n = back, m
-    grads = np.concatenate(into_grads)
+    back_into, carry = w["recur"].T.copy(), np.zeros((0, size), F32)
+    for k in range(hi - lo - 1, -1, -1):
+        part = slice(ends[k], ends[k + 1])
+        dh = dx[part]
+        dh[: len(carry)] += carry
+        d, ds = grads[part], state_grads[part]
+        np.multiply(dh, by_z[part], out=d[:, :size])
+        np.multiply(dh, by_r[part], out=d[:, size : 2 * size])
+        np.multiply(dh, by_cand[part], out=d[:, 2 * size :])
+        ds[:, : 2 * size] = d[:, : 2 * size]
+        np.multiply(d[:, 2 * size :], r[part], out=ds[:, 2 * size :])
+        carry = dh * z[part]
+        carry += ds @ back_into
+        carry *= fresh[part]
+    g["recur"] = before.T @ state_grads
     g["bias"] = grads.sum(0)
-    token = np.concatenate(into_rows)
+    token = np.concatenate([batch.inputs[t, : batch.live[t]] for t in range(lo, hi)])
     order = np.argsort(token, kind="stable")
     heads = np.flatnonzero(np.concatenate([[True], np.diff(token[order]) != 0]))
     g["into"] = np.zeros_like(w["into"])

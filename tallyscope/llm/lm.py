@@ -19,8 +19,9 @@ from tallyscope.llm.common import fold, slices, text_of
 END = b""
 #: Numbers of a piece of the weights that tasks hand over for averaging.
 PIECE = 4096
-#: Characters of text encoded, and trained on or scored side by side, at a time (one text, if longer).
-CHARS = 3_000_000
+#: Characters of text split into words at a time, and tokens trained on or scored side by side (one text, if longer). Words
+#: take much more memory than tokens, and the more tokens, the less do lanes with long texts run on alone.
+CHARS, TOKENS = 2_000_000, 2_000_000
 LOG10 = np.log(10)
 
 
@@ -132,12 +133,19 @@ def vocabulary(counted: DataFrame, head: int, frequent: int, width: int, tail: i
 
 
 def encoded_chunks(batches: Iterator[pa.RecordBatch], words: Vocabulary) -> Iterator[list[np.ndarray]]:
+    """Texts as tokens, in lists of about ``TOKENS`` tokens."""
+    held: list[np.ndarray] = []
     for batch in batches:
         texts = batch.column("text").to_pylist()
         for lo, hi in slices([len(t) for t in texts], CHARS):
             own = [words_of(t) + [END] for t in texts[lo:hi]]
             token, _ = words.encode([w for x in own for w in x])
-            yield np.split(token, np.cumsum([len(x) for x in own])[:-1])
+            held += np.split(token, np.cumsum([len(x) for x in own])[:-1])
+            if sum(map(len, held)) >= TOKENS:
+                yield held
+                held = []
+    if held:
+        yield held
 
 
 def train_round(texts: DataFrame, words: Vocabulary, weights: dict, rate: float, shards: int) -> tuple[dict, int]:
@@ -176,34 +184,57 @@ SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long,
 def score_rows(docs: DataFrame, words: Vocabulary, weights: dict) -> DataFrame:
     """Per document the scores of all that a task knows by itself, and its words beyond the head, with their classes."""
 
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "static", "far"]
+
+    def looked_up(batch: pa.RecordBatch, texts: list[str], lo: int, hi: int) -> tuple[list, list[np.ndarray]]:
+        own = [words_of(t) + [END] for t in texts[lo:hi]]
+        flat = [w for x in own for w in x]
+        n = np.array([len(x) for x in own], dtype=np.int64)
+        token, place = words.encode(flat)
+        known = place >= 0
+        text = np.repeat(np.arange(len(own)), n)
+        total = lambda x: np.bincount(text, weights=x, minlength=len(own))
+        # A word without tokens (the end, if nothing was trained on) has its probability, but is not known.
+        seen = known & (words.count[place] > 0)
+        far: list[list[dict]] = [[] for _ in own]
+        beyond = np.flatnonzero(~known)
+        for (k, word), times in Counter(zip(text[beyond].tolist(), [flat[i] for i in beyond.tolist()])).items():
+            far[k].append({"word": word, "cls": int(words.class_of_ending[ending(word)]), "times": times})
+        columns = [
+            *[batch.column(c).slice(lo, hi - lo) for c in names[:3]],
+            pa.array(n),
+            pa.array(total(seen).astype(np.int64)),
+            pa.array(total(np.where(known, words.base[place], 0.0))),
+            pa.array(total(np.where(known, words.static[place], 0.0))),
+            pa.array(far, pa.list_(pa.struct([("word", pa.binary()), ("cls", pa.int32()), ("times", pa.int32())]))),
+        ]
+        return columns, np.split(token, np.cumsum(n)[:-1])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = []
+        tokens: list[np.ndarray] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            logs = np.add.reduceat(gru.score(weights, words.shape, tokens), np.concatenate([[0], np.cumsum([len(t) for t in tokens])[:-1]])) / LOG10
+            at = 0
+            for columns in held:
+                n = len(columns[0])
+                score = logs[at : at + n] + columns[6].to_numpy()
+                at += n
+                yield pa.RecordBatch.from_arrays([*columns[:6], pa.array(score), columns[7]], names=[*names[:6], "score", "far"])
+            held.clear()
+            tokens.clear()
+
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for lo, hi in slices([len(t) for t in texts], CHARS):
-                own = [words_of(t) + [END] for t in texts[lo:hi]]
-                flat = [w for x in own for w in x]
-                n = np.array([len(x) for x in own], dtype=np.int64)
-                token, place = words.encode(flat)
-                near = gru.score(weights, words.shape, np.split(token, np.cumsum(n)[:-1])) / LOG10
-                known = place >= 0
-                text = np.repeat(np.arange(len(own)), n)
-                total = lambda x: np.bincount(text, weights=x, minlength=len(own))
-                # A known word without tokens (the end, if nothing was trained on) has its probability, but is not known.
-                seen = known & (words.count[place] > 0)
-                far: list[list[dict]] = [[] for _ in own]
-                for k, times in Counter(zip(text[~known].tolist(), (flat[i] for i in np.flatnonzero(~known)))).items():
-                    cls = int(words.class_of_ending[ending(k[1])])
-                    far[k[0]].append({"word": k[1], "cls": cls, "times": times})
-                part = [batch.column(c).slice(lo, hi - lo) for c in ("row", "doc_id", "held_out")]
-                columns = [
-                    *part,
-                    pa.array(n),
-                    pa.array(total(seen).astype(np.int64)),
-                    pa.array(total(np.where(known, words.base[place], 0.0))),
-                    pa.array(total(near + np.where(known, words.static[place], 0.0))),
-                    pa.array(far, pa.list_(pa.struct([("word", pa.binary()), ("cls", pa.int32()), ("times", pa.int32())]))),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "far"])
+                columns, own = looked_up(batch, texts, lo, hi)
+                held.append(columns)
+                tokens += own
+                if sum(map(len, tokens)) >= TOKENS:
+                    yield from flush()
+        if tokens:
+            yield from flush()
 
     return docs.mapInArrow(run, SCORED)
 
