@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,11 @@ def host_of(url: Column) -> Column:
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def target_of(link: Column) -> Column:
+    """The host a link leads to; a link like ``//host/path`` has the scheme of its page."""
+    return F.when(link.startswith("//"), host_of(F.concat(F.lit("page:"), link))).otherwise(host_of(link))
+
+
 def path_of(url: Column) -> Column:
     """From the end of the host up to ``?``, ``#`` or the end."""
     return F.regexp_extract(after_scheme(url), r"^[^/?#]*([^?#]*)", 1)
@@ -51,7 +58,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     usable = lambda name: (F.col(name) != "") & (F.length(name) <= LONGEST)
     links = (
         pages.filter(usable("host"))
-        .select(F.col("host").alias("src"), F.explode(F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)), host_of))).alias("dst"))
+        .select(F.col("host").alias("src"), F.explode(F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)), target_of))).alias("dst"))
         .filter(usable("dst") & (F.col("src") != F.col("dst")))
         .groupBy("src", "dst")
         .agg(F.count("*").cast("double").alias("weight"))
@@ -66,37 +73,52 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.unionByName(kin).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def spread_seeds(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 16, every: int = 4) -> DataFrame:
+def spread_seeds(
+    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 16, every: int = 4, tolerance: float = 1e-8
+) -> DataFrame:
     """(kind, host, rank) of personalised PageRank over ``edges`` (kind, src, dst, weight) from ``seeds`` (kind, host, mass).
 
     The walks of all kinds run together, each restarting at its own seeds in proportion to their masses; ranks of a kind
     sum to 1. What reaches a host without outgoing edges restarts, too: since that only scales the result, it is left out
     of the rounds and made good by the final scaling. A round is one join and one sum over hosts and edges; a table is
     written every few rounds, so neither the plan nor the work lost with an executor grows.
+
+    ``rounds=None`` goes on until no rank grows by more than its ``tolerance``-th part in a round. Once that holds for a
+    round it holds for all later ones: what a host gains comes from its neighbours' last gains, in the proportion in which
+    its rank came from their ranks. A host that is first reached gains its whole rank, so all that seeds lead to are reached.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("out"))
     steps = cut_lineage(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (damping * F.col("weight") / F.col("out")).alias("part")))
     total = seeds.groupBy("kind").agg(F.sum("mass").alias("total"))
     start = cut_lineage(seeds.join(total, "kind").select("kind", "host", ((1 - damping) * F.col("mass") / F.col("total")).alias("rank")))
     rank = start
-    for k in range(rounds):
+    for k in count(1) if rounds is None else range(1, rounds + 1):
         moved = rank.withColumnRenamed("host", "src").join(steps, ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("part")).alias("rank")
         )
+        if rounds is None and k % every == 0:
+            before = rank.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("was"))
+            after = moved.unionByName(start).withColumn("was", F.lit(0.0)).unionByName(before)
+            seen = cut_lineage(after.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("was").alias("was")))
+            rank = seen.drop("was")
+            if seen.filter(F.col("rank") - F.col("was") > tolerance * F.col("rank")).isEmpty():
+                break
+            continue
         rank = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if (k + 1) % every == 0:
+        if k % every == 0:
             rank = cut_lineage(rank)
     whole = rank.groupBy("kind").agg(F.sum("rank").alias("whole"))
     return rank.join(whole, "kind").select("kind", "host", (F.col("rank") / F.col("whole")).alias("rank"))
 
 
-def judge(pages: DataFrame, rules=RULES, factor: float = 1.0, **options) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, factor: float = 1.0, share: float = 1e-6, **options) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) of every row of ``pages`` (page_id, url, html, …).
 
     The longest rule that fits a url decides. Elsewhere the host does: trust spreads along links from hosts with pages
     that a rule allows, distrust against the links from hosts with pages that a rule blocks, both in proportion to the
-    number of these pages, and a host is blocked if its distrust exceeds ``factor`` times its trust (compared in steps of
-    1e-12). Hosts that neither reaches are allowed. Null urls and urls without ``://`` have an empty host and path, no
+    number of these pages, and a host is blocked if its distrust exceeds ``factor`` times its trust by more than ``share`` of
+    their sum, which is above the error of ranks and of summation however small both are. ``options`` are those of
+    ``spread_seeds``; with ``rounds=None`` it runs to the end. Hosts that neither reaches are allowed. Null urls and urls without ``://`` have an empty host and path, no
     place in the graph, and are allowed. Null html has no links. Other columns are ignored.
     """
     at = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
@@ -112,7 +134,7 @@ def judge(pages: DataFrame, rules=RULES, factor: float = 1.0, **options) -> Data
         *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")]
     )
     ranks = cut_lineage(ranks)
-    blocked = F.round(F.col("distrust") - factor * F.col("trust"), 12) > 0
+    blocked = F.col("distrust") - factor * F.col("trust") > share * (F.col("distrust") + factor * F.col("trust"))
     return (
         ruled.select("page_id", "host", "path", "rule", "ruled")
         .join(ranks, "host", "left")

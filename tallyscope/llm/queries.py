@@ -204,8 +204,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_host_trust")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether every page may be read."""
-    return hosts.judge(read(spark, sf_dir, "pages"))
+    """Whether every page may be read; trust and distrust are spread until they no longer change."""
+    return hosts.judge(read(spark, sf_dir, "pages"), rounds=None)
 
 
 @query("op10_bagminhash")

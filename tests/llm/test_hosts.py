@@ -104,3 +104,31 @@ def test_rules_and_ranks(spark):
 def test_no_rows_and_no_seeds(spark):
     assert hosts.judge(pages(spark).limit(0)).count() == 0
     assert {r["verdict"] for r in hosts.judge(pages(spark).filter("page_id in (6, 9, 10)")).collect()} == {"allow"}
+
+
+def test_ranks_are_spread_to_the_end(spark):
+    link = lambda to: f'<a href="{to}">x</a>'
+    chain = [(k, f"http://h{k}.org/", link(f"//h{k + 1}.org/x")) for k in range(22)]
+    rows = [*chain, (22, "http://h22.org/", link("HTTP://bad.net/")), (23, "http://bad.net/", None), (24, "http://h30.org/fr/", link("//h31.org?u=http://bad.net/"))]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rows = [{"url": u, "html": h and h.replace('"//', '"http://')} for _, u, h in rows]
+    ranks = by_hand(rows, rounds=400)
+    got = {r["host"]: r for r in hosts.judge(table, rounds=None).collect()}
+    for host, r in got.items():
+        assert r["trust"] == pytest.approx(ranks["trust"].get(host, 0.0), rel=1e-6)
+        assert r["distrust"] == pytest.approx(ranks["distrust"].get(host, 0.0), rel=1e-6)
+    assert {h for h, r in got.items() if r["verdict"] == "block"} == {"bad.net", *(f"h{k}.org" for k in range(23))}
+
+
+def test_faint_distrust_counts(spark, monkeypatch):
+    pages = [(0, "http://bad.net/", None), (1, "http://near.org/", '<a href="http://bad.net/">'), (2, "http://far.org/", '<a href="http://near.org/">')]
+    pages += [(k, f"http://s{k}.net/", None) for k in range(3, 5)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    edges = [("distrust", "near.org", "far.org", 1e-13), ("distrust", "near.org", "s3.net", 1.0), ("distrust", "bad.net", "near.org", 1.0)]
+    edges = spark.createDataFrame(edges, "kind string, src string, dst string, weight double")
+    seeds = spark.createDataFrame([("distrust", "bad.net", 1.0)], "kind string, host string, mass double")
+    ranks = {r["host"]: r["rank"] for r in hosts.spread_seeds(edges, seeds, rounds=None).collect()}
+    assert 0 < ranks["far.org"] < 1e-12
+    spread = spark.createDataFrame([("distrust", h, r) for h, r in ranks.items()], "kind string, host string, rank double")
+    monkeypatch.setattr(hosts, "spread_seeds", lambda *_, **__: spread)
+    assert {r["verdict"] for r in hosts.judge(table).collect()} == {"block"}
