@@ -99,3 +99,21 @@ def test_telling_terms_miss_no_match(spark):
 
 def test_no_files(spark):
     assert licences.scan(tree(spark).limit(0)).count() == 0
+
+
+def test_wrapped_notices_and_whole_licences(spark):
+    given, texts = licences.TEMPLATES, licences.full_texts()
+    half = lambda t, k: "\n# ".join([" ".join(t.split()[:k]), " ".join(t.split()[k:])])
+    rows = [(f"w/{n}.py", f"# Some words of the work\n# {half(t, len(t.split()) // 2)}\nand code\n") for n, t in given.items()]
+    rows += [(f"l/{n}.py", f"{'lorem version license of the work ' * 30}{t} {'ipsum code terms ' * 30}") for n, t in given.items()]
+    rows += [("mine/COPYING", "Copyright (c) 2020 Someone\n\n" + " ".join(texts["GPL-2.0"].split())), ("mine/sub/x.py", "x = 1")]
+    rows += [("theirs/LICENSE", "The MIT License (MIT)\n\nCopyright (c) 2020 Someone\n\n" + texts["MIT"]), ("theirs/y.py", None)]
+    rows += [("no/LICENSE", "All rights reserved."), ("no/y.py", "the software is provided as is")]
+    rows += [(f"filler/{k}.txt", "nothing to see") for k in range(60)]
+    got = {r["path"]: r for r in licences.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    for n in given:
+        assert (got[f"w/{n}.py"]["licence"], got[f"w/{n}.py"]["score"]) == (n, pytest.approx(1.0)), n
+        assert (got[f"l/{n}.py"]["licence"], got[f"l/{n}.py"]["score"]) == (n, pytest.approx(1.0)), n
+    assert got["mine/COPYING"]["licence"] == "GPL-2.0" and (got["mine/sub/x.py"]["licence"], got["mine/sub/x.py"]["origin"]) == ("GPL-2.0", "mine")
+    assert (got["theirs/y.py"]["licence"], got["theirs/y.py"]["origin"]) == ("MIT", "theirs")
+    assert got["no/LICENSE"]["licence"] is None and got["no/y.py"]["licence"] is None
