@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscope.llm import bagminhash, exact, hosts, licences, lm, mixing, multi_index, pieces, quality, warc
+from tallyscope.llm import bagminhash, exact, hosts, licences, lm, mixing, multi_index, packing, pieces, quality, warc
 from tallyscope.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +212,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return bagminhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op11_best_fit_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequence and offset of every piece of every document."""
+    return packing.pack(read(spark, sf_dir, "documents"))
