@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscope.llm import bagminhash, exact, hosts, licences, lm, mixing, multi_index, packing, pieces, quality, warc
-from tallyscope.llm.common import fold, read
+from tallyscope.llm import bagminhash, exact, hosts, licences, lm, mixing, multi_index, packing, pieces, quality, runs, warc
+from tallyscope.llm.common import WORD, fold, read, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -218,3 +218,37 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sequence and offset of every piece of every document."""
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` in which the words of every tenth text repeat from some word on, at a period that follows from doc_id."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p))), " ")
+
+    # The words are bound to a name, or they would be found anew for each of them.
+    planted = F.transform(F.array(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))), repeated)[0]
+    return docs.select("doc_id", text_of().alias("text")).withColumn("text", F.when(h % 10 == 0, planted).otherwise(F.col("text")))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in every document, the strongest of them, and checksums of all runs and of the text without repeats."""
+    found = runs.find_runs(with_planted_runs(read(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    best = F.aggregate("runs", none, lambda a, r: F.when(a.isNull() | (r["length"] * a["period"] > a["length"] * r["period"]), r).otherwise(a))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.*",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        digest(F.array_join(F.transform("runs", line), "")).alias("runs_sha256"),
+        digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
