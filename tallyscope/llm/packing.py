@@ -2,24 +2,34 @@
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyscope.functions.lineage import cut_lineage
+from tallyscope.llm.common import slices
 
 #: The public vocabulary, by the installed package's name for it.
 MODEL = "word_bpe_49k.json"
-#: Distinct words whose tokens a task keeps between batches, and bytes of text split into words at a time.
+#: Words and parts of words whose tokens a Python worker keeps, and bytes of text split into words at a time.
 WORDS, BYTES = 300_000, 1_000_000
-BLANKS = b" \t\n\x0b\x0c\r"
+#: Words of these letters, digits and signs are in normal form and have plain lower cases; all others go through the library.
+PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]+")
+#: The vocabulary's own rule by which a plain word falls into parts.
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-zß-öø-ſ0-9]+")
+#: Blanks, after any of which a word begins.
+BLANKS = (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")
 
 
 def model_path(name: str = MODEL) -> str:
@@ -32,7 +42,7 @@ def parts_of(text: bytes, size: int) -> Iterator[bytes]:
     """A text in parts of about ``size`` bytes, each but the last ending before a blank; a word is never cut."""
     at = 0
     while len(text) - at > size:
-        ends = [k for k in (text.find(blank, at + size) for blank in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) if k >= 0]
+        ends = [k for k in (text.find(blank, at + size) for blank in BLANKS) if k >= 0]
         if not ends:
             break
         yield text[at : min(ends)]
@@ -40,34 +50,58 @@ def parts_of(text: bytes, size: int) -> Iterator[bytes]:
     yield text[at:]
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte: itself if it is a visible one, else one after U+0100."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = (b for b in range(256) if b not in visible)
+    return {b: chr(b) for b in visible} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
 class WordTokens:
-    """Token ids of texts, worked out once per distinct word.
+    """Token ids of words, as little-endian unsigned 32-bit numbers, worked out once per distinct word and part of a word.
 
-    The vocabulary's rules drop white space and let no token cross it, so a text's tokens are those of its words.
+    The vocabulary's rules drop white space and let no token cross it, so a text's tokens are those of its words. A word's
+    parts, by the vocabulary's rule for splitting, are given to its merges one by one.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words in one array, and how many each word has."""
-        if not words:
-            return np.empty(0, "<u4"), np.empty(0, np.int64)
-        codes, distinct = pd.factorize(np.array(words, dtype=object))
-        if len(self.known) > WORDS:
-            self.known.clear()
-        if new := [w for w in distinct if w not in self.known]:
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            self.known.update(zip(new, (np.array(e.ids, dtype="<u4") for e in found)))
-        ids = [self.known[w] for w in distinct]
-        width = np.array([len(x) for x in ids], dtype=np.int64)
-        begin = np.cumsum(width) - width
-        n = width[codes]
-        at = np.arange(n.sum()) + np.repeat(begin[codes] - (np.cumsum(n) - n), n)
-        return np.concatenate(ids)[at], n
+        self.model = self.tokenizer.model
+        letters = byte_letters()
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.written = [letters[b] for b in range(256)]
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def of_part(self, part: str) -> bytes:
+        written = part if part.isascii() else "".join([self.written[b] for b in part.encode()])
+        ids = self.parts[part] = b"".join([self.id_bytes[t.id] for t in self.model.tokenize(written)])
+        return ids
+
+    def of_word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if "<|" not in text and PLAIN.fullmatch(text):
+            known = self.parts.get
+            return b"".join([known(part) or self.of_part(part) for part in PARTS.findall(text.lower())])
+        return b"".join([self.id_bytes[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+
+    def encode(self, texts: list[list[bytes]]) -> list[bytes]:
+        """Ids of texts that are given as words."""
+        if len(self.words) > WORDS:
+            self.words.clear()
+        if len(self.parts) > WORDS:
+            self.parts.clear()
+        for word in set(chain.from_iterable(texts)).difference(self.words):
+            self.words[word] = self.of_word(word)
+        return [b"".join(map(self.words.__getitem__, words)) for words in texts]
+
+
+@cache
+def word_tokens(path: str) -> WordTokens:
+    """One per worker process, which keeps what it has worked out from one task to the next."""
+    return WordTokens(path)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
@@ -77,66 +111,47 @@ def tokenized(docs: DataFrame, capacity: int, path: str, end: int) -> DataFrame:
     """One row per piece of every document: its place in the document, its length and checksum, and ``place``, its number
     among the pieces of its length that task ``part`` has made, from 0."""
 
+    size, last = 4 * capacity, end.to_bytes(4, "little")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part = WordTokens(path), TaskContext.get().partitionId()
+        tokens, part = word_tokens(path), TaskContext.get().partitionId()
         made = np.zeros(capacity + 1, dtype=np.int64)
-        last = np.array([end], dtype="<u4")
 
-        def flush(rows: list[tuple]) -> pa.RecordBatch:
+        def pieces(key: int | None, ids: Iterable[bytes]) -> Iterator[tuple]:
+            """The pieces of one document whose ids come in parts."""
+            left, piece = b"", 0
+            for some in ids:
+                left = left + some if left else some
+                whole = len(left) // size * size
+                for at in range(0, whole, size):
+                    yield key, piece, piece * capacity, capacity, crc32(left[at : at + size])
+                    piece += 1
+                left = left[whole:]
+            if left:
+                yield key, piece, piece * capacity, len(left) // 4, crc32(left)
+
+        def table(rows: list[tuple]) -> pa.RecordBatch:
             doc_id, piece, start, length, crc = zip(*rows)
             of = pd.Series(length)
             place = made[of] + of.groupby(of).cumcount().to_numpy()
             made[:] += np.bincount(of, minlength=capacity + 1)
-            columns = [pa.array(doc_id, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            columns = [pa.array(doc_id, pa.int64()), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]]
             return pa.RecordBatch.from_arrays([*columns, pa.array([part] * len(rows), pa.int32()), pa.array(place)], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "place"])
 
-        def pieces(key: int | None, ids: np.ndarray, open_: dict) -> Iterator[tuple]:
-            """Full pieces of the ids seen so far; what is left waits in ``open_``."""
-            ids = np.concatenate([open_["left"], ids]) if len(open_["left"]) else ids
-            at = 0
-            while len(ids) - at >= capacity:
-                yield key, open_["piece"], open_["start"], capacity, crc32(ids[at : at + capacity].tobytes())
-                open_["piece"], open_["start"], at = open_["piece"] + 1, open_["start"] + capacity, at + capacity
-            open_["left"] = ids[at:]
-
-        def done(key: int | None, open_: dict) -> Iterator[tuple]:
-            if len(open_["left"]):
-                yield key, open_["piece"], open_["start"], len(open_["left"]), crc32(open_["left"].tobytes())
-
-        fresh = lambda: {"left": np.empty(0, "<u4"), "piece": 0, "start": 0}
         for batch in batches:
-            keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             rows: list[tuple] = []
-            held: list[tuple[int | None, list[bytes]]] = []
-            size = 0
-
-            def encode_held() -> None:
-                """Whole texts of moderate size, side by side."""
-                ids, n = tokens.encode([w for _, words in held for w in words])
-                upto, k = np.concatenate([[0], np.cumsum(n)]), 0
-                for key, words in held:
-                    own = fresh()
-                    rows.extend(pieces(key, np.concatenate([ids[upto[k] : upto[k + len(words)]], last]), own))
-                    rows.extend(done(key, own))
-                    k += len(words)
-                held.clear()
-
-            for key, text in zip(keys, texts):
-                if len(text) > BYTES:
-                    own = fresh()
-                    for some in parts_of(text, BYTES):
-                        rows.extend(pieces(key, tokens.encode(some.split())[0], own))
-                    rows.extend(pieces(key, last, own))
-                    rows.extend(done(key, own))
-                    continue
-                held.append((key, text.split()))
-                if (size := size + len(text)) > BYTES:
-                    encode_held()
-                    size = 0
-            if held:
-                encode_held()
+            sizes = pc.binary_length(texts).to_pylist()
+            for lo, hi in slices(sizes, BYTES):
+                if sizes[lo] > BYTES:  # a long text, alone
+                    ids = (tokens.encode([some.split()])[0] for some in parts_of(texts[lo].as_py(), BYTES))
+                    rows.extend(pieces(keys[lo], chain(ids, [last])))
+                else:
+                    own = tokens.encode([text.split() for text in texts.slice(lo, hi - lo).to_pylist()])
+                    for key, ids in zip(keys[lo:hi], own):
+                        rows.extend(pieces(key, (ids + last,)))
             if rows:
-                yield flush(rows)
+                yield table(rows)
 
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(run, PIECES)
 

@@ -74,10 +74,21 @@ def test_long_texts_in_parts_have_the_same_ids():
     for size in (1, 50, 333):
         parts = list(packing.parts_of(text.encode(), size))
         assert b"".join(parts) == text.encode()
-        assert [*np.concatenate([tokens.encode(p.split())[0] for p in parts]).tolist(), 0] == whole_ids(text)
+        ids = b"".join(tokens.encode([p.split() for p in parts]))
+        assert [*np.frombuffer(ids, "<u4").tolist(), 0] == whole_ids(text)
     assert len(list(packing.parts_of(text.encode(), 50))) > 20
 
 
+def test_words_have_the_library_s_ids():
+    rng = random.Random(1)
+    odd = ["'s", "'ll", "'T", "'vE", "<|endoftext|>", "e\u0301", "\u0345", "\u2028", "Σ", "ﬁ", "\x7f", "\x1f", "中"]
+    letters = [*map(chr, range(0x21, 0x250)), *odd]
+    tokens = packing.WordTokens(packing.model_path())
+    words = ["".join(rng.choices(letters if k % 3 else letters[:94], k=rng.randint(1, 9))) for k in range(20_000)]
+    for word in [*words, *letters, "<|endoftext|>'s", "''ll", "DON'T've"]:
+        assert np.frombuffer(tokens.of_word(word.encode()), "<u4").tolist() == TOKENIZER.encode(word, add_special_tokens=False).ids, word
+
+
 def test_plan_is_best_fit_over_counts():
     rng = random.Random(3)
     for capacity in (1, 2, 7, 30, 100):
