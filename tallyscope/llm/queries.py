@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscope.llm import bagminhash, exact, hosts, licences, lm, mixing, multi_index, packing, pieces, quality, runs, warc
+from tallyscope.llm import alignment, bagminhash, exact, hosts, licences, lm, mixing, multi_index, packing, pieces, quality, runs, warc
 from tallyscope.llm.common import WORD, fold, read, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -220,6 +220,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies lie against each other in every document."""
+    return alignment.align(read(spark, sf_dir, "documents"))
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """``docs`` in which the words of every tenth text repeat from some word on, at a period that follows from doc_id."""
     h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
