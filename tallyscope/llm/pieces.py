@@ -102,7 +102,8 @@ class PieceSampler:
                 per_text[k] = len(own)
         if not units:
             return np.empty(0, dtype=np.int32), np.zeros(len(texts) + 1, dtype=np.int64)
-        codes, distinct = pd.factorize(np.array(units, dtype=object))
+        place: dict[str, int] = {}
+        codes, distinct = np.array([place.setdefault(u, len(place)) for u in units], dtype=np.int64), list(place)
         del units
         points = np.frombuffer("".join(distinct).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
         space, mark = points == 0x20, points == ord(MARK)

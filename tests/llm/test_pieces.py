@@ -7,7 +7,7 @@ import sentencepiece
 
 from tallyscope.llm import pieces
 
-TEXTS = ["Hello  world", " ▁x ▁▁ y ", "a\nb\t c\r\n", " ", "x", "", "日本é😀\x00!", "the " * 3000, "nospace" * 4000, "Ünïcode ß ﬁ"]
+TEXTS = ["Hello  world", " ▁x ▁▁ y ", "a\nb\t c\r\n", " ", "x", "", "日本é😀\x00!", "the " * 3000, "nospace" * 4000, "Ünïcode ß ﬁ", "a a\x00 a\x00b \x00 b"]
 
 
 @pytest.fixture(scope="module")
