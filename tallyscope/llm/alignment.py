@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Iterator
 from functools import cache
 from hashlib import sha256
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -21,9 +22,13 @@ from tallyscope.llm.packing import byte_letters
 
 #: The public vocabularies, by the installed package's names for them.
 MODELS = ("byte_bpe_50k.json", "piece_bpe_32k.model")
-#: Where neither vocabulary has a token across: before a single space between two characters that are no white space.
-SEAM = re.compile(r"(?<=\S) (?=\S)")
-#: Distinct units (text between seams) that a Python worker keeps, and bytes of text worked on at a time.
+#: Where neither vocabulary has a token across: before a single space or line break between characters that are no white space.
+SEAM = re.compile(r"(?<=\S)(?=[ \n]\S)")
+BYTE_SEAM = re.compile(rb"(?<=[!-~])(?=[ \n][!-~])")
+#: Units (text between seams) of these characters fall into parts by the first vocabulary's own rule.
+PLAIN = re.compile("[ \n][!-~À-ÖØ-öø-ſ]+")
+PARTS = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[^ \nA-Za-z0-9À-ÖØ-öø-ſ]+")
+#: Distinct units and parts that a Python worker keeps, and bytes of text worked on at a time.
 UNITS, BYTES = 150_000, 1_000_000
 #: A pair of ids as one number: the first times this, plus the second.
 PAIR = 2**32
@@ -84,12 +89,18 @@ def joined(left: Fragment, right: Fragment) -> tuple[Fragment, tuple[int, Tokens
 
 def cuts_of(tokens: Tokens) -> np.ndarray:
     """Bytes at which tokens of both sides end."""
-    return np.intersect1d(tokens.a_end, tokens.b_end)
+    return np.intersect1d(tokens.a_end, tokens.b_end, assume_unique=True)
+
+
+def ends_of(tokens: Tokens) -> np.ndarray:
+    """Bytes at which tokens of either side end."""
+    both = np.sort(np.concatenate([tokens.a_end, tokens.b_end]), kind="stable")
+    return both[np.concatenate([both[1:] != both[:-1], [True]])] if len(both) else both
 
 
 def links_of(tokens: Tokens) -> np.ndarray:
     """All pairs of tokens that share bytes, of whole groups: one for each stretch between two ends of either side."""
-    ends = np.union1d(tokens.a_end, tokens.b_end)
+    ends = ends_of(tokens)
     return tokens.a[np.searchsorted(tokens.a_end, ends)] * PAIR + tokens.b[np.searchsorted(tokens.b_end, ends)]
 
 
@@ -121,7 +132,11 @@ class Unit(NamedTuple):
     n_b: int
     groups: str
     n_groups: int
-    pairs: np.ndarray
+    #: Links as 64-bit numbers.
+    pairs: bytes
+
+
+BROKEN = Unit(False, 0, 0, "", 0, b"")
 
 
 class Aligner:
@@ -133,10 +148,12 @@ class Aligner:
 
         self.a = Tokenizer.from_file(paths[0])
         self.a.encode_special_tokens = True
+        self.model = self.a.model
         self.b = SentencePieceProcessor(model_file=paths[1])
-        byte_of = {letter: byte for byte, letter in byte_letters().items()}
-        size = self.a.get_vocab_size()
-        self.a_bytes = [b""] * size
+        letters = byte_letters()
+        self.written = [letters[b] for b in range(256)]
+        byte_of = {letter: byte for byte, letter in letters.items()}
+        self.a_bytes = [b""] * self.a.get_vocab_size()
         for token, i in self.a.get_vocab().items():
             known = all(c in byte_of for c in token)
             self.a_bytes[i] = bytes(byte_of[c] for c in token) if known else token.encode()
@@ -144,39 +161,90 @@ class Aligner:
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode())
-        self.a_size, self.b_size = (np.array([len(x) for x in xs]) for xs in (self.a_bytes, self.b_bytes))
+        self.a_size, self.b_size = (np.array([len(x) for x in spelled]) for spelled in (self.a_bytes, self.b_bytes))
+        as_text = lambda spelled, sign: np.array([f"{i}{sign}" for i in range(len(spelled))], dtype=object)
+        self.a_text, self.a_last = as_text(self.a_bytes, ","), as_text(self.a_bytes, "|")
+        self.b_text, self.b_last = as_text(self.b_bytes, ","), as_text(self.b_bytes, ";")
         self.units: dict[str, Unit] = {}
+        self.parts: dict[str, list[int]] = {}
+
+    def of_part(self, part: str) -> list[int]:
+        written = "".join([self.written[b] for b in part.encode()])
+        ids = self.parts[part] = [t.id for t in self.model.tokenize(written)]
+        return ids
+
+    def first_ids(self, units: list[str]) -> list[int]:
+        """Tokens of units, one after the other: plain ones by parts, which never reach across a seam."""
+        if all(map(PLAIN.fullmatch, units)):
+            known = self.parts.get
+            return [i for part in PARTS.findall("".join(units)) for i in known(part) or self.of_part(part)]
+        return [i for e in self.a.encode_batch_fast(units, add_special_tokens=False) for i in e.ids]
+
+    def second_ids(self, texts: list[str]) -> list[list[int]]:
+        """Of texts that begin with a space, which is added anyway, or with a line break, which no piece goes across."""
+        plain = [t[1:] if t[0] == " " else t for t in texts]
+        return [ids if t[0] == " " else ids[1:] for t, ids in zip(texts, self.b.encode(plain, num_threads=1))]
+
+    def spells(self, text: str, a: list[int], b: list[int]) -> bool:
+        want = text.encode("utf-8", "surrogatepass")
+        return b"".join([self.a_bytes[i] for i in a]) == want and b"".join([self.b_bytes[i] for i in b]) == want
 
     def tokens(self, text: str, at: int = 0) -> tuple[Tokens, bool]:
-        """Tokens of a space and ``text``, which begins at byte ``at`` of a whole text; and whether both sides spell it."""
-        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
-        want = b" " + text.encode("utf-8", "surrogatepass")
-        whole = b"".join([self.a_bytes[i] for i in a]) == want and b"".join([self.b_bytes[i] for i in b]) == want
+        """Tokens of ``text``, which begins at byte ``at`` of a whole one, at its beginning or a seam; and whether both sides spell it."""
+        a, b = self.first_ids([text]), self.second_ids([text])[0]
+        whole = self.spells(text, a, b)
         a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
         return Tokens(a, at + np.cumsum(self.a_size[a]), b, at + np.cumsum(self.b_size[b])), whole
 
-    def unit(self, text: str) -> Unit:
-        tokens, whole = self.tokens(text)
-        if not whole:
-            return Unit(False, 0, 0, "", 0, np.empty(0, np.int64))
-        cuts = cuts_of(tokens)
-        return Unit(True, len(tokens.a), len(tokens.b), groups_text(tokens, cuts), len(cuts), links_of(tokens))
+    def make(self, units: list[str]) -> list[Unit]:
+        """What is known of distinct units. They are aligned side by side, as one text, every seam being a cut."""
+        if not units:
+            return []
+        a, b = self.first_ids(units), [i for ids in self.second_ids(units) for i in ids]
+        if not self.spells("".join(units), a, b):
+            if len(units) == 1:
+                return [BROKEN]
+            half = len(units) // 2
+            return self.make(units[:half]) + self.make(units[half:])
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        tokens = Tokens(a, np.cumsum(self.a_size[a]), b, np.cumsum(self.b_size[b]))
+        cuts, links = cuts_of(tokens), links_of(tokens)
+        ends = ends_of(tokens)
+        # Ids as text in the order of groups, each with the sign that follows it, without the last unit's own ends.
+        i, j = (np.searchsorted(x, cuts, side="right") for x in (tokens.a_end, tokens.b_end))
+        in_a, in_b = np.diff(i, prepend=0), np.diff(j, prepend=0)
+        text = np.empty(len(a) + len(b), dtype=object)
+        at_a = np.arange(len(a)) + np.repeat(j - in_b, in_a)
+        at_b = np.arange(len(b)) + np.repeat(i, in_b)
+        text[at_a], text[at_b] = self.a_text[a], self.b_text[b]
+        text[at_a[i - 1]], text[at_b[j - 1]] = self.a_last[a[i - 1]], self.b_last[b[j - 1]]
+        text = text.tolist()
+        unit_end = np.cumsum([len(u.encode()) for u in units])
+        upto = [np.searchsorted(x, unit_end, side="right") for x in (tokens.a_end, tokens.b_end, cuts, ends)]
+        n_a, n_b, n_groups = (np.diff(x, prepend=0).tolist() for x in upto[:3])
+        t, e, raw = (upto[0] + upto[1]).tolist(), (8 * upto[3]).tolist(), links.astype(np.int64).tobytes()
+        return [
+            Unit(True, k_a, k_b, "".join(text[t0:t1])[:-1], k, raw[e0:e1])
+            for k_a, k_b, k, t0, t1, e0, e1 in zip(n_a, n_b, n_groups, [0, *t], t, [0, *e], e)
+        ]
 
     def units_of(self, texts: list[str]) -> tuple[list[Unit], np.ndarray, np.ndarray]:
-        """The distinct units of texts, for each unit of each text its place among them, and how many units each text has."""
-        own = [SEAM.split(t) for t in texts]
-        place: dict[str, int] = {}
-        codes = np.array([place.setdefault(u, len(place)) for x in own for u in x], dtype=np.int64)
-        if len(self.units) > UNITS:
-            self.units.clear()
-        found = []
-        for text in place:
-            unit = self.units.get(text)
-            if unit is None:
-                unit = self.unit(text)
-                if len(text) < 100:
-                    self.units[text] = unit
-            found.append(unit)
+        """The distinct units of texts with a space in front, for each unit of each text its place among them, and how many
+        units each text has."""
+        own = [SEAM.split(" " + t) for t in texts]
+        flat = list(chain.from_iterable(own))
+        place = {u: k for k, u in enumerate(dict.fromkeys(flat))}
+        codes = np.fromiter(map(place.__getitem__, flat), dtype=np.int64, count=len(flat))
+        for kept in (self.units, self.parts):
+            if len(kept) > UNITS:
+                kept.clear()
+        new = place.keys() - self.units.keys()
+        plain = list(filter(PLAIN.fullmatch, new))
+        for kind in (plain, list(new.difference(plain))):
+            self.units.update(zip(kind, self.make(kind)))
+        found = [self.units[u] for u in place]
+        for long in [u for u in new if len(u) > 100]:
+            del self.units[long]
         return found, codes, np.array([len(x) for x in own], dtype=np.int64)
 
 
@@ -188,7 +256,9 @@ def aligner(paths: tuple[str, str]) -> Aligner:
 
 def counted(codes: np.ndarray, distinct: np.ndarray, of: np.ndarray, n: int) -> tuple[pa.ListArray, pa.ListArray]:
     """Distinct keys of each of n owners and how often each occurs, as lists; keys are given by their places in ``distinct``."""
-    both, times = np.unique(of * max(1, len(distinct)) + codes, return_counts=True)
+    both = np.sort(of * max(1, len(distinct)) + codes)
+    heads = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.empty(0, np.int64)
+    times, both = np.diff(np.append(heads, len(both))), both[heads]
     owner, key = np.divmod(both, max(1, len(distinct)))
     ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]), pa.int32())
     return pa.ListArray.from_arrays(ends, pa.array(distinct[key], pa.int64())), pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))
@@ -215,8 +285,8 @@ def align_whole(rows: DataFrame, paths: tuple[str, str]) -> DataFrame:
         # Pairs: those of every unit, for every time the unit occurs in a text.
         kept = good[of]
         unit, owner = codes[kept], of[kept]
-        size = np.array([len(u.pairs) for u in units], dtype=np.int64)
-        flat = np.concatenate([u.pairs for u in units])
+        size = np.array([len(u.pairs) for u in units], dtype=np.int64) // 8
+        flat = np.frombuffer(b"".join([u.pairs for u in units]), dtype=np.int64)
         begin = np.cumsum(size) - size
         m = size[unit]
         pair_codes, distinct = pd.factorize(flat)
@@ -242,7 +312,7 @@ def byte_ranges(text: bytes, size: int) -> Iterator[tuple[int, int, int, int, by
     are ``size`` long, but where seams are more than ``size`` apart they go on, so no text is handed on more than thrice.
     """
     whole = b" " + text
-    seams = np.array([m.start() for m in re.finditer(rb"(?<=[!-~]) (?=[!-~])", whole)], dtype=np.int64)
+    seams = np.array([m.start() for m in BYTE_SEAM.finditer(whole)], dtype=np.int64)
     edges = np.concatenate([[0], seams, [len(whole)]])
     bounds = np.arange(size, len(whole), size)
     below, above = edges[np.searchsorted(edges, bounds, side="right") - 1], edges[np.searchsorted(edges, bounds)]
@@ -286,7 +356,7 @@ def align_chunks(rows: DataFrame, paths: tuple[str, str], size: int) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                tokens, whole = aligner(paths).tokens(r["part"][1:].decode("utf-8", "replace"), r["at"])
+                tokens, whole = aligner(paths).tokens(r["part"].decode("utf-8", "replace"), r["at"])
                 own = tokens.part(r["lo"], r["hi"]) if whole else NOTHING
                 fragment, closed, cuts = fragment_of(own, r["chunk"])
                 yield pa.RecordBatch.from_pylist([{"whole": whole, **record("", r["row"], r["chunk"], fragment, closed, cuts)}], schema=leaf_shape)
@@ -477,7 +547,7 @@ def align(docs: DataFrame, paths: tuple[str, str] | None = None, size: int = 65_
 
 def align_one(text: str, paths: tuple[str, str] | None = None, bounds: Iterable[int] = ()) -> tuple[str, np.ndarray]:
     """Groups and links of one text by fragments between any ``bounds`` (bytes), composed from left to right."""
-    tokens, _ = aligner(paths or model_paths()).tokens(text)
+    tokens, _ = aligner(paths or model_paths()).tokens(" " + text)
     end = 1 + len(text.encode())
     edges = [0, *sorted(b for b in set(bounds) if 0 < b < end), end]
     now, parts = Fragment(True), []

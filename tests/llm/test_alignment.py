@@ -103,7 +103,7 @@ def test_fragments_compose_in_any_order():
     """Any cuts into ranges, composed in any order, give what the whole text gives; composing is associative."""
     rng = random.Random(7)
     for text in [t for t in TEXTS + long_texts(rng) if spelled(t)]:
-        tokens, _ = alignment.aligner((A_PATH, B_PATH)).tokens(text)
+        tokens, _ = alignment.aligner((A_PATH, B_PATH)).tokens(" " + text)
         whole, links = alignment.align_one(text)
         end = 1 + len(text.encode())
         for _ in range(3):
@@ -118,13 +118,32 @@ def test_fragments_compose_in_any_order():
             assert flat(left) == flat(right)
 
 
+def test_no_piece_goes_across_a_seam():
+    pieces = [B.id_to_piece(i) for i in range(B.get_piece_size())]
+    assert not any("\n" in p for p in pieces) and not any("▁" in p.lstrip("▁") for p in pieces)
+
+
+def test_units_have_the_tokens_of_whole_texts():
+    rng = random.Random(9)
+    letters = [*map(chr, range(0x21, 0x180)), "'s", "'ll", "  ", "\n\n", "\t", "<|endoftext|>", "中", "e\u0301", "\u2003"]
+    words = ["".join(rng.choices(letters if k % 3 else letters[:94], k=rng.randint(1, 7))) for k in range(6000)]
+    text = "".join(w + rng.choice(" \n ") for w in words)
+    at = alignment.Aligner((A_PATH, B_PATH))
+    units, codes, _ = at.units_of([text])
+    a, b = spelled(text)
+    assert sum(units[c].n_a for c in codes) == len(a) and sum(units[c].n_b for c in codes) == len(b)
+    assert ";".join(units[c].groups for c in codes) == alignment.align_one(text)[0]
+    got = [tuple(map(int, part.split(","))) for c in codes for g in units[c].groups.split(";") for part in g.split("|")[:1]]
+    assert [i for ids in got for i in ids] == [i for i, _ in a]
+
+
 def test_ranges_are_whole_and_not_handed_on_often():
     rng = random.Random(2)
     for text in [t.encode() for t in long_texts(rng)] + [b"x" * 5000 + b" a b " + b"y" * 300]:
         parts = list(alignment.byte_ranges(text, 64))
         assert [p[1] for p in parts] == [0, *[p[2] for p in parts[:-1]]] and parts[-1][2] == len(text) + 1
         assert sum(len(p[4]) for p in parts) <= 3 * (len(text) + 1)
-        assert all(at <= lo and at + len(part) >= hi and part[:1] == b" " for _, lo, hi, at, part in parts)
+        assert all(at <= lo and at + len(part) >= hi and part[:1] in (b" ", b"\n") for _, lo, hi, at, part in parts)
 
 
 def test_query(spark):
