@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyscope.functions.lineage import new_folder
 from tallyscope.operators import calibrate, evaluate, labelled, reach, scale, share, trend
 from tallyscope.operators.assoc import match_entities
 from tallyscope.plans.base_queries import learning_log
@@ -85,100 +86,86 @@ def _(d):
 
 # ---- trends
 
-SUBJECT, FIRST_ANCHOR, LAST_ANCHOR = "2024-01-27", "2024-01-20", "2024-01-26"
-DAYS = [f"2024-01-{n}" for n in range(20, 27)]
-SETS = [",".join(DAYS), "2024-01-24,2024-01-25,2024-01-26", "2024-01-20,2024-01-21"]
+# Sets of anchor days that have one trend, as days before the subject day.
+SETS = ((7, 6, 5, 4, 3, 2, 1), (3, 2, 1), (7, 6))
 
 
-def trend_sql(subject: str, first: str, last: str, days: list[str], sets: list[str]) -> str:
+def set_name(days) -> str:
+    return " || ',' || ".join(f"CAST(date - {d} AS VARCHAR)" for d in days)
+
+
+def trend_sql(sets) -> str:
+    """Trends of every date with seven days before it, from each of these days and from the sets."""
     key = "country, app, source, model_type, model_date"
     group = "country, source, model_type, model_date"
-    in_days = ", ".join(f"DATE '{x}'" for x in days)
+    same = " AND ".join(f"{{0}}.{c} = k.{c}" for c in ("date", *key.split(", ")))
     parts = [
-        f"SELECT {key}, 'DAY' AS trend_type, CAST(anchor_date AS VARCHAR) AS anchor_dates, p, n, anchor_p, anchor_n, "
-        f"reliability, anchor_reliability FROM grid WHERE anchor_date IN ({in_days})"
+        f"SELECT date, {key}, 'DAY' AS trend_type, CAST(anchor_date AS VARCHAR) AS anchor_dates, p, n, anchor_p, anchor_n, "
+        "reliability, anchor_reliability FROM grid"
     ]
-    for s in sets:
-        members = ", ".join(f"DATE '{x}'" for x in s.split(","))
+    for days in sets:
         parts.append(
-            f"SELECT {key}, 'AVG_SCALE', '{s}', avg(p), CAST(ceil(avg(n)) AS BIGINT), avg(anchor_p), "
+            f"SELECT date, {key}, 'AVG_SCALE', {set_name(days)}, avg(p), CAST(ceil(avg(n)) AS BIGINT), avg(anchor_p), "
             f"CAST(ceil(avg(anchor_n)) AS BIGINT), avg(reliability), avg(anchor_reliability) FROM grid "
-            f"WHERE anchor_date IN ({members}) GROUP BY {key} HAVING count(anchor_date) = {len(s.split(','))}"
+            f"WHERE date - anchor_date IN ({', '.join(map(str, days))}) GROUP BY date, {key} HAVING count(anchor_date) = {len(days)}"
         )
     return f"""
-    WITH sub AS (SELECT {key}, p, n, reliability FROM v_src WHERE date = DATE '{subject}'),
-    anc AS (SELECT {key}, date AS anchor_date, p AS anchor_p, n AS anchor_n, reliability AS anchor_reliability FROM v_src
-      WHERE date BETWEEN DATE '{first}' AND DATE '{last}'),
-    keys AS (SELECT {key} FROM sub UNION SELECT {key} FROM anc),
-    grid AS (SELECT k.country, k.app, k.source, k.model_type, k.model_date, sn.n, dn.anchor_date, dn.anchor_n,
+    WITH sub AS (SELECT date, {key}, p, n, reliability FROM v_src WHERE date >= (SELECT min(date) + 7 FROM v_src)),
+    dates AS (SELECT DISTINCT date FROM sub),
+    anc AS (SELECT d.date, {key}, v.date AS anchor_date, p AS anchor_p, n AS anchor_n, reliability AS anchor_reliability
+      FROM dates d JOIN v_src v ON v.date BETWEEN d.date - 7 AND d.date - 1),
+    keys AS (SELECT date, {key} FROM sub UNION SELECT date, {key} FROM anc),
+    grid AS (SELECT k.date, k.country, k.app, k.source, k.model_type, k.model_date, sn.n, dn.anchor_date, dn.anchor_n,
         coalesce(s.p, 0) AS p, s.reliability, coalesce(x.anchor_p, 0) AS anchor_p, x.anchor_reliability
-      FROM keys k JOIN (SELECT DISTINCT {group}, n FROM sub) sn USING ({group})
-      JOIN (SELECT DISTINCT {group}, anchor_date, anchor_n FROM anc) dn USING ({group})
-      LEFT JOIN sub s ON s.country = k.country AND s.app = k.app AND s.source = k.source AND s.model_type = k.model_type
-        AND s.model_date = k.model_date
-      LEFT JOIN anc x ON x.country = k.country AND x.app = k.app AND x.source = k.source AND x.model_type = k.model_type
-        AND x.model_date = k.model_date AND x.anchor_date = dn.anchor_date),
+      FROM keys k JOIN (SELECT DISTINCT date, {group}, n FROM sub) sn USING (date, {group})
+      JOIN (SELECT DISTINCT date, {group}, anchor_date, anchor_n FROM anc) dn USING (date, {group})
+      LEFT JOIN sub s ON {same.format('s')} LEFT JOIN anc x ON {same.format('x')} AND x.anchor_date = dn.anchor_date),
     u AS ({" UNION ALL ".join(parts)})
-    SELECT {key}, trend_type, anchor_dates, p, n, anchor_p, anchor_n, p / nullif(anchor_p, 0) AS trend,
+    SELECT date, {key}, trend_type, anchor_dates, p, n, anchor_p, anchor_n, p / nullif(anchor_p, 0) AS trend,
       least(reliability, anchor_reliability) AS reliability FROM u WHERE p > 0 OR anchor_p > 0"""
 
 
 def merge_sql(trends: str) -> str:
+    of = "PARTITION BY date, country, app, trend_type, anchor_dates"
     return f"""
-    WITH l AS (SELECT * FROM (SELECT *, max(model_date) OVER (PARTITION BY country, app, source, model_type, trend_type,
+    WITH l AS (SELECT * FROM (SELECT *, max(model_date) OVER (PARTITION BY date, country, app, source, model_type, trend_type,
         anchor_dates) AS newest FROM {trends}) x WHERE model_date = newest),
     w AS (SELECT *, CASE WHEN n > anchor_n THEN anchor_n / n ELSE n / anchor_n END AS st,
-        n / sum(n) OVER (PARTITION BY country, app, trend_type, anchor_dates) AS w FROM l),
-    s AS (SELECT *, w * min(n / w) OVER (PARTITION BY country, app, trend_type, anchor_dates) AS sn,
-        w * min(anchor_n / w) OVER (PARTITION BY country, app, trend_type, anchor_dates) AS san FROM w),
-    g AS (SELECT country, app, trend_type, anchor_dates, sum(sn) AS n, sum(san) AS anchor_n,
+        n / sum(n) OVER ({of}) AS w FROM l),
+    s AS (SELECT *, w * min(n / w) OVER ({of}) AS sn, w * min(anchor_n / w) OVER ({of}) AS san FROM w),
+    g AS (SELECT date, country, app, trend_type, anchor_dates, sum(sn) AS n, sum(san) AS anchor_n,
         sum(p * w) / sum(w) AS p, sum(anchor_p * w) / sum(w) AS anchor_p, sum(st * w) / sum(w) AS stability_score,
         sum(reliability * w) / sum(CASE WHEN reliability IS NOT NULL THEN w END) AS reliability FROM s GROUP BY ALL)
     SELECT *, p / anchor_p AS trend FROM g WHERE anchor_p > 0"""
 
 
 def flat_trend(df):
-    return df.withColumn("trend_type", F.col("trend_id.type")).withColumn(
-        "anchor_dates", F.col("trend_id.anchor_dates")
-    ).drop("trend_id")
-
-
-def anchors_of(d: Data, first: str, last: str):
-    return between_dates(daily_sources(d), first, last).select(
-        F.col("date").alias("anchor_date"), *trend.KEYS, F.col("p").alias("anchor_p"), F.col("n").alias("anchor_n"),
-        F.col("reliability").alias("anchor_reliability"),
-    )
-
-
-def trends_of(d: Data, subject: str, first: str, last: str, days, sets):
-    own = daily_sources(d).filter(F.col("date") == F.lit(subject).cast("date")).select(*trend.KEYS, "p", "n", "reliability")
-    return trend.source_trends(own, anchors_of(d, first, last), days, sets)
+    return df.select("*", F.col("trend_id.type").alias("trend_type"), "trend_id.anchor_dates").drop("trend_id")
 
 
-STAGES["v_trends"] = trend_sql(SUBJECT, FIRST_ANCHOR, LAST_ANCHOR, DAYS, SETS)
+STAGES["v_trends"] = trend_sql(SETS)
 STAGES["v_merged_trends"] = merge_sql("v_trends")
-TREND_COLS = """country, app, source, model_type, model_date, trend_type, anchor_dates, round(p, 12) AS p, n,
+TREND_COLS = """date, country, app, source, model_type, model_date, trend_type, anchor_dates, round(p, 12) AS p, n,
     round(anchor_p, 12) AS anchor_p, anchor_n, round(trend, 12) AS trend, round(reliability, 12) AS reliability"""
 
 
 @query("trend_day2day", f"SELECT {TREND_COLS} FROM v_trends WHERE trend_type = 'DAY'")
 def _(d):
-    return flat_trend(trends_of(d, SUBJECT, FIRST_ANCHOR, LAST_ANCHOR, DAYS, []))
+    return flat_trend(trend.daily_trends(daily_sources(d)))
 
 
 @query("trend_avg_scale", f"SELECT {TREND_COLS} FROM v_trends WHERE trend_type = 'AVG_SCALE'")
 def _(d):
-    all_ = trends_of(d, SUBJECT, FIRST_ANCHOR, LAST_ANCHOR, DAYS, SETS)
-    return flat_trend(all_.filter(F.col("trend_id.type") == "AVG_SCALE"))
+    return flat_trend(trend.daily_trends(daily_sources(d), (), SETS))
 
 
 def merged_trends(d: Data):
-    return trend.merge_source_trends(trends_of(d, SUBJECT, FIRST_ANCHOR, LAST_ANCHOR, DAYS, SETS))
+    return trend.merge_source_trends(trend.daily_trends(daily_sources(d), sets=SETS))
 
 
 @query(
     "merge_source_trends",
-    """SELECT country, app, trend_type, anchor_dates, round(trend, 12) AS trend, round(p, 12) AS p, round(n, 12) AS n,
+    """SELECT date, country, app, trend_type, anchor_dates, round(trend, 12) AS trend, round(p, 12) AS p, round(n, 12) AS n,
          round(anchor_p, 12) AS anchor_p, round(anchor_n, 12) AS anchor_n, round(stability_score, 12) AS stability_score,
          round(reliability, 12) AS reliability FROM v_merged_trends""",
 )
@@ -187,28 +174,24 @@ def _(d):
 
 
 def prior_sql() -> str:
-    in_days = ", ".join(f"DATE '{x}'" for x in DAYS)
-    parts = [
-        f"SELECT country, app, 'DAY' AS trend_type, CAST(anchor_date AS VARCHAR) AS anchor_dates, "
-        f"CAST(u AS DOUBLE) AS u, CAST(a AS DOUBLE) AS a FROM grid WHERE anchor_date IN ({in_days})"
-    ]
-    for s in SETS:
-        members = ", ".join(f"DATE '{x}'" for x in s.split(","))
+    parts = ["SELECT date, country, app, 'DAY' AS trend_type, CAST(anchor_date AS VARCHAR) AS anchor_dates, CAST(u AS DOUBLE) AS u, CAST(a AS DOUBLE) AS a FROM grid"]
+    for days in SETS:
         parts.append(
-            f"SELECT country, app, 'AVG_SCALE', '{s}', avg(u), avg(a) FROM grid WHERE anchor_date IN ({members}) "
-            f"GROUP BY country, app HAVING count(anchor_date) = {len(s.split(','))}"
+            f"SELECT date, country, app, 'AVG_SCALE', {set_name(days)}, avg(u), avg(a) FROM grid "
+            f"WHERE date - anchor_date IN ({', '.join(map(str, days))}) GROUP BY date, country, app HAVING count(anchor_date) = {len(days)}"
         )
     return f"""
-    WITH m AS (SELECT date, country, bundle_id AS app, active_users FROM f_second_platform JOIN v_matches USING (android_id)
-      WHERE date BETWEEN DATE '{FIRST_ANCHOR}' AND DATE '{SUBJECT}'),
-    s AS (SELECT country, app, active_users AS u FROM m WHERE date = DATE '{SUBJECT}'),
-    a AS (SELECT date AS anchor_date, country, app, active_users AS a FROM m WHERE date <> DATE '{SUBJECT}'),
-    grid AS (SELECT k.country, k.app, c.anchor_date, coalesce(s.u, 0) AS u, coalesce(a.a, 0) AS a
-      FROM (SELECT DISTINCT country, app FROM m) k CROSS JOIN (SELECT DISTINCT anchor_date FROM a) c
-      LEFT JOIN s ON s.country = k.country AND s.app = k.app
-      LEFT JOIN a ON a.country = k.country AND a.app = k.app AND a.anchor_date = c.anchor_date),
+    WITH m AS (SELECT date, country, bundle_id AS app, active_users FROM f_second_platform JOIN v_matches USING (android_id)),
+    s AS (SELECT date, country, app, active_users AS u FROM m WHERE date >= (SELECT min(date) + 7 FROM m)),
+    a AS (SELECT s.date, m.date AS anchor_date, country, app, active_users AS a
+      FROM (SELECT DISTINCT date FROM s) s JOIN m ON m.date BETWEEN s.date - 7 AND s.date - 1),
+    k AS (SELECT date, country, app FROM s UNION SELECT date, country, app FROM a),
+    grid AS (SELECT k.date, k.country, k.app, c.anchor_date, coalesce(s.u, 0) AS u, coalesce(a.a, 0) AS a
+      FROM k JOIN (SELECT DISTINCT date, anchor_date FROM a) c ON c.date = k.date
+      LEFT JOIN s ON s.date = k.date AND s.country = k.country AND s.app = k.app
+      LEFT JOIN a ON a.date = k.date AND a.country = k.country AND a.app = k.app AND a.anchor_date = c.anchor_date),
     t AS ({" UNION ALL ".join(parts)})
-    SELECT country, app, trend_type, anchor_dates, u / a AS prior_trend, u AS active_users, a AS anchor_active_users FROM t
+    SELECT date, country, app, trend_type, anchor_dates, u / a AS prior_trend, u AS active_users, a AS anchor_active_users FROM t
     WHERE a > 0"""
 
 
@@ -217,12 +200,12 @@ STAGES["v_prior_trends"] = prior_sql()
 
 def prior_trends(d: Data):
     matches = match_entities(d["f_match"], d["f_bundle"])
-    return trend.prior_trends(d["f_second_platform"], matches, SUBJECT, FIRST_ANCHOR, SUBJECT, DAYS, SETS)
+    return trend.prior_trends(d["f_second_platform"], matches, sets=SETS)
 
 
 @query(
     "prior_trend",
-    """SELECT country, app, trend_type, anchor_dates, round(prior_trend, 12) AS prior_trend,
+    """SELECT date, country, app, trend_type, anchor_dates, round(prior_trend, 12) AS prior_trend,
          round(active_users, 12) AS active_users, round(anchor_active_users, 12) AS anchor_active_users FROM v_prior_trends""",
 )
 def _(d):
@@ -231,38 +214,36 @@ def _(d):
 
 @query(
     "trend_prior_blend",
-    """SELECT country, app, trend_type, anchor_dates,
+    """SELECT date, country, app, trend_type, anchor_dates,
          round(CASE WHEN q.prior_trend IS NULL THEN trend ELSE 0.75 * trend + 0.25 * q.prior_trend END, 12) AS trend,
          round(p, 12) AS p, round(n, 12) AS n, round(anchor_p, 12) AS anchor_p, round(anchor_n, 12) AS anchor_n,
          round(stability_score, 12) AS stability_score, round(reliability, 12) AS reliability,
          round(trend, 12) AS clean_trend, round(q.prior_trend, 12) AS prior_trend
-       FROM v_merged_trends LEFT JOIN v_prior_trends q USING (country, app, trend_type, anchor_dates)""",
+       FROM v_merged_trends LEFT JOIN v_prior_trends q USING (date, country, app, trend_type, anchor_dates)""",
 )
 def _(d):
     return flat_trend(trend.blend_prior(merged_trends(d), prior_trends(d), prior_weight=0.25))
 
 
-# The last week of the data, carried forward from the seven days before it; each date has trends from its seven previous days.
-LAST_WEEK = [f"2024-01-{n}" for n in range(24, 31)]
-CHAIN = {day: [f"2024-01-{n}" for n in range(int(day[-2:]) - 7, int(day[-2:]))] for day in LAST_WEEK}
-for _day, _back in CHAIN.items():
-    _tag = _day[-2:]
-    STAGES[f"v_chain_trends{_tag}"] = trend_sql(_day, _back[0], _back[-1], _back, [",".join(_back)])
-    STAGES[f"v_chain{_tag}"] = merge_sql(f"v_chain_trends{_tag}")
-STAGES["v_known23"] = """
+# Every date after the first seven, each from its seven previous days and their average; the SQL unrolls the steps.
+CHAIN = [f"2024-01-{n:02}" for n in range(8, 31)]
+CHAIN_SET = ((7, 6, 5, 4, 3, 2, 1),)
+STAGES["v_chain_trends"] = trend_sql(CHAIN_SET)
+STAGES["v_chain"] = merge_sql("v_chain_trends")
+STAGES["v_chain_days"] = """
+    SELECT *, CAST(unnest(string_split(anchor_dates, ',')) AS DATE) AS one, len(string_split(anchor_dates, ',')) AS n_days FROM v_chain"""
+STAGES["v_known07"] = """
     SELECT date AS anchor_date, country, app, p, n, p AS eff FROM v_merged
-    WHERE date BETWEEN DATE '2024-01-17' AND DATE '2024-01-23'"""
+    WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-07'"""
 
 
 def step_sql(day: str, known: str) -> str:
-    tag = day[-2:]
     return f"""
-    WITH t AS (SELECT *, unnest(string_split(anchor_dates, ',')) AS one,
-        len(string_split(anchor_dates, ',')) AS n_days FROM v_chain{tag}),
+    WITH t AS (SELECT * FROM v_chain_days WHERE date = DATE '{day}'),
     j AS (SELECT t.country, t.app, trend_type, anchor_dates, trend, t.p AS tp, t.anchor_p AS tap, t.n AS tn,
         t.anchor_n AS tan, sum(k.p) / max(n_days) AS ap, avg(k.n) AS an,
         sum(k.eff) / max(n_days) AS ae
-      FROM t JOIN {known} k ON k.country = t.country AND k.app = t.app AND k.anchor_date = CAST(one AS DATE) GROUP BY ALL),
+      FROM t JOIN {known} k ON k.country = t.country AND k.app = t.app AND k.anchor_date = one GROUP BY ALL),
     w AS (SELECT *, ap * trend AS p, sqrt(ae * an * (tap * tan)) AS w0 FROM j WHERE ap > 0),
     v AS (SELECT *, w0 / sum(w0) OVER (PARTITION BY country, app) AS w FROM w),
     g AS (SELECT country, app, sum(p * w) / sum(w) AS p, sum(tp * w) / sum(w) AS eff, ceil(round(sum(tn * w) / sum(w), 9)) AS n,
@@ -274,44 +255,66 @@ def step_sql(day: str, known: str) -> str:
     FROM g FULL JOIN r ON g.country = r.country AND g.app = r.app"""
 
 
-for _day in LAST_WEEK:
+for _day in CHAIN:
     _n = int(_day[-2:])
-    STAGES[f"v_applied{_n}"] = step_sql(_day, f"v_known{_n - 1}")
-    STAGES[f"v_known{_n}"] = f"SELECT * FROM v_known{_n - 1} UNION ALL SELECT date, country, app, p, n, eff_p FROM v_applied{_n}"
-STAGES["v_applied"] = " UNION ALL ".join(f"SELECT * FROM v_applied{day[-2:]}" for day in LAST_WEEK)
+    STAGES[f"v_applied{_n:02}"] = step_sql(_day, f"v_known{_n - 1:02}")
+    STAGES[f"v_known{_n:02}"] = f"""
+        SELECT * FROM v_known{_n - 1:02} WHERE anchor_date > DATE '{_day}' - 7
+        UNION ALL SELECT date, country, app, p, n, eff_p FROM v_applied{_n:02}"""
+STAGES["v_applied"] = " UNION ALL ".join(f"SELECT * FROM v_applied{day[-2:]}" for day in CHAIN)
 
 
-def applied(d: Data):
-    trends = lambda: union_all(
-        trend.merge_source_trends(trends_of(d, day, back[0], back[-1], back, [",".join(back)])).withColumn(
-            "date", F.lit(day).cast("date")
-        )
-        for day, back in CHAIN.items()
-    )
+def first_days(d: Data):
+    """The days before any trend: the panel's own estimates."""
     raw = daily_estimates(d)
-    seeds = between_dates(raw, "2024-01-17", "2024-01-23").withColumn("eff_p", F.col("p"))
-    return d.stage("applied", lambda: trend.apply_trends(d.stage("chain", trends), raw, seeds, list(CHAIN)))
+    last = raw.agg(F.date_add(F.min("date"), 6).alias("last"))
+    return raw.filter(F.col("date") <= last.scalar()).withColumn("eff_p", F.col("p"))
 
 
-@query(
-    "apply_trend",
-    """SELECT date, country, app, round(p, 12) AS p, n, round(raw_p, 12) AS raw_p, round(eff_p, 12) AS eff_p, n_anchors
-       FROM v_applied""",
-)
-def _(d):
-    done = applied(d)
+def applied(d: Data):
+    def build():
+        raw = daily_estimates(d)
+        trends = trend.merge_source_trends(trend.daily_trends(daily_sources(d), sets=CHAIN_SET))
+        after = raw.agg(F.date_add(F.min("date"), 7).alias("first"))
+        return trend.apply_trends(trends, raw.filter(F.col("date") >= after.scalar()), first_days(d))
+
+    return d.stage("applied", build)
+
+
+APPLIED_SQL = """SELECT date, country, app, round(p, 12) AS p, n, round(raw_p, 12) AS raw_p, round(eff_p, 12) AS eff_p, n_anchors
+       FROM v_applied"""
+
+
+def counted_anchors(done):
     # size() of a missing list is NULL, as in the counterpart.
     return done.withColumn("n_anchors", F.size("anchors").cast("bigint")).drop("anchors")
 
 
+@query("apply_trend", APPLIED_SQL)
+def _(d):
+    return counted_anchors(applied(d))
+
+
+@query("apply_trend_resumed", APPLIED_SQL)
+def _(d):
+    """The same table, kept in a folder by date: a first run stops in the middle, a second one goes on after its last date."""
+    raw, path = daily_estimates(d), new_folder(d.spark, "estimates")
+    trends = d.stage("chain", lambda: trend.merge_source_trends(trend.daily_trends(daily_sources(d), sets=CHAIN_SET)))
+    trend.extend_estimates(path, trends, raw, CHAIN[:10], first_days(d), step=5)
+    trend.extend_estimates(path, trends, raw, CHAIN, step=7)
+    later = trend.estimates_at(d.spark, path).filter(F.col("date") >= F.lit(CHAIN[0]).cast("date"))
+    return counted_anchors(later.select("date", "country", "app", "p", "n", "raw_p", "eff_p", "anchors"))
+
+
 @query(
     "apply_trend_init",
     """SELECT country, app, round(p, 12) AS p, n, round(p, 12) AS raw_p, round(p, 12) AS eff_p, CAST(NULL AS BIGINT) AS n_anchors
-       FROM v_merged WHERE date = DATE '2024-01-20'""",
+       FROM v_merged WHERE date = (SELECT min(date) FROM v_merged)""",
 )
 def _(d):
-    first = trend.initial_estimates(between_dates(daily_estimates(d), "2024-01-20", "2024-01-20"))
-    return first.withColumn("n_anchors", F.size("anchors").cast("bigint")).drop("anchors")
+    raw = daily_estimates(d)
+    first = raw.agg(F.min("date").alias("first"))
+    return counted_anchors(trend.initial_estimates(raw.filter(F.col("date") == first.scalar())))
 
 
 # ---- scale

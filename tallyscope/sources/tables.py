@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -71,6 +72,12 @@ def read_and_union(spark: SparkSession, paths: Sequence[str], allow_missing: boo
     return union_all((read_parquet(spark, p) for p in paths), allow_missing)
 
 
+def folder_of(spark: SparkSession, path: str):
+    """The file system of a path and the path, for listing and renaming."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
@@ -89,6 +96,14 @@ def read_first_root(spark: SparkSession, path: str, roots: Sequence[str]) -> Dat
     return read_parquet(spark, resolve(spark, path, roots))
 
 
+DONE = "_SUCCESS"
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether the job that wrote a folder came to its end."""
+    return path_exists(spark, f"{path.rstrip('/')}/{DONE}")
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -96,12 +111,59 @@ def write_parquet(
     overwrite: bool = False,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Write to the first root: replace what is there, or leave an existing output alone."""
-    target = f"{roots[0].rstrip('/')}/{path.lstrip('/')}" if roots[0] else path
-    writer = df.write.mode("overwrite" if overwrite else "ignore")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
+    """Publish to the first root: replace what is there, or leave an existing complete output alone.
+
+    A new output is written beside its place and moved there when it is complete, so readers never see half of one. What
+    an interrupted job has left there, having no success marker, is replaced.
+    """
+    spark = df.sparkSession
+    target = (f"{roots[0].rstrip('/')}/{path.lstrip('/')}" if roots[0] else path).rstrip("/")
+    if not overwrite and is_complete(spark, target):
+        return
+    staging = f"{target}.staging-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(staging)
+    fs, place = folder_of(spark, target)
+    if fs.exists(place):
+        fs.delete(place, True)
+    fs.mkdirs(place.getParent())
+    if not fs.rename(folder_of(spark, staging)[1], place):
+        raise OSError(f"{staging} could not be moved to {target}")
+
+
+def mark_finished(spark: SparkSession, path: str, days: Iterable, column: str = "date") -> None:
+    """Put a success marker into the folders of these days; a day without rows gets a folder of its own."""
+    for day in days:
+        fs, marker = folder_of(spark, f"{path.rstrip('/')}/{column}={as_date(day)}/{DONE}")
+        fs.create(marker, True).close()
+
+
+def date_folders(spark: SparkSession, path: str, column: str = "date") -> DataFrame:
+    """(date, files, bytes, complete) of every date folder of a tree: data files in it, and whether it has a success marker.
+
+    The listing is one call per day on the driver, of names and sizes only.
+    """
+    fs, root = folder_of(spark, path)
+    rows = []
+    for folder in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, f"{column}=*")) or []:
+        day = folder.getPath().getName().split("=", 1)[1]
+        listed = [(f.getPath().getName(), f.getLen()) for f in fs.listStatus(folder.getPath())]
+        data = [size for name, size in listed if not name.startswith(("_", "."))]
+        rows.append((as_date(day), len(data), sum(data), any(name == DONE for name, _ in listed)))
+    return spark.createDataFrame(rows, f"{column} date, files bigint, bytes bigint, complete boolean")
+
+
+def finished_dates(spark: SparkSession, path: str, column: str = "date") -> list[dt.date]:
+    """The dates whose folders have a success marker, ascending."""
+    fs, root = folder_of(spark, path)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, f"{column}=*/{DONE}")) or []
+    return sorted(as_date(f.getPath().getParent().getName().split("=", 1)[1]) for f in found)
+
+
+def unfinished_dates(spark: SparkSession, path: str, start, end, column: str = "date") -> DataFrame:
+    """Days of the range whose folder is missing or was left half-written."""
+    complete = date_folders(spark, path, column).filter("complete")
+    return missing_dates(complete, start, end, column)
 
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

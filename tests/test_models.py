@@ -1,4 +1,6 @@
+import datetime as dt
 import math
+import os
 import random
 
 import numpy as np
@@ -136,15 +138,114 @@ def test_clamping(spark):
 
 
 def test_trend_of_absent_app_is_zero_and_of_absent_anchor_is_null(spark):
-    cols = "country int, app string, source string, model_type string, model_date string, p double, n bigint, reliability double"
-    subject = spark.createDataFrame([(1, "a", "s", "t", "m", 0.2, 10, 1.0), (1, "b", "s", "t", "m", 0.1, 10, 1.0)], cols)
-    anchors = spark.createDataFrame(
-        [("2024-01-01", 1, "a", "s", "t", "m", 0.1, 20, 1.0), ("2024-01-01", 1, "c", "s", "t", "m", 0.3, 20, 1.0)],
-        "anchor_date string, country int, app string, source string, model_type string, model_date string, anchor_p double, "
-        "anchor_n bigint, anchor_reliability double",
-    ).withColumn("anchor_date", F.col("anchor_date").cast("date"))
-    found = {r.app: r.trend for r in trend.source_trends(subject, anchors, ["2024-01-01"]).collect()}
-    assert found == {"a": pytest.approx(2.0), "b": None, "c": 0.0}
+    cols = "date string, country int, app string, source string, model_type string, model_date string, p double, n bigint, reliability double"
+    rows = [("2024-01-01", 1, a, "s", "t", "m", p, 20, 1.0) for a, p in (("a", 0.1), ("c", 0.3))]
+    rows += [("2024-01-02", 1, a, "s", "t", "m", p, 10, 1.0) for a, p in (("a", 0.2), ("b", 0.1))]
+    estimates = spark.createDataFrame(rows, cols).withColumn("date", F.col("date").cast("date"))
+    found = trend.daily_trends(estimates, (1,)).collect()
+    assert {r.app: r.trend for r in found} == {"a": pytest.approx(2.0), "b": None, "c": 0.0}
+    assert {str(r.date) for r in found} == {"2024-01-02"}
+    assert {r.trend_id.anchor_dates for r in found} == {"2024-01-01"}
+
+
+TREND = "date date, country int, app string, trend_id struct<type: string, anchor_dates: string>, trend double, p double, n double, anchor_p double, anchor_n double"
+
+
+def day(k):
+    return dt.date(2024, 1, 1) + dt.timedelta(days=k)
+
+
+def chain_inputs(spark, apps=6, days=20, seed=4):
+    """Random trends from single days and sets of up to 14 days, with days and apps missing."""
+    rng = random.Random(seed)
+    raw = [(day(k), c, f"a{a}", rng.uniform(0.01, 0.3), rng.randint(20, 90)) for k in range(days) for c in (1, 2) for a in range(apps) if rng.random() < 0.8]
+    trends = []
+    for k in range(7, days):
+        for c in (1, 2):
+            for a in range(apps + 1):
+                sets = [(o,) for o in range(1, 8)] + [tuple(range(7, 0, -1)), tuple(range(min(k, 14), 0, -1))]
+                for days_back in rng.sample(sets, 5):
+                    name = ",".join(str(day(k - o)) for o in days_back)
+                    kind = "DAY" if len(days_back) == 1 else "AVG_SCALE"
+                    values = [rng.uniform(0.5, 2), rng.uniform(0.01, 0.3), rng.randint(20, 90) / 1.0, rng.uniform(0.01, 0.3), rng.uniform(20, 90)]
+                    trends.append((day(k), c, f"a{a}", (kind, name), *values))
+    return (
+        spark.createDataFrame(trends, TREND),
+        spark.createDataFrame(raw, "date date, country int, app string, p double, n bigint"),
+        trends,
+        raw,
+    )
+
+
+def by_hand(trends, raw):
+    """One date after the other, as the definition says."""
+    state = {(d, c, a): (p, n, p) for d, c, a, p, n in raw if d < day(7)}
+    own = {(d, c, a): (p, n) for d, c, a, p, n in raw if d >= day(7)}
+    out = {}
+    for key in sorted({t[:3] for t in trends} | set(own)):
+        d, c, a = key
+        voices = []
+        for _, _, _, (kind, name), value, p, n, ap, an in (t for t in trends if t[:3] == key):
+            days = name.split(",")
+            met = [state[k] for x in days if (k := (dt.date.fromisoformat(x), c, a)) in state]
+            if sum(m[0] for m in met) > 0:
+                weight = math.sqrt(sum(m[2] for m in met) / len(days) * sum(m[1] for m in met) / len(met) * ap * an)
+                voices.append((weight, sum(m[0] for m in met) / len(days) * value, p, n, ap, an))
+        total = sum(v[0] for v in voices)
+        mean = lambda k: sum(v[0] * v[k] for v in voices) / total  # noqa: B023, E731
+        up = lambda k: math.ceil(round(mean(k), 9))  # noqa: B023, E731
+        if voices and round(mean(4) * up(5)) > 0:
+            found = (mean(1), up(3), mean(2), len(voices))
+        elif key in own:
+            found = (own[key][0], own[key][1], own[key][0], None)
+        else:
+            continue
+        state[key] = found[:3]
+        out[key] = found
+    return out
+
+
+def same_chain(rows, want):
+    got = {(r.date, r.country, r.app): (r.p, r.n, r.eff_p, None if r.anchors is None else len(r.anchors)) for r in rows}
+    assert got.keys() == want.keys() and len(rows) == len(want)
+    for key, found in got.items():
+        assert found == pytest.approx(want[key]), key
+
+
+def test_trends_are_applied_to_all_days_in_order(spark):
+    trends, raw, t, r = chain_inputs(spark)
+    seeds = raw.filter(F.col("date") < F.lit(day(7))).withColumn("eff_p", F.col("p"))
+    rows = trend.apply_trends(trends, raw.filter(F.col("date") >= F.lit(day(7))), seeds).collect()
+    same_chain(rows, by_hand(t, r))
+    some = next(x for x in rows if x.anchors)
+    assert sum(v.w for v in some.anchors) == pytest.approx(1) and [v.trend_id for v in some.anchors] == sorted(v.trend_id for v in some.anchors)
+
+
+def test_a_set_of_fourteen_days_counts_all_of_them(spark):
+    """Anchors of any age are met: nothing is cut off after a week."""
+    name = ",".join(str(day(k)) for k in range(14))
+    trends = spark.createDataFrame([(day(14), 1, "a", ("AVG_SCALE", name), 1.0, 0.1, 50.0, 0.1, 50.0)], TREND)
+    seeds = spark.createDataFrame([(day(k), 1, "a", 0.1, 50, 0.1) for k in range(14)], "date date, country int, app string, p double, n bigint, eff_p double")
+    none = seeds.limit(0).drop("eff_p")
+    assert [r.p for r in trend.apply_trends(trends, none, seeds).collect()] == [pytest.approx(0.1)]
+    assert trend.apply_trends(trends.limit(0), none, seeds).count() == 0
+
+
+def test_chain_stopped_in_the_middle_goes_on_from_its_last_day(spark, tmp_path):
+    trends, raw, t, r = chain_inputs(spark, seed=8)
+    seeds = raw.filter(F.col("date") < F.lit(day(7))).withColumn("eff_p", F.col("p"))
+    days, path = [day(k) for k in range(7, 20)], f"{tmp_path}/estimates"
+    with pytest.raises(FileNotFoundError):
+        trend.extend_estimates(path, trends, raw, days)
+    assert trend.extend_estimates(path, trends, raw, days[:6], seeds, step=4) == days[:6]
+    # An interrupted step: a day's files are there, but wrong, and not marked as finished.
+    wrong = spark.createDataFrame([(day(13), 1, "a0", 9.0, 1, 9.0)], "date date, country int, app string, p double, n bigint, eff_p double")
+    wrong.write.mode("append").partitionBy("date").parquet(path)
+    os.remove(f"{path}/date={day(13)}/_SUCCESS") if os.path.exists(f"{path}/date={day(13)}/_SUCCESS") else None
+    assert trend.estimates_at(spark, path).agg(F.max("date")).first()[0] == days[5]
+    assert trend.extend_estimates(path, trends, raw, days, step=3) == days[6:]
+    assert trend.extend_estimates(path, trends, raw, days) == []
+    same_chain(trend.estimates_at(spark, path).filter(F.col("date") >= F.lit(day(7))).collect(), by_hand(t, r))
 
 
 def test_anchor_plan():
