@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyscope.contracts import require
 from tallyscope.functions.exprs import ratio
+from tallyscope.functions.skew import split_join
 from tallyscope.functions.lineage import cut_lineage
 from tallyscope.functions.urls import domain_label, url_host, with_domain
 from tallyscope.operators.assoc import correlate, phi
@@ -255,23 +256,25 @@ def flatten_cliques(cliques: DataFrame, suffixes: DataFrame) -> DataFrame:
 def clique_jaccard(flat: DataFrame, bundles: DataFrame, on: str, source: str) -> DataFrame:
     """Overlap of a clique's and a bundle's hosts (or domains) over their union.
 
-    Both sides are reduced to distinct pairs before they meet.
+    Both sides are reduced to distinct pairs before they meet. Cliques of the same hosts (or domains) meet the bundles once
+    and have their pairs handed out afterwards. Hosts and domains of very many bundles, and sets of very many cliques, are
+    split over tasks.
     """
-    mine = flat.select("clique_id", on).filter(F.col(on).isNotNull()).distinct()
+    mine = flat.filter(F.col(on).isNotNull()).groupBy("clique_id").agg(F.array_sort(F.collect_set(on)).alias("_set"))
+    alike = mine.groupBy("_set").agg(F.min("clique_id").alias("_like"))
     theirs = bundles.select("bundle_id", on).filter(F.col(on).isNotNull()).distinct()
-    x = mine.groupBy("clique_id").agg(F.count(F.lit(1)).alias("_x"))
     y = theirs.groupBy("bundle_id").agg(F.count(F.lit(1)).alias("_y"))
-    xy = mine.join(theirs, on).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("_xy"))
-    return (
-        xy.join(x, "clique_id")
-        .join(y, "bundle_id")
-        .select(
-            *PAIR,
-            F.col("_x").alias(f"{source}_{on}s_X"),
-            F.col("_y").alias(f"{source}_{on}s_Y"),
-            ratio("_xy", F.col("_x") + F.col("_y") - F.col("_xy")).alias(f"{source}_{on}s_score"),
-        )
+    met = split_join(theirs, alike.select("_like", F.size("_set").cast("bigint").alias("_x"), F.explode("_set").alias(on)), on)
+    xy = met.groupBy("_like", "_x", "bundle_id").agg(F.count(F.lit(1)).alias("_xy"))
+    scores = xy.join(y, "bundle_id").select(
+        "_like",
+        "bundle_id",
+        F.col("_x").alias(f"{source}_{on}s_X"),
+        F.col("_y").alias(f"{source}_{on}s_Y"),
+        ratio("_xy", F.col("_x") + F.col("_y") - F.col("_xy")).alias(f"{source}_{on}s_score"),
     )
+    members = mine.join(alike, "_set").select("clique_id", "_like")
+    return split_join(members, scores, "_like").drop("_like")
 
 
 def clique_max_correlation(flat: DataFrame, bundles: DataFrame) -> DataFrame:
@@ -279,7 +282,7 @@ def clique_max_correlation(flat: DataFrame, bundles: DataFrame) -> DataFrame:
     best = bundles.groupBy("bundle_id", "host").agg(F.max("correlation").alias("correlation"))
     hosts = flat.select("clique_id", "host").distinct()
     return (
-        hosts.join(best, "host")
+        split_join(hosts, best, "host")
         .groupBy(*PAIR)
         .agg(F.max("correlation").alias("max_corr"))
     )
@@ -382,20 +385,35 @@ def clique_scores(predicted: DataFrame, priors: DataFrame, min_prob: float = 0.9
 
 
 def match_sessions(panel: DataFrame, scored: DataFrame, min_share: float = 0.6) -> DataFrame:
-    """Sessions that touched enough of a clique, with their hosts and the clique's bundles."""
-    cliques = scored.select("clique_id", "clique").distinct().select(
-        "clique_id", F.size("clique").alias("n_hosts"), F.explode("clique").alias("host")
-    )
+    """Sessions that touched enough of a clique, with their hosts and the clique's bundles.
+
+    A session that has enough of a clique's n hosts lacks n minus enough of them at most, so it has one of the n - enough + 1
+    that the fewest sessions have. Only by these do sessions meet cliques; then all hosts are counted. Very frequent hosts
+    take part only where a clique has no others, and are split over tasks then, as are cliques of very many sessions.
+    """
     seen = panel.groupBy("country", "did", "session_id", "host").agg(F.min("ts").alias("ts"))
-    touched = (
-        seen.select("session_id", "host").distinct().join(cliques, "host")
-        .groupBy("session_id", "clique_id", "n_hosts")
-        .agg(F.count_distinct("host").alias("_met"))
-        .filter(ratio("_met", "n_hosts") >= min_share)
-        .select("session_id", "clique_id")
-    )
     sessions = seen.groupBy("country", "did", "session_id").agg(
         F.min("ts").alias("ts"), F.collect_set("host").alias("hosts")
     )
+    visits = seen.select("session_id", "host").distinct()
+    often = visits.groupBy("host").agg(F.count(F.lit(1)).alias("_often"))
+    cliques = scored.select("clique_id", "clique").distinct().withColumn("_n", F.size(F.array_distinct("clique")))
+    # A little less than the share, so that rounding never asks for one host too many; the filter below decides.
+    enough = F.greatest(F.lit(1), F.ceil(F.col("_n") * min_share - 1e-9))
+    ranked = (
+        cliques.select("clique_id", F.explode(F.array_distinct("clique")).alias("host"), (F.col("_n") - enough + 1).alias("_rare"))
+        .join(often, "host", "left")
+        .groupBy("clique_id", "_rare")
+        .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_often", F.lit(0)).alias("often"), "host"))).alias("_hosts"))
+        .select("clique_id", F.explode(F.expr("slice(_hosts, 1, CAST(_rare AS INT))")).alias("_host"))
+        .select("clique_id", F.col("_host.host").alias("host"))
+    )
+    met = split_join(visits, ranked, "host").select("session_id", "clique_id").distinct()
+    share = ratio(F.size(F.array_intersect("hosts", "clique")), F.size("clique"))
+    touched = (
+        split_join(met.join(sessions, "session_id"), cliques.select("clique_id", "clique"), "clique_id")
+        .filter(share >= min_share)
+        .drop("clique")
+    )
     reference = scored.select("clique_id", "bundle_id", "score", "model_predict")
-    return sessions.join(touched, "session_id").join(reference, "clique_id")
+    return split_join(touched, reference, "clique_id")
