@@ -162,10 +162,9 @@ class Aligner:
             piece = self.b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode())
         self.a_size, self.b_size = (np.array([len(x) for x in spelled]) for spelled in (self.a_bytes, self.b_bytes))
-        as_text = lambda spelled, sign: np.array([f"{i}{sign}" for i in range(len(spelled))], dtype=object)
-        self.a_text, self.a_last = as_text(self.a_bytes, ","), as_text(self.a_bytes, "|")
-        self.b_text, self.b_last = as_text(self.b_bytes, ","), as_text(self.b_bytes, ";")
+        self.a_text, self.b_text = (list(map(str, range(len(spelled)))) for spelled in (self.a_bytes, self.b_bytes))
         self.units: dict[str, Unit] = {}
+        self.old: dict[str, Unit] = {}
         self.parts: dict[str, list[int]] = {}
 
     def of_part(self, part: str) -> list[int]:
@@ -210,22 +209,19 @@ class Aligner:
         tokens = Tokens(a, np.cumsum(self.a_size[a]), b, np.cumsum(self.b_size[b]))
         cuts, links = cuts_of(tokens), links_of(tokens)
         ends = ends_of(tokens)
-        # Ids as text in the order of groups, each with the sign that follows it, without the last unit's own ends.
-        i, j = (np.searchsorted(x, cuts, side="right") for x in (tokens.a_end, tokens.b_end))
-        in_a, in_b = np.diff(i, prepend=0), np.diff(j, prepend=0)
-        text = np.empty(len(a) + len(b), dtype=object)
-        at_a = np.arange(len(a)) + np.repeat(j - in_b, in_a)
-        at_b = np.arange(len(b)) + np.repeat(i, in_b)
-        text[at_a], text[at_b] = self.a_text[a], self.b_text[b]
-        text[at_a[i - 1]], text[at_b[j - 1]] = self.a_last[a[i - 1]], self.b_last[b[j - 1]]
-        text = text.tolist()
+        a_text, b_text = list(map(self.a_text.__getitem__, a.tolist())), list(map(self.b_text.__getitem__, b.tolist()))
+        i, j = (np.searchsorted(x, cuts, side="right").tolist() for x in (tokens.a_end, tokens.b_end))
+        groups = [
+            f"{a_text[i0]}|{b_text[j0]}" if i1 - i0 == 1 == j1 - j0 else f"{','.join(a_text[i0:i1])}|{','.join(b_text[j0:j1])}"
+            for i0, i1, j0, j1 in zip([0, *i], i, [0, *j], j)
+        ]
         unit_end = np.cumsum([len(u.encode()) for u in units])
         upto = [np.searchsorted(x, unit_end, side="right") for x in (tokens.a_end, tokens.b_end, cuts, ends)]
         n_a, n_b, n_groups = (np.diff(x, prepend=0).tolist() for x in upto[:3])
-        t, e, raw = (upto[0] + upto[1]).tolist(), (8 * upto[3]).tolist(), links.astype(np.int64).tobytes()
+        g, e, raw = upto[2].tolist(), (8 * upto[3]).tolist(), links.astype(np.int64).tobytes()
         return [
-            Unit(True, k_a, k_b, "".join(text[t0:t1])[:-1], k, raw[e0:e1])
-            for k_a, k_b, k, t0, t1, e0, e1 in zip(n_a, n_b, n_groups, [0, *t], t, [0, *e], e)
+            Unit(True, k_a, k_b, ";".join(groups[g0:g1]), k, raw[e0:e1])
+            for k_a, k_b, k, g0, g1, e0, e1 in zip(n_a, n_b, n_groups, [0, *g], g, [0, *e], e)
         ]
 
     def units_of(self, texts: list[str]) -> tuple[list[Unit], np.ndarray, np.ndarray]:
@@ -235,16 +231,19 @@ class Aligner:
         flat = list(chain.from_iterable(own))
         place = {u: k for k, u in enumerate(dict.fromkeys(flat))}
         codes = np.fromiter(map(place.__getitem__, flat), dtype=np.int64, count=len(flat))
-        for kept in (self.units, self.parts):
-            if len(kept) > UNITS:
-                kept.clear()
-        new = place.keys() - self.units.keys()
+        if len(self.parts) > UNITS:
+            self.parts.clear()
+        # Units are kept in two generations: what is used moves to the younger one, and the older one goes when that is full.
+        if len(self.units) > UNITS:
+            self.old, self.units = self.units, {}
+        new = [u for u in place if u not in self.units and u not in self.old]
         plain = list(filter(PLAIN.fullmatch, new))
-        for kind in (plain, list(new.difference(plain))):
-            self.units.update(zip(kind, self.make(kind)))
-        found = [self.units[u] for u in place]
-        for long in [u for u in new if len(u) > 100]:
-            del self.units[long]
+        made: dict[str, Unit] = {}
+        for kind in (plain, list(dict.fromkeys(new).keys() - set(plain))):
+            made.update(zip(kind, self.make(kind)))
+        known, old = self.units.get, self.old.get
+        found = [known(u) or old(u) or made[u] for u in place]
+        self.units.update((u, unit) for u, unit in zip(place, found) if len(u) < 100)
         return found, codes, np.array([len(x) for x in own], dtype=np.int64)
 
 
