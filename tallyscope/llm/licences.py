@@ -164,8 +164,10 @@ def directory_of(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
 
-def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = 0.8, texts: dict[str, str] | None = None) -> DataFrame:
-    """(path, licence, score, origin) for every row of ``files`` (path, text, …).
+def scan(
+    files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = 0.8, texts: dict[str, str] | None = None, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """(path, licence, score, origin) for every row of ``files`` (path, text, …), after the columns named in ``carry``.
 
     A file with a notice has that licence (origin: header). Any other has the licence of the nearest directory, its own or
     one above, with a licence file, that is, a file of a telling name with a notice (origin: the directory; score null). A
@@ -176,7 +178,7 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
 
     Directories are joined, not files: every directory looks up its ancestors, and the files then look up their directory.
     """
-    files = files.select(F.coalesce("path", F.lit("")).alias("path"), "text")
+    files = files.select(*carry, F.coalesce("path", F.lit("")).alias("path"), "text")
     own = cut_lineage(best_of(notices(files, templates, least).unionByName(whole(files, full_texts() if texts is None else texts))))
     named = own.filter(F.regexp_extract("path", r"([^/]*)$", 1).rlike(LICENCE_FILE)).withColumn("dir", directory_of(F.col("path")))
     speaks = named.groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("by"), "path", "licence")).alias("best")).select("dir", F.col("best.licence").alias("given"))
@@ -190,11 +192,12 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
         .agg(F.max(F.struct("a.depth", "above", "given")).alias("from"))
         .select("dir", F.col("from.above").alias("above"), F.col("from.given").alias("given"))
     )
-    rows = files.select("path", directory_of(F.col("path")).alias("dir"))
+    rows = files.select(*carry, "path", directory_of(F.col("path")).alias("dir"))
     return (
         rows.join(own, "path", "left")
         .join(nearest, "dir", "left")
         .select(
+            *carry,
             "path",
             F.coalesce("licence", "given").alias("licence"),
             "score",

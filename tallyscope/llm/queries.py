@@ -91,10 +91,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(i % 20 == 0, F.concat_ws("/", source, lang))
         .otherwise(F.concat_ws("/", source, lang, F.concat(F.lit("b"), F.floor(i / 500))))
     )
-    name = F.when(i % 10 == 0, F.concat(F.lit("LICENSE-"), i)).otherwise(F.concat(i, F.lit(".txt")))
-    files = read(spark, sf_dir, "documents").select(F.concat_ws("/", folder, name).alias("path"), "text")
-    number = F.regexp_extract("path", r"([0-9]+)(\.txt)?$", 1).cast("long")
-    return licences.scan(files).select(number.alias("doc_id"), "path", "licence", "score", "origin")
+    name = F.when(i % 10 == 0, F.concat(F.lit("LICENSE-"), i)).otherwise(F.concat(F.coalesce(i.cast("string"), F.lit("")), F.lit(".txt")))
+    files = read(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", folder, name).alias("path"), "text")
+    return licences.scan(files, carry=("doc_id",))
 
 
 @query("op3_sampled_pieces")

@@ -117,3 +117,15 @@ def test_wrapped_notices_and_whole_licences(spark):
     assert got["mine/COPYING"]["licence"] == "GPL-2.0" and (got["mine/sub/x.py"]["licence"], got["mine/sub/x.py"]["origin"]) == ("GPL-2.0", "mine")
     assert (got["theirs/y.py"]["licence"], got["theirs/y.py"]["origin"]) == ("MIT", "theirs")
     assert got["no/LICENSE"]["licence"] is None and got["no/y.py"]["licence"] is None
+
+
+def test_query_with_odd_numbers(spark, tmp_path):
+    """Rows without doc_id, with negative and with repeated ones keep them."""
+    from tallyscope.llm.queries import QUERIES
+
+    notice = next(iter(licences.TEMPLATES.values()))
+    rows = [(None, "no key", "en", "web"), (None, notice, None, None), (-7, notice, "en", "web"), (-10, "x", None, "a b"), (5, "a", "en", "web"), (5, notice, "en", "web")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op2_licence_scan"](spark, str(tmp_path)).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in rows)
+    assert all(r["licence"] for r in got if r["doc_id"] in (-7, 5))
