@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-
 from pyspark.sql import functions as F
 
 from tallyscope.functions import dates, exprs
-from tallyscope.functions.lineage import checkpoint_folder
+from tallyscope.functions.lineage import new_folder
 from tallyscope.functions.urls import url_host, with_domain
 from tallyscope.operators import assoc, sessions
 from tallyscope.plans.registry import Data, query
@@ -47,12 +45,26 @@ def _(d):
 @query("scan_partitioned", "SELECT date, country, app, active_users FROM f_truth WHERE date >= DATE '2024-01-20'")
 def _(d):
     # Written by date, then read back by folder with the partition column restored.
-    path = f"{checkpoint_folder(d.spark)}/partitioned-{uuid.uuid4().hex}"
+    path = new_folder(d.spark, "partitioned")
     tables.write_parquet(d["f_truth"], path, partition_by=["date"])
     late = tables.read_parquet(d.spark, f"{path}/date=2024-01-[23]*", base_path=path)
     return late.select("date", "country", "app", "active_users")
 
 
+@query(
+    "unfinished_dates",
+    """SELECT CAST(day AS DATE) AS date FROM (SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS day FROM f_truth)
+       WHERE day(day) % 5 = 0 OR CAST(day AS DATE) NOT IN (SELECT date FROM f_truth)""",
+)
+def _(d):
+    # Days are written to folders; every fifth is left without its success marker, as by a job that was interrupted.
+    path = new_folder(d.spark, "published")
+    d["f_truth"].write.partitionBy("date").parquet(path)
+    days = sorted(r["date"] for r in tables.date_folders(d.spark, path).select("date").collect())
+    tables.mark_finished(d.spark, path, [x for x in days if x.day % 5])
+    return tables.unfinished_dates(d.spark, path, days[0], days[-1])
+
+
 @query(
     "read_between_dates",
     """SELECT date, country, app, active_users FROM f_truth

@@ -1,3 +1,5 @@
+import os
+import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +72,32 @@ def test_cut_lineage_keeps_rows_and_types(spark):
     df = spark.range(5).select("id", F.array("id").alias("a"), F.create_map("id", F.lit("x")).alias("m"))
     cut = cut_lineage(df)
     assert cut.schema.simpleString() == df.schema.simpleString() and cut.count() == 5
+
+
+def test_half_written_outputs_are_replaced_and_whole_ones_left(spark, tmp_path):
+    one, two = spark.range(3).withColumnRenamed("id", "a"), spark.range(7).withColumnRenamed("id", "a")
+    path = f"{tmp_path}/out/table"
+    os.makedirs(path)
+    one.toPandas().to_parquet(f"{path}/part-0.parquet")  # left by an interrupted job: no success marker
+    assert not tables.is_complete(spark, path)
+    tables.write_parquet(two, path)
+    assert tables.is_complete(spark, path) and spark.read.parquet(path).count() == 7
+    tables.write_parquet(one, path)
+    assert spark.read.parquet(path).count() == 7
+    tables.write_parquet(one, path, overwrite=True)
+    assert spark.read.parquet(path).count() == 3
+    assert [f for f in os.listdir(f"{tmp_path}/out") if "staging" in f] == []
+
+
+def test_days_without_marker_are_unfinished(spark, tmp_path):
+    path = f"{tmp_path}/days"
+    rows = spark.createDataFrame([(dt.date(2024, 1, k), k) for k in (1, 2, 4)], "date date, v int")
+    rows.write.partitionBy("date").parquet(path)
+    assert tables.finished_dates(spark, path) == []
+    tables.mark_finished(spark, path, ["2024-01-01", "2024-01-04", "2024-01-05"])
+    assert tables.finished_dates(spark, path) == [dt.date(2024, 1, k) for k in (1, 4, 5)]
+    listed = {r.date.day: (r.files, r.complete) for r in tables.date_folders(spark, path).collect()}
+    assert listed == {1: (1, True), 2: (1, False), 4: (1, True), 5: (0, True)}
+    left = tables.unfinished_dates(spark, path, "2024-01-01", "2024-01-06").collect()
+    assert sorted(r.date.day for r in left) == [2, 3, 6]
+    assert spark.read.parquet(path).count() == 3
