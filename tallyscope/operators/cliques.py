@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyscope.contracts import require
 from tallyscope.functions.exprs import ratio
-from tallyscope.functions.skew import split_join
 from tallyscope.functions.lineage import cut_lineage
+from tallyscope.functions.skew import split_join
 from tallyscope.functions.urls import domain_label, url_host, with_domain
 from tallyscope.operators.assoc import correlate, phi
 from tallyscope.operators.sessions import sessionize
+from tallyscope.sources.tables import as_date, finished_dates, mark_finished
 
 PAIR = ["bundle_id", "clique_id"]
 FEATURES = [
@@ -360,6 +361,23 @@ def train_clique_model(labelled: DataFrame, seed: int = 1, num_trees: int = 50,
     ).fit(labelled)
 
 
+def save_model(model, spark: SparkSession, path: str, model_date) -> None:
+    """Keep a trained pipeline under its date; it counts once all of it is written."""
+    day = as_date(model_date)
+    model.write().overwrite().save(f"{path.rstrip('/')}/model_date={day}")
+    mark_finished(spark, path, [day], column="model_date")
+
+
+def load_model(spark: SparkSession, path: str, day):
+    """The newest pipeline of ``path`` that was kept on ``day`` or before."""
+    from pyspark.ml import PipelineModel
+
+    known = [d for d in finished_dates(spark, path, column="model_date") if d <= as_date(day)]
+    if not known:
+        raise FileNotFoundError(f"{path} has no model up to {day}")
+    return PipelineModel.load(f"{path.rstrip('/')}/model_date={known[-1]}")
+
+
 def predict_candidates(candidates: DataFrame, model) -> DataFrame:
     """Candidates with the model's probability of a match as ``predict``."""
     from pyspark.ml.functions import vector_to_array

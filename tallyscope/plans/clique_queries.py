@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyscope.functions.exprs import hash_uniform
 from tallyscope.functions.urls import with_domain
+from tallyscope.functions.lineage import new_folder
 from tallyscope.operators import cliques
 from tallyscope.plans.base_queries import domain_sql, panel_sessions
 from tallyscope.plans.model_queries import priors
@@ -310,7 +311,10 @@ def _(d):
     typical = usage.agg(F.avg("_usage").alias("typical")).scalar()
     often = F.coalesce(F.col("_usage") > typical, F.lit(False)).cast("double")
     labelled = rows.join(usage, "bundle_id", "left").withColumn("label", often).drop("_usage")
-    model = cliques.train_clique_model(labelled)
+    # Training keeps the pipeline by date; scoring takes the newest one of its day or before.
+    path = new_folder(d.spark, "models")
+    cliques.save_model(cliques.train_clique_model(labelled), d.spark, path, "2024-01-21")
+    model = cliques.load_model(d.spark, path, "2024-01-28")
     return cliques.predict_candidates(rows, model).select("clique_id", "bundle_id", "predict")
 
 
