@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyscope.functions.lineage import new_folder
 from tallyscope.operators import cnb, info, labelled, posterior, reach
 from tallyscope.plans.base_queries import learning_log, panel_sessions
 from tallyscope.plans.registry import Data, query
 from tallyscope.plans.views import STAGES
+from tallyscope.sources.tables import read_models
 
 # ---- complement naive Bayes
 
@@ -183,6 +185,29 @@ def _(d):
     return solved_models(d).drop("hosts", "local_ts", "utc_ts")
 
 
+STAGES["v_solved_full"] = """
+    WITH seen AS (SELECT session_id, min(local_ts) AS local_ts, min(utc_ts) AS utc_ts, list_sort(list(concat(host, ':', host_count))) AS hosts, true AS main
+      FROM v_counts WHERE host IN (SELECT host FROM v_params) GROUP BY 1
+      UNION ALL SELECT session_id, min(local_ts), min(utc_ts), list_sort(list(concat(host, ':', host_count))), false
+      FROM v_counts WHERE host IN (SELECT host FROM v_params_two) GROUP BY 1)
+    SELECT m.session_id, did, country, source, local_ts, utc_ts, info_q, app, array_to_string(hosts, ',') AS hosts, score, model_date, model_type,
+      is_main_model FROM v_solved_models m JOIN seen ON seen.session_id = m.session_id AND seen.main = is_main_model"""
+
+
+@query(
+    "cnb_infer_registered",
+    """SELECT session_id, did, country, source, local_ts, utc_ts, round(info_q, 12) AS "info_Q", app, hosts, round(score, 12) AS score,
+         model_date, model_type, is_main_model FROM v_solved_full""",
+)
+def _(d):
+    """Models are kept in folders of their own and found by the registry's text; the older one has a column more and one less."""
+    root, both = new_folder(d.spark, "models"), params(d)
+    both.write.parquet(f"{root}/nb/new")
+    cnb.filter_params(both, 30).drop("hits").withColumn("note", F.lit("older")).write.parquet(f"{root}/nb/old")
+    found = read_models(d.spark, "nb/new,2023-12-31,NB_1,True;nb/old,2023-12-24,NB_1,False", root)
+    return flat_hosts(cnb.infer_sessions(counts(d), found, models=("model_date", "model_type", "is_main_model")))
+
+
 STAGES["v_trivial"] = """
     SELECT session_id, did, country, source, local_ts, utc_ts, 1000.0 AS info_q, app, host, 1.0 AS score, model_date,
       model_type, is_main_model FROM v_sessions JOIN (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
@@ -187,3 +188,25 @@ def parse_models(models: str) -> list[dict]:
     fields = ("model_path", "model_date", "model_type", "is_main_model")
     records = [dict(zip(fields, item.split(","))) for item in models.split(";") if item]
     return [{**r, "is_main_model": r["is_main_model"] == "True"} for r in records]
+
+
+def read_models(spark: SparkSession, models: str, root: str = "") -> DataFrame:
+    """The parameters of all models of a registry text as one table, tagged with model_date, model_type and is_main_model.
+
+    All folders are one scan, whatever their number. Models may lack columns, which are then null, or have further ones. A
+    row's model follows from the folder of its file.
+    """
+    records = parse_models(models)
+    if not records:
+        raise ValueError("no models are registered")
+    folders = [f"{root.rstrip('/')}/{r['model_path'].lstrip('/')}" if root else r["model_path"] for r in records]
+    rows = spark.read.option("mergeSchema", "true").parquet(*folders)
+    file = F.regexp_replace(F.url_decode(F.col("_metadata.file_path")), "^[a-zA-Z0-9+.-]+:/+", "/")
+    tags = F.lit(None)
+    for record, folder in zip(records, folders):
+        place = re.sub("^[a-zA-Z0-9+.-]+:/+", "/", folder).rstrip("/") + "/"
+        tag = F.struct(
+            F.lit(as_date(record["model_date"])).alias("model_date"), F.lit(record["model_type"]).alias("model_type"), F.lit(record["is_main_model"]).alias("is_main_model")
+        )
+        tags = F.when(file.startswith(place), tag).otherwise(tags)
+    return rows.select("*", tags.alias("_model")).select(*rows.columns, "_model.*")

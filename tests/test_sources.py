@@ -101,3 +101,17 @@ def test_days_without_marker_are_unfinished(spark, tmp_path):
     left = tables.unfinished_dates(spark, path, "2024-01-01", "2024-01-06").collect()
     assert sorted(r.date.day for r in left) == [2, 3, 6]
     assert spark.read.parquet(path).count() == 3
+
+
+def test_registered_models_are_one_tagged_scan(spark, tmp_path):
+    spark.createDataFrame([("a", 1.0)], "app string, w double").write.parquet(f"{tmp_path}/m/1")
+    spark.createDataFrame([("b", 2.0, "x"), ("c", 3.0, "y")], "app string, w double, note string").write.parquet(f"{tmp_path}/m/10")
+    spark.createDataFrame([("d",)], "app string").write.parquet(f"{tmp_path}/m/with space")
+    text = "m/1,2024-01-07,NB_1,True;m/10,2023-12-31,NB_2,False;/m/with space,2023-12-24,NB_1,False"
+    rows = {r.app: r for r in tables.read_models(spark, text, str(tmp_path)).collect()}
+    assert {a: (str(r.model_date), r.model_type, r.is_main_model) for a, r in rows.items()} == {
+        "a": ("2024-01-07", "NB_1", True), "b": ("2023-12-31", "NB_2", False), "c": ("2023-12-31", "NB_2", False), "d": ("2023-12-24", "NB_1", False),
+    }
+    assert (rows["a"].note, rows["b"].note, rows["d"].w) == (None, "x", None)
+    with pytest.raises(ValueError):
+        tables.read_models(spark, "", str(tmp_path))
