@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from itertools import count
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyscope.functions.lineage import cut_lineage
+from tallyscope.functions.urls import IPV4, with_domain
 
 #: (rule, verdict): a host and its subdomains, and the beginning of a path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -15,6 +17,10 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*([^\s"'<>]+)"""
 #: Longest name of a host that can be looked up; longer ones have no place in the graph.
 LONGEST = 253
+#: Labels below a country code under which names are registered, as in co.uk; used where no list of suffixes is given.
+REGISTRIES = ("ac", "co", "com", "edu", "go", "gov", "ne", "net", "nom", "or", "org")
+#: Steps of the walk that one task takes: ranks are spread by as few tasks as the graph needs.
+STEPS_PER_TASK = 500_000
 
 
 def after_scheme(url: Column) -> Column:
@@ -48,12 +54,22 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return found, verdict
 
 
-def host_edges(pages: DataFrame) -> DataFrame:
+def site_size(host: Column) -> Column:
+    """Number of labels of the site that a host belongs to: one more than its public suffix has."""
+    labels = F.split(host, r"\.")
+    below_country = (F.length(F.element_at(labels, -1)) == 2) & F.get(labels, F.size(labels) - 2).isin(*REGISTRIES)
+    return F.when(below_country, 3).otherwise(2)
+
+
+def host_edges(pages: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """(src, dst, weight) between different hosts, from (host, html).
 
     A link to another host counts once per page and target. Besides, a host and the domain above it stand for each other
-    with weight 1, up to the site of two labels: the hosts of a site share an owner, and sites that no other site links to
-    have their standing from there. Links are counted within each task before they are shuffled.
+    with weight 1, up to the site, which is the registered domain: the hosts of a site share an owner, and sites that no
+    other site links to have their standing from there. Sites below one public suffix are strangers. ``suffixes`` (suffix)
+    are the public suffixes, as for ``urls.with_domain``; without them, a suffix is the last label, or the last two where
+    these are one of REGISTRIES and a country code. IPv4 addresses stand for themselves. Links are counted within each
+    task before they are shuffled.
     """
     usable = lambda name: (F.col(name) != "") & (F.length(name) <= LONGEST)
     links = (
@@ -65,23 +81,30 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
     links = cut_lineage(links)
     named = pages.select("host").filter(usable("host")).unionByName(links.select(F.col("dst").alias("host"))).distinct()
+    if suffixes is None:
+        sited = named.withColumn("least", site_size(F.col("host")))
+    else:
+        domain = F.split(F.regexp_replace("domain", r"\.$", ""), r"\.")
+        sited = with_domain(named, suffixes).select("host", F.size(domain).alias("least"))
     labels = F.split("host", r"\.")
-    domain = lambda k: F.array_join(F.slice(labels, k, F.size(labels)), ".")
-    up = F.transform(F.sequence(F.lit(1), F.size(labels) - 2), lambda k: F.struct(domain(k).alias("src"), domain(k + 1).alias("dst")))
-    above = named.filter(F.size(labels) > 2).select(F.explode(up).alias("e")).select("e.src", "e.dst").distinct()
+    part = lambda k: F.array_join(F.slice(labels, k, F.size(labels)), ".")
+    up = F.transform(F.sequence(F.lit(1), F.size(labels) - F.col("least")), lambda k: F.struct(part(k).alias("src"), part(k + 1).alias("dst")))
+    inner = sited.filter((F.size(labels) > F.col("least")) & ~F.col("host").rlike(IPV4))
+    above = inner.select(F.explode(up).alias("e")).select("e.src", "e.dst").distinct()
     kin = above.unionByName(above.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).withColumn("weight", F.lit(1.0))
     return links.unionByName(kin).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
 def spread_seeds(
-    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 16, every: int = 4, tolerance: float = 1e-8
+    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 16, every: int = 8, tolerance: float = 1e-8
 ) -> DataFrame:
     """(kind, host, rank) of personalised PageRank over ``edges`` (kind, src, dst, weight) from ``seeds`` (kind, host, mass).
 
     The walks of all kinds run together, each restarting at its own seeds in proportion to their masses; ranks of a kind
     sum to 1. What reaches a host without outgoing edges restarts, too: since that only scales the result, it is left out
     of the rounds and made good by the final scaling. A round is one join and one sum over hosts and edges; a table is
-    written every few rounds, so neither the plan nor the work lost with an executor grows.
+    written every few rounds, so neither the plan nor the work lost with an executor grows. A round runs in one task per
+    STEPS_PER_TASK steps of the graph, however many files the tables have; a graph that fits one task needs no shuffle.
 
     ``rounds=None`` goes on until no rank grows by more than its ``tolerance``-th part in a round. Once that holds for a
     round it holds for all later ones: what a host gains comes from its neighbours' last gains, in the proportion in which
@@ -91,40 +114,46 @@ def spread_seeds(
     steps = cut_lineage(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (damping * F.col("weight") / F.col("out")).alias("part")))
     total = seeds.groupBy("kind").agg(F.sum("mass").alias("total"))
     start = cut_lineage(seeds.join(total, "kind").select("kind", "host", ((1 - damping) * F.col("mass") / F.col("total")).alias("rank")))
+    tasks = max(1, ceil(steps.count() / STEPS_PER_TASK))
+    steps, start = steps.coalesce(tasks), start.coalesce(tasks)
     rank = start
     for k in count(1) if rounds is None else range(1, rounds + 1):
         moved = rank.withColumnRenamed("host", "src").join(steps, ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("part")).alias("rank")
         )
+        moved = moved.unionByName(start)
         if rounds is None and k % every == 0:
             before = rank.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("was"))
-            after = moved.unionByName(start).withColumn("was", F.lit(0.0)).unionByName(before)
+            after = moved.withColumn("was", F.lit(0.0)).unionByName(before).coalesce(tasks)
             seen = cut_lineage(after.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("was").alias("was")))
-            rank = seen.drop("was")
+            rank = seen.drop("was").coalesce(tasks)
             if seen.filter(F.col("rank") - F.col("was") > tolerance * F.col("rank")).isEmpty():
                 break
             continue
-        rank = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        rank = moved.coalesce(tasks).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if k % every == 0:
-            rank = cut_lineage(rank)
+            rank = cut_lineage(rank).coalesce(tasks)
     whole = rank.groupBy("kind").agg(F.sum("rank").alias("whole"))
     return rank.join(whole, "kind").select("kind", "host", (F.col("rank") / F.col("whole")).alias("rank"))
 
 
-def judge(pages: DataFrame, rules=RULES, factor: float = 1.0, share: float = 1e-6, **options) -> DataFrame:
+def judge(
+    pages: DataFrame, rules=RULES, factor: float = 1.0, share: float = 1e-6, suffixes: DataFrame | None = None, **options
+) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) of every row of ``pages`` (page_id, url, html, …).
 
     The longest rule that fits a url decides. Elsewhere the host does: trust spreads along links from hosts with pages
     that a rule allows, distrust against the links from hosts with pages that a rule blocks, both in proportion to the
     number of these pages, and a host is blocked if its distrust exceeds ``factor`` times its trust by more than ``share`` of
     their sum, which is above the error of ranks and of summation however small both are. ``options`` are those of
-    ``spread_seeds``; with ``rounds=None`` it runs to the end. Hosts that neither reaches are allowed. Null urls and urls without ``://`` have an empty host and path, no
-    place in the graph, and are allowed. Null html has no links. Other columns are ignored.
+    ``spread_seeds``; with ``rounds=None`` it runs to the end. ``suffixes`` are the public suffixes for ``host_edges``. Hosts
+    that neither reaches are allowed. Null urls and urls without ``://`` have an empty host and path, no place in the graph,
+    and are allowed. Null html has no links. Other columns are ignored.
     """
     at = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     ruled = at.withColumn("rule", rule).withColumn("ruled", verdict)
-    edges = cut_lineage(host_edges(at.select("host", "html")))
+    edges = cut_lineage(host_edges(at.select("host", "html"), suffixes))
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     )

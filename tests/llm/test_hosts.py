@@ -59,7 +59,8 @@ def by_hand(rows, rounds=16, d=0.85):
     kin = set()
     for h in names:
         labels = h.split(".")
-        for k in range(len(labels) - 2):
+        below_country = len(labels) > 1 and len(labels[-1]) == 2 and labels[-2] in hosts.REGISTRIES
+        for k in range(len(labels) - (3 if below_country else 2)):
             kin |= {(".".join(labels[k:]), ".".join(labels[k + 1 :])), (".".join(labels[k + 1 :]), ".".join(labels[k:]))}
     for e in kin:
         edges[e] += 1
@@ -132,3 +133,32 @@ def test_faint_distrust_counts(spark, monkeypatch):
     spread = spark.createDataFrame([("distrust", h, r) for h, r in ranks.items()], "kind string, host string, rank double")
     monkeypatch.setattr(hosts, "spread_seeds", lambda *_, **__: spread)
     assert {r["verdict"] for r in hosts.judge(table).collect()} == {"block"}
+
+
+def test_sites_below_a_public_suffix_are_strangers(spark):
+    link = lambda to: f'<a href="{to}">x</a>'
+    rows = [
+        (1, "http://www.spam.co.uk/", link("http://bad.net/")),
+        (2, "http://www.honest.co.uk/", None),
+        (3, "http://bbc.co.uk/", ""),
+        (4, "http://deep.mail.spam.co.uk/", ""),
+        (5, "http://bad.net/", ""),
+        (6, "http://10.0.0.1/", link("http://bad.net/")),
+        (7, "http://10.9.0.1/", ""),
+        (8, "http://one.blogs.example/", link("http://bad.net/")),
+        (9, "http://two.blogs.example/", ""),
+    ]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    blocked = {r["page_id"] for r in hosts.judge(table, rounds=None).collect() if r["verdict"] == "block"}
+    assert blocked == {1, 4, 5, 6, 8, 9}
+    suffixes = spark.createDataFrame([("co.uk",), ("uk",), ("net",), ("blogs.example",)], "suffix string")
+    blocked = {r["page_id"] for r in hosts.judge(table, suffixes=suffixes, rounds=None).collect() if r["verdict"] == "block"}
+    assert blocked == {1, 4, 5, 6, 8}
+
+
+def test_ranks_do_not_depend_on_the_number_of_tasks(spark, monkeypatch):
+    one = sorted(map(tuple, hosts.judge(pages(spark)).select("host", "trust", "distrust").collect()))
+    monkeypatch.setattr(hosts, "STEPS_PER_TASK", 5)
+    many = sorted(map(tuple, hosts.judge(pages(spark).repartition(7)).select("host", "trust", "distrust").collect()))
+    assert [r[0] for r in one] == [r[0] for r in many]
+    assert [x for r in many for x in r[1:]] == pytest.approx([x for r in one for x in r[1:]], rel=1e-9)
