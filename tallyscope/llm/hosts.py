@@ -104,7 +104,8 @@ def spread_seeds(
     sum to 1. What reaches a host without outgoing edges restarts, too: since that only scales the result, it is left out
     of the rounds and made good by the final scaling. A round is one join and one sum over hosts and edges; a table is
     written every few rounds, so neither the plan nor the work lost with an executor grows. A round runs in one task per
-    STEPS_PER_TASK steps of the graph, however many files the tables have; a graph that fits one task needs no shuffle.
+    STEPS_PER_TASK steps of the graph, however many files the tables have; a graph that fits one task needs no shuffle. Ranks are hashed in these tasks and not
+    broadcast, so no round goes through the driver.
 
     ``rounds=None`` goes on until no rank grows by more than its ``tolerance``-th part in a round. Once that holds for a
     round it holds for all later ones: what a host gains comes from its neighbours' last gains, in the proportion in which
@@ -118,7 +119,7 @@ def spread_seeds(
     steps, start = steps.coalesce(tasks), start.coalesce(tasks)
     rank = start
     for k in count(1) if rounds is None else range(1, rounds + 1):
-        moved = rank.withColumnRenamed("host", "src").join(steps, ["kind", "src"]).select(
+        moved = steps.join(rank.withColumnRenamed("host", "src").hint("shuffle_hash"), ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("part")).alias("rank")
         )
         moved = moved.unionByName(start)
