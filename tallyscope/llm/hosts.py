@@ -96,7 +96,7 @@ def host_edges(pages: DataFrame, suffixes: DataFrame | None = None) -> DataFrame
 
 
 def spread_seeds(
-    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 16, every: int = 8, tolerance: float = 1e-8
+    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 16, every: int = 4, tolerance: float = 1e-8
 ) -> DataFrame:
     """(kind, host, rank) of personalised PageRank over ``edges`` (kind, src, dst, weight) from ``seeds`` (kind, host, mass).
 
@@ -107,8 +107,8 @@ def spread_seeds(
     STEPS_PER_TASK steps of the graph, however many files the tables have; a graph that fits one task needs no shuffle. Ranks are hashed in these tasks and not
     broadcast, so no round goes through the driver.
 
-    ``rounds=None`` goes on until no rank grows by more than its ``tolerance``-th part in a round. Once that holds for a
-    round it holds for all later ones: what a host gains comes from its neighbours' last gains, in the proportion in which
+    ``rounds=None`` goes on until no rank grows by more than its ``tolerance``-th part from one written table to the next.
+    Once that holds for a round it holds for all later ones: what a host gains comes from its neighbours' last gains, in the proportion in which
     its rank came from their ranks. A host that is first reached gains its whole rank, so all that seeds lead to are reached.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("out"))
@@ -117,23 +117,19 @@ def spread_seeds(
     start = cut_lineage(seeds.join(total, "kind").select("kind", "host", ((1 - damping) * F.col("mass") / F.col("total")).alias("rank")))
     tasks = max(1, ceil(steps.count() / STEPS_PER_TASK))
     steps, start = steps.coalesce(tasks), start.coalesce(tasks)
-    rank = start
+    rank = written = start
     for k in count(1) if rounds is None else range(1, rounds + 1):
         moved = steps.join(rank.withColumnRenamed("host", "src").hint("shuffle_hash"), ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("part")).alias("rank")
         )
-        moved = moved.unionByName(start)
-        if rounds is None and k % every == 0:
-            before = rank.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("was"))
-            after = moved.withColumn("was", F.lit(0.0)).unionByName(before).coalesce(tasks)
-            seen = cut_lineage(after.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("was").alias("was")))
-            rank = seen.drop("was").coalesce(tasks)
-            if seen.filter(F.col("rank") - F.col("was") > tolerance * F.col("rank")).isEmpty():
-                break
-            continue
-        rank = moved.coalesce(tasks).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        rank = moved.unionByName(start).coalesce(tasks).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if k % every == 0:
-            rank = cut_lineage(rank).coalesce(tasks)
+            before, rank = written, cut_lineage(rank).coalesce(tasks)
+            written = rank
+            was = before.withColumnRenamed("rank", "was").hint("shuffle_hash")
+            grows = F.col("rank") - F.coalesce("was", F.lit(0.0)) > tolerance * F.col("rank")
+            if rounds is None and rank.join(was, ["kind", "host"], "left").filter(grows).isEmpty():
+                break
     whole = rank.groupBy("kind").agg(F.sum("rank").alias("whole"))
     return rank.join(whole, "kind").select("kind", "host", (F.col("rank") / F.col("whole")).alias("rank"))
 
