@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyscope.functions.lineage import cut_lineage
@@ -20,6 +20,8 @@ from tallyscope.llm.pieces import STEP, scramble
 #: Characters of text that a task looks at together (one text, if it is longer).
 CHARS = 2_000_000
 SHIFT = np.uint64(0xA0761D6478BD642F)
+#: A text's name: 126 bits of its words' fingerprint as one number, which aggregates and joins take in place.
+NODE = "decimal(38,0)"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -108,8 +110,16 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def node_of(words_a: str = "words_a", words_b: str = "words_b") -> Column:
+    low = lambda c: F.col(c).bitwiseAND(2**32 - 1).cast("decimal(20,0)")
+    high = lambda c, n: F.shiftrightunsigned(c, n).cast("decimal(20,0)")
+    power = lambda n: F.lit(str(2**n)).cast("decimal(20,0)")
+    unsigned = (high(words_b, 32) * power(32)).cast("decimal(20,0)") + low(words_b)
+    return ((high(words_a, 2) * power(64)).cast(NODE) + unsigned).cast(NODE)
+
+
 def sign(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, words_a, words_b: a fingerprint of the words, size: shingles, keys: one per band) of every row."""
+    """(doc_id, raw: hash of the text, words_a, words_b: a fingerprint of its words, size: shingles, keys: one per band)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,15 +133,16 @@ def sign(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                 prints = np.frombuffer(b"".join(blake2b(b" ".join(w), digest_size=16).digest() for w in words), dtype=np.int64)
                 columns = [
                     batch.column("doc_id").slice(lo, hi - lo),
+                    batch.column("raw").slice(lo, hi - lo),
                     pa.array(prints[0::2]),
                     pa.array(prints[1::2]),
                     pa.array(size),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[size > 0].ravel())),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "words_a", "words_b", "size", "keys"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "raw", "words_a", "words_b", "size", "keys"])
 
-    shape = "doc_id long, words_a long, words_b long, size long, keys array<long>"
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, shape)
+    shape = "doc_id long, raw long, words_a long, words_b long, size long, keys array<long>"
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("raw"), text_of().alias("text")).mapInArrow(run, shape)
 
 
 def overlaps(pairs: DataFrame, width: int) -> DataFrame:
@@ -155,7 +166,7 @@ def overlaps(pairs: DataFrame, width: int) -> DataFrame:
                     [batch.column("a").slice(lo, n), batch.column("b").slice(lo, n), pa.array(same)], names=["a", "b", "similarity"]
                 )
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {NODE}, b {NODE}, similarity double")
 
 
 def shingle_rows(texts: DataFrame, width: int) -> DataFrame:
@@ -163,12 +174,12 @@ def shingle_rows(texts: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given, ids = batch.column("text").to_pylist(), batch.column("id").to_numpy()
+            given, ids = batch.column("text").to_pylist(), batch.column("id")
             for lo, hi in slices([len(t) for t in given], CHARS):
                 text, h, count = shingles([words_of(t) for t in given[lo:hi]], width)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][text]), pa.array(h.view(np.int64)), pa.array(count)], names=["id", "shingle", "n"])
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo).take(pa.array(text)), pa.array(h.view(np.int64)), pa.array(count)], names=["id", "shingle", "n"])
 
-    return texts.select("id", "text").mapInArrow(run, "id long, shingle long, n long")
+    return texts.select("id", "text").mapInArrow(run, f"id {NODE}, shingle long, n long")
 
 
 def unconnected(member: DataFrame, texts: DataFrame, width: int, least: float, rare: int = 16) -> DataFrame:
@@ -230,30 +241,39 @@ def unconnected(member: DataFrame, texts: DataFrame, width: int, least: float, r
 def near_duplicates(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int = 32, rows: int = 6) -> DataFrame:
     """(doc_id, class_id, class_size, n_links, kept) for every row of ``docs`` (doc_id, text, …).
 
-    Classes are the connected components of the links between documents whose multisets of ``width``-word shingles have a
+    Classes are the connected components of the links between texts whose multisets of ``width``-word shingles have a
     weighted Jaccard similarity of ``least`` or more; class_id is the smallest doc_id of a class, whose row is kept. Texts
     of fewer words have one shingle of all of them. Null, empty and blank texts have no shingle and are classes of their
-    own; so are rows without a doc_id (class_id null, kept). Rows that share a doc_id share a class. n_links counts the
-    links found between different texts at the document's text. Other columns are ignored.
-
-    Documents of equal words are one node. A pair is a candidate if all ``rows`` places of one of ``bands`` bands agree: at
-    similarity 0.8 all but one pair in 17,000, at 0.9 all but one in 10 billion. In each bucket of equal keys every text
-    is first compared with the bucket's smallest document, a star and not all pairs. Where that leaves texts of a bucket
-    in different components, those of their pairs that can still reach the threshold are compared, too (``unconnected``),
-    so no link is lost and a group of near copies never meets itself pairwise. All candidates are verified on whole texts.
+    own; so are rows without a doc_id (class_id null, kept). Rows that share a doc_id are judged by their texts: each has
+    the class of its text, and classes that the same doc_id names count apart in class_size. n_links counts the links found
+    between different texts at the document's text. Other columns are ignored.
+
+    Rows of equal words are one node, named by a fingerprint of the words. A pair is a candidate if all ``rows`` places of
+    one of ``bands`` bands agree: at similarity 0.8 all but one pair in 17,000, at 0.9 all but one in 10 billion. In each
+    bucket of equal keys every text is first compared with the bucket's smallest node, a star and not all pairs. Where that
+    leaves texts of a bucket in different components, those of their pairs that can still reach the threshold are compared,
+    too (``unconnected``), so no link is lost and a group of near copies never meets itself pairwise. All candidates are
+    verified on whole texts.
     """
-    signed = cut_lineage(sign(docs, width, bands, rows))
+    return judged(docs, width, least, bands, rows).drop("raw")
+
+
+def judged(docs: DataFrame, width: int, least: float, bands: int, rows: int) -> DataFrame:
+    """``near_duplicates`` with ``raw``, a hash of the row's text that tells rows of one doc_id apart."""
+    signed = cut_lineage(sign(docs, width, bands, rows).withColumn("node", node_of()).drop("words_a", "words_b"))
     known = signed.filter("doc_id is not null and size > 0")
-    copies = cut_lineage(known.groupBy("words_a", "words_b").agg(F.min("doc_id").alias("rep")))
-    reps = known.join(copies, ["words_a", "words_b"]).filter("doc_id = rep").dropDuplicates(["rep"])
-    buckets = cut_lineage(reps.select("rep", "size", F.explode("keys").alias("key")))
-    # A bucket's smallest text, and whether there is another one.
-    leaders = buckets.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).filter("a < top")
-    shared = cut_lineage(buckets.join(leaders, "key").select("key", "a", F.col("rep").alias("b"), "size"))
+    # Equal words have equal keys; one row stands for them: that of the smallest doc_id, then of the smallest text hash.
+    first = F.min(F.struct("doc_id", "raw")).alias("first")
+    copies = cut_lineage(known.groupBy("node").agg(first, F.count("*").alias("n")).select("node", "first.*", "n"))
+    reps = known.join(copies.select("node", "doc_id", "raw"), ["node", "doc_id", "raw"]).dropDuplicates(["node"])
+    buckets = cut_lineage(reps.select("node", "size", F.explode("keys").alias("key")))
+    # A bucket's smallest node, and whether there is another one.
+    leaders = buckets.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a < top")
+    shared = cut_lineage(buckets.join(leaders, "key").select("key", "a", F.col("node").alias("b"), "size"))
     stars = shared.filter("a < b").select("a", "b").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
-    wanted = shared.select(F.col("b").alias("id")).distinct()
-    held = cut_lineage(texts.join(wanted, "id", "left_semi"))
+    wanted = copies.join(shared.select(F.col("b").alias("node")).distinct(), "node", "left_semi").select("doc_id", "raw", F.col("node").alias("id"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("raw", F.xxhash64("text"))
+    held = cut_lineage(texts.join(wanted, ["doc_id", "raw"]).dropDuplicates(["id"]).select("id", "text"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         with_b = pairs.join(held.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -266,29 +286,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, least: float = 0.8, bands:
     member = member.select("key", F.col("b").alias("id"), "size", F.coalesce("component", "b").alias("component"))
     rest = unconnected(cut_lineage(member), held, width, least).join(stars, ["a", "b"], "left_anti")
     links = links.unionByName(verified(rest))
-    grouped = components(links)
     ends = F.explode(F.array("a", "b")).alias("node")
     degree = links.select(ends).groupBy("node").agg(F.count("*").alias("n_links"))
-    by_rep = grouped.join(degree, "node", "left").select(F.col("node").alias("rep"), "component", "n_links")
-    placed = copies.join(by_rep, "rep", "left").select("words_a", "words_b", F.coalesce("component", "rep").alias("class_id"), "n_links")
-    classed = (
-        signed.select("doc_id", "words_a", "words_b", "size")
-        .join(placed, ["words_a", "words_b"], "left")
-        .withColumn("class_id", F.when(F.col("size") > 0, F.when(F.col("doc_id").isNotNull(), F.col("class_id"))).otherwise(F.col("doc_id")))
-        .select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    # Only linked texts have a class beyond their own copies.
+    linked = cut_lineage(copies.join(components(links), "node").join(degree, "node").select("node", "component", "doc_id", "n", "n_links"))
+    classes = linked.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"))
+    placed = linked.join(classes, "component").select("node", "class_id", "class_size", "n_links")
+    named = copies.join(placed, "node", "left").select(
+        "node", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", "n").alias("class_size"), "n_links"
     )
-    classed = cut_lineage(classed)
-    sizes = classed.filter("class_id is not null").groupBy("class_id").agg(F.count("*").alias("class_size"))
-    return classed.join(sizes, "class_id", "left").select(
+    known_row = F.col("doc_id").isNotNull() & (F.col("size") > 0)
+    found = signed.select("doc_id", "raw", "size", "node").join(named, "node", "left")
+    return found.select(
         "doc_id",
-        "class_id",
-        F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        "n_links",
-        F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
+        F.when(known_row, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(known_row, F.col("class_size")).otherwise(F.lit(1)).cast("long").alias("class_size"),
+        F.when(known_row, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
+        F.when(known_row, F.col("doc_id") == F.col("class_id")).otherwise(F.lit(True)).alias("kept"),
+        "raw",
     )
 
 
-def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
+def drop_near_copies(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int = 32, rows: int = 6) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
-    gone = near_duplicates(docs, **options).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = judged(docs, width, least, bands, rows).filter("not kept").select(F.col("doc_id").alias("_gone"), F.col("raw").alias("_raw")).distinct()
+    same = (docs["doc_id"] == F.col("_gone")) & (F.xxhash64(text_of()) == F.col("_raw"))
+    return docs.join(gone, same, "left_anti")

@@ -72,6 +72,18 @@ def test_null_keys_repeated_rows_and_no_rows(spark):
     assert bag.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_of_one_key_are_judged_by_their_texts(spark):
+    rng = random.Random(5)
+    one, two, other, last = (" ".join(rng.choice("abcdefgh") + str(rng.randrange(90)) for _ in range(80)) for _ in range(4))
+    rows = [(1, one), (1, two), (2, one + " x"), (3, two + " y"), (4, other), (5, other), (5, last), (8, last + " z")]
+    want = sorted([(1, 1, 2, True)] * 2 + [(2, 1, 2, False), (3, 1, 2, False), (4, 4, 2, True), (5, 4, 2, False), (5, 5, 2, True), (8, 5, 2, False)])
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = bag.near_duplicates(docs).select("doc_id", "class_id", "class_size", "kept").collect()
+        assert sorted(map(tuple, got)) == want
+        assert sorted(map(tuple, bag.drop_near_copies(docs).collect())) == sorted([(1, one), (1, two), (4, other), (5, last)])
+
+
 def test_signature_is_unbiased_for_weights():
     rng = random.Random(1)
     one = [b"%d" % rng.randrange(9) for _ in range(200)]
