@@ -96,7 +96,7 @@ def host_edges(pages: DataFrame, suffixes: DataFrame | None = None) -> DataFrame
 
 
 def spread_seeds(
-    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 16, every: int = 4, tolerance: float = 1e-8
+    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 16, every: int = 2, tolerance: float = 1e-8
 ) -> DataFrame:
     """(kind, host, rank) of personalised PageRank over ``edges`` (kind, src, dst, weight) from ``seeds`` (kind, host, mass).
 
