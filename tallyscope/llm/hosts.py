@@ -96,7 +96,7 @@ def host_edges(pages: DataFrame, suffixes: DataFrame | None = None) -> DataFrame
 
 
 def spread_seeds(
-    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 16, every: int = 2, tolerance: float = 1e-8
+    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 16, every: int = 4, tolerance: float = 1e-8
 ) -> DataFrame:
     """(kind, host, rank) of personalised PageRank over ``edges`` (kind, src, dst, weight) from ``seeds`` (kind, host, mass).
 
@@ -104,8 +104,7 @@ def spread_seeds(
     sum to 1. What reaches a host without outgoing edges restarts, too: since that only scales the result, it is left out
     of the rounds and made good by the final scaling. A round is one join and one sum over hosts and edges; a table is
     written every few rounds, so neither the plan nor the work lost with an executor grows. A round runs in one task per
-    STEPS_PER_TASK steps of the graph, however many files the tables have; a graph that fits one task needs no shuffle. Ranks are hashed in these tasks and not
-    broadcast, so no round goes through the driver.
+    STEPS_PER_TASK steps of the graph, however many files the tables have; a graph that fits one task needs no shuffle of its steps.
 
     ``rounds=None`` goes on until no rank grows by more than its ``tolerance``-th part from one written table to the next.
     Once that holds for a round it holds for all later ones: what a host gains comes from its neighbours' last gains, in the proportion in which
@@ -119,14 +118,14 @@ def spread_seeds(
     steps, start = steps.coalesce(tasks), start.coalesce(tasks)
     rank = written = start
     for k in count(1) if rounds is None else range(1, rounds + 1):
-        moved = steps.join(rank.withColumnRenamed("host", "src").hint("shuffle_hash"), ["kind", "src"]).select(
+        moved = steps.join(rank.withColumnRenamed("host", "src"), ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("part")).alias("rank")
         )
         rank = moved.unionByName(start).coalesce(tasks).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if k % every == 0:
             before, rank = written, cut_lineage(rank).coalesce(tasks)
             written = rank
-            was = before.withColumnRenamed("rank", "was").hint("shuffle_hash")
+            was = before.withColumnRenamed("rank", "was")
             grows = F.col("rank") - F.coalesce("was", F.lit(0.0)) > tolerance * F.col("rank")
             if rounds is None and rank.join(was, ["kind", "host"], "left").filter(grows).isEmpty():
                 break
