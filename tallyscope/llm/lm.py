@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,37 +19,51 @@ from tallyscope.llm.common import fold, slices, text_of
 END = b""
 #: Numbers of a piece of the weights that tasks hand over for averaging.
 PIECE = 4096
-#: Characters of text split into words at a time, and tokens trained on or scored side by side (one text, if longer). Words
-#: take much more memory than tokens, and the more tokens, the less do lanes with long texts run on alone.
-CHARS, TOKENS = 2_000_000, 2_000_000
+#: Bytes of text split into words at a time, and tokens trained on or scored side by side (one text, if longer): the more
+#: tokens, the less do lanes with long texts run on alone.
+BYTES, TOKENS = 8_000_000, 2_000_000
+#: Tokens as they are kept in the shared table.
+TOKEN = np.dtype("<u2")
 LOG10 = np.log(10)
 
 
-def words_of(text: str) -> list[bytes]:
-    """Words between blanks, A-Z in lower case."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of texts, the number of each token among them, and each text's number of tokens.
+
+    Words lie between blanks, A-Z in lower case; every text ends with the word ``END``.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts)))
+    n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    types, number = coded.dictionary.cast(pa.binary()), coded.indices.to_numpy(zero_copy_only=False)
+    end = pc.index(types, END).as_py()
+    if end < 0:
+        end, types = len(types), pa.concat_arrays([types, pa.array([END], pa.binary())])
+    # A text without words is split into one empty word, which is its end already.
+    blank = n == 1
+    blank[blank] = number[(np.cumsum(n) - n)[blank]] == end
+    n[blank] = 0
+    out = np.full(n.sum() + len(n), end, dtype=np.int64)
+    word = np.ones(len(out), dtype=bool)
+    word[np.cumsum(n + 1) - 1] = False
+    out[word] = number[number != end]
+    return types, out, n + 1
+
+
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their texts have about ``BYTES`` bytes."""
+    for batch in batches:
+        for lo, hi in slices(pc.binary_length(batch.column("text")).to_pylist(), BYTES):
+            yield batch.slice(lo, hi - lo)
 
 
-def count_words(texts: DataFrame, held: int = 400_000) -> DataFrame:
+def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) of all texts, each text ending with the word ``END``; counted in each task before anything is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
-            found.clear()
-            return out
-
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found[END] += len(texts)
-            for text in texts:
-                found.update(words_of(text))
-                if len(found) > held:
-                    yield flush()
-        if found:
-            yield flush()
+        for part in parts_of(batches):
+            types, number, _ = words_of(part.column("text"))
+            yield pa.RecordBatch.from_arrays([types, pa.array(np.bincount(number, minlength=len(types)))], names=["word", "n"]).filter(pc.field("n") > 0)
 
     return texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -66,7 +80,9 @@ class Vocabulary:
         self.tokens, self.types = tokens, types
         self.shape = shape = gru.Shape(frequent, width, tail, hidden)
         head = sorted(head, key=lambda x: (x[0] != END, -x[1], x[0]))
-        self.index = {w: k for k, (w, _) in enumerate(head)}
+        if shape.inputs > np.iinfo(TOKEN).max:
+            raise ValueError("more input tokens than the table of tokens can tell apart")
+        self.words = pa.array([w for w, _ in head], pa.binary())
         self.count = np.array([n for _, n in head], dtype=np.int64)
         rest, single = endings.astype(np.int64), once.astype(np.int64)
         for w, n in head[: shape.frequent]:
@@ -95,13 +111,20 @@ class Vocabulary:
         classes = np.concatenate([own.sum(1), self.class_tokens + 1e-3])
         return classes / classes.sum(), (own / own.sum(1, keepdims=True)).ravel()
 
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Input tokens of words, and their places in the head (-1: not there)."""
-        place = np.fromiter(map(self.index.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        token = self.token[place] if len(self.token) else np.zeros(len(words), dtype=np.int32)
-        if (far := np.flatnonzero(place < 0)).size:
-            token[far] = self.shape.frequent + self.class_of_ending[np.fromiter((ending(words[k]) for k in far), dtype=np.int64, count=len(far))]
-        return token, place
+        place = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        return np.where(place >= 0, self.token[place], self.shape.frequent + self.class_of_ending[endings(words)]), place
+
+
+def endings(words: pa.Array) -> np.ndarray:
+    """``ending`` of every word of a binary array."""
+    cut = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or bytes(2), dtype=np.uint8).astype(np.int64)
+    if len(data) == 0:
+        return np.zeros(len(words), dtype=np.int64)
+    byte = lambda back: np.where(cut[1:] - back >= cut[:-1], data[np.maximum(cut[1:] - back, 0)], 0)
+    return byte(1) << 8 | byte(2)
 
 
 def ending(word: bytes) -> int:
@@ -132,29 +155,77 @@ def vocabulary(counted: DataFrame, head: int, frequent: int, width: int, tail: i
     return Vocabulary(totals[0] or 0, totals[1], words, endings, once, frequent, width, tail, hidden)
 
 
-def encoded_chunks(batches: Iterator[pa.RecordBatch], words: Vocabulary) -> Iterator[list[np.ndarray]]:
+ENCODED = (
+    "row long, doc_id long, held_out boolean, mix long, n_tokens long, n_known long, base double, static double, "
+    "far array<struct<word: binary, cls: int, times: int>>, tokens binary"
+)
+
+
+def encode_rows(rows: DataFrame, words: Vocabulary) -> DataFrame:
+    """Per row (row, doc_id, held_out, mix, text) its tokens, the scores of all that a task knows by itself, and the words
+    beyond the head, with their classes."""
+    names = ["row", "doc_id", "held_out", "mix", "n_tokens", "n_known", "base", "static", "far", "tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts_of(batches):
+            types, number, n = words_of(part.column("text"))
+            token, place = words.encode(types)
+            known = place >= 0
+            # A word without tokens (the end, if nothing was trained on) has its probability, but is not known.
+            seen = known & (words.count[place] > 0)
+            text = np.repeat(np.arange(len(n)), n)
+            total = lambda x: np.bincount(text, weights=x[number], minlength=len(n))
+            at = np.flatnonzero(~known[number])
+            pairs, times = np.unique(text[at] * len(types) + number[at], return_counts=True)
+            word = types.take(pa.array(pairs % len(types)))
+            cls = words.class_of_ending[endings(word)]
+            far = pa.StructArray.from_arrays([word, pa.array(cls, pa.int32()), pa.array(times, pa.int32())], names=["word", "cls", "times"])
+            bounds = np.searchsorted(pairs // len(types), np.arange(len(n) + 1))
+            cuts = np.concatenate([[0], np.cumsum(n * TOKEN.itemsize)]).astype(np.int32)
+            kept = [None, pa.py_buffer(cuts), pa.py_buffer(token[number].astype(TOKEN))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[part.column(c) for c in names[:4]],
+                    pa.array(n),
+                    pa.array(total(seen).astype(np.int64)),
+                    pa.array(total(np.where(known, words.base[place], 0.0))),
+                    pa.array(total(np.where(known, words.static[place], 0.0))),
+                    pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), far),
+                    pa.Array.from_buffers(pa.binary(), len(n), kept),
+                ],
+                names=names,
+            )
+
+    return rows.select("row", "doc_id", "held_out", "mix", "text").mapInArrow(run, ENCODED)
+
+
+def tokens_in(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, dtype=TOKEN).astype(np.int32) for x in batch.column("tokens").to_pylist()]
+
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """Texts as tokens, in lists of about ``TOKENS`` tokens."""
-    held: list[np.ndarray] = []
+    held, size = [], 0
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for lo, hi in slices([len(t) for t in texts], CHARS):
-            own = [words_of(t) + [END] for t in texts[lo:hi]]
-            token, _ = words.encode([w for x in own for w in x])
-            held += np.split(token, np.cumsum([len(x) for x in own])[:-1])
-            if sum(map(len, held)) >= TOKENS:
+        for tokens in tokens_in(batch):
+            held.append(tokens)
+            if (size := size + len(tokens)) >= TOKENS:
                 yield held
-                held = []
+                held, size = [], 0
     if held:
         yield held
 
 
-def train_round(texts: DataFrame, words: Vocabulary, weights: dict, rate: float, shards: int) -> tuple[dict, int]:
-    """Weights after each shard of the texts has trained its own copy, averaged by the tokens it saw; and all tokens."""
+def train_round(encoded: DataFrame, shape: gru.Shape, weights: dict, rate: float, shards: int) -> tuple[dict, int]:
+    """Weights after each shard of the texts has trained its own copy, averaged by the tokens it saw; and all tokens.
+
+    Texts are dealt to shards by ``mix`` and ordered by it, so neither files nor tasks of the input change the weights.
+    """
     names = list(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = {k: v.copy() for k, v in weights.items()}
-        seen, _ = gru.train(own, words.shape, encoded_chunks(batches, words), rate)
+        seen, _ = gru.train(own, shape, chunks(batches), rate)
         flat = np.concatenate([own[k].ravel() for k in names])
         if seen:
             parts = [flat[i : i + PIECE].astype(np.float64) * seen for i in range(0, len(flat), PIECE)]
@@ -167,9 +238,10 @@ def train_round(texts: DataFrame, words: Vocabulary, weights: dict, rate: float,
                 seen, part = seen + n, part + values.values.to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([seen], pa.int64()), pa.array([part / seen])], names=["piece", "seen", "part"])
 
-    shape = "piece int, seen long, part array<double>"
-    trained = texts.select("text").coalesce(shards).mapInArrow(run, shape)
-    averaged = sorted(trained.groupBy("piece").applyInArrow(total, shape).collect(), key=lambda r: r["piece"])  # the size of the model
+    handed = "piece int, seen long, part array<double>"
+    dealt = encoded.select("mix", "doc_id", "tokens").repartition(shards, "mix").sortWithinPartitions("mix", "doc_id", "tokens")
+    trained = dealt.mapInArrow(run, handed)
+    averaged = sorted(trained.groupBy("piece").applyInArrow(total, handed).collect(), key=lambda r: r["piece"])  # the size of the model
     if not averaged:
         return weights, 0
     flat, out, at = np.concatenate([np.array(r["part"]) for r in averaged]).astype(np.float32), {}, 0
@@ -178,65 +250,22 @@ def train_round(texts: DataFrame, words: Vocabulary, weights: dict, rate: float,
     return out, averaged[0]["seen"]
 
 
-SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, far array<struct<word: binary, cls: int, times: int>>"
-
-
-def score_rows(docs: DataFrame, words: Vocabulary, weights: dict) -> DataFrame:
-    """Per document the scores of all that a task knows by itself, and its words beyond the head, with their classes."""
-
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "static", "far"]
-
-    def looked_up(batch: pa.RecordBatch, texts: list[str], lo: int, hi: int) -> tuple[list, list[np.ndarray]]:
-        own = [words_of(t) + [END] for t in texts[lo:hi]]
-        flat = [w for x in own for w in x]
-        n = np.array([len(x) for x in own], dtype=np.int64)
-        token, place = words.encode(flat)
-        known = place >= 0
-        text = np.repeat(np.arange(len(own)), n)
-        total = lambda x: np.bincount(text, weights=x, minlength=len(own))
-        # A word without tokens (the end, if nothing was trained on) has its probability, but is not known.
-        seen = known & (words.count[place] > 0)
-        far: list[list[dict]] = [[] for _ in own]
-        beyond = np.flatnonzero(~known)
-        for (k, word), times in Counter(zip(text[beyond].tolist(), [flat[i] for i in beyond.tolist()])).items():
-            far[k].append({"word": word, "cls": int(words.class_of_ending[ending(word)]), "times": times})
-        columns = [
-            *[batch.column(c).slice(lo, hi - lo) for c in names[:3]],
-            pa.array(n),
-            pa.array(total(seen).astype(np.int64)),
-            pa.array(total(np.where(known, words.base[place], 0.0))),
-            pa.array(total(np.where(known, words.static[place], 0.0))),
-            pa.array(far, pa.list_(pa.struct([("word", pa.binary()), ("cls", pa.int32()), ("times", pa.int32())]))),
-        ]
-        return columns, np.split(token, np.cumsum(n)[:-1])
+SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = []
-        tokens: list[np.ndarray] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            logs = np.add.reduceat(gru.score(weights, words.shape, tokens), np.concatenate([[0], np.cumsum([len(t) for t in tokens])[:-1]])) / LOG10
-            at = 0
-            for columns in held:
-                n = len(columns[0])
-                score = logs[at : at + n] + columns[6].to_numpy()
-                at += n
-                yield pa.RecordBatch.from_arrays([*columns[:6], pa.array(score), columns[7]], names=[*names[:6], "score", "far"])
-            held.clear()
-            tokens.clear()
 
+def score_rows(encoded: DataFrame, shape: gru.Shape, weights: dict) -> DataFrame:
+    """Per row of ``encode_rows`` the score of its tokens, words beyond the head counted by their class only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for lo, hi in slices([len(t) for t in texts], CHARS):
-                columns, own = looked_up(batch, texts, lo, hi)
-                held.append(columns)
-                tokens += own
-                if sum(map(len, tokens)) >= TOKENS:
-                    yield from flush()
-        if tokens:
-            yield from flush()
+            for lo, hi in slices([n.as_py() for n in batch.column("n_tokens")], TOKENS):
+                part = batch.slice(lo, hi - lo)
+                tokens = tokens_in(part)
+                starts = np.concatenate([[0], np.cumsum([len(t) for t in tokens])[:-1]])
+                logs = np.add.reduceat(gru.score(weights, shape, tokens), starts) / LOG10 + part.column("static").to_numpy()
+                yield pa.RecordBatch.from_arrays([*part.columns[:6], pa.array(logs)], names=[field.split()[0] for field in SCORED.split(", ")])
 
-    return docs.mapInArrow(run, SCORED)
+    return encoded.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "static", "tokens").mapInArrow(run, SCORED)
 
 
 def score_documents(
@@ -247,7 +276,7 @@ def score_documents(
     tail: int = 32,
     hidden: int = 16,
     rounds: tuple[tuple[int, float], ...] = ((1, 0.01), (3, 0.01), (8, 0.005)),
-    shards: int | None = None,
+    shard: int = 2_000_000,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs`` (doc_id, text, …).
 
@@ -260,26 +289,26 @@ def score_documents(
     only. Without training rows all tokens are unknown and the scores are those of the untrained model.
 
     Training goes over every token of every training document once. ``rounds`` lists (eighths of the documents up to which,
-    step size): within a round ``shards`` tasks (default: the session's parallelism) train on a share each by truncated
-    backpropagation, and their weights are averaged by tokens. Word counts are taken from all training documents. The
+    step size): within a round shards of about ``shard`` tokens of all rounds, dealt by hash, are trained on by one task
+    each by truncated backpropagation, and their weights are averaged by tokens. Word counts are taken from all training
+    documents. Every text is split into words twice, for the counts and for a table of tokens that all rounds read. The
     driver and tasks hold the ``head`` most frequent words at most; all others meet their counts in a join. A null doc_id
     counts as the text '' for the fold; rows that repeat a doc_id are scored each. Other columns are ignored.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).withColumn("held_out", fold("doc_id", 7) == 2)
-    learned = rows.filter("not held_out")
-    counted = cut_lineage(count_words(learned))
+    counted = cut_lineage(count_words(rows.filter("not held_out")))
     words = vocabulary(counted, head, frequent, width, tail, hidden)
     weights = gru.initial(words.shape, *words.shares())
-    drawn = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(8))
-    before = 0
+    numbered = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("mix", F.xxhash64("doc_id", "text"))
+    encoded = cut_lineage(encode_rows(numbered, words))
+    drawn, before = F.pmod("mix", F.lit(8)), 0
     for upto, rate in rounds:
-        share = learned.filter((drawn >= before) & (drawn < upto))
-        weights, _ = train_round(share, words, weights, rate, shards or spark.sparkContext.defaultParallelism)
+        share = encoded.filter(~F.col("held_out") & (drawn >= before) & (drawn < upto))
+        weights, _ = train_round(share, words.shape, weights, rate, ceil(max(1, words.tokens) / shard))
         before = upto
-    scored = cut_lineage(score_rows(rows.withColumn("row", F.monotonically_increasing_id()), words, weights))
+    scored = cut_lineage(score_rows(encoded, words.shape, weights))
     # Words beyond the head: their counts by a join, added up per document.
-    far = scored.select("row", F.explode("far").alias("f")).select("row", "f.*")
+    far = encoded.select("row", F.explode("far").alias("f")).select("row", "f.*")
     found = far.join(counted.withColumnRenamed("n", "c"), "word", "left")
     of_class = lambda values: F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("cls") + 1)
     known = F.log10((1 - of_class(words.unseen)) * F.col("c") / of_class(words.class_tokens))
@@ -291,7 +320,7 @@ def score_documents(
     )
     added = logs.groupBy("row").agg(*[F.sum(c).alias(f"far_{c}") for c in ("known", "base", "score")])
     plus = lambda c: F.col(c) + F.coalesce(f"far_{c}", F.lit(0))
-    return scored.drop("far").join(added, "row", "left").select(
+    return scored.join(added, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

@@ -4,11 +4,12 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyscope.llm import gru, lm
 
-SMALL = dict(head=40, frequent=16, width=4, tail=5, hidden=6, shards=2)
+SMALL = dict(head=40, frequent=16, width=4, tail=5, hidden=6, shard=12_000)
 
 
 def corpus(spark, n=160):
@@ -26,6 +27,10 @@ def tokens_of(text):
     return (text or "").encode().lower().split() + [b""]
 
 
+def encoded(vocabulary, words):
+    return vocabulary.encode(pa.array(words, pa.binary()))
+
+
 def held_out(i):
     return zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
 
@@ -56,7 +61,7 @@ def plain_scores(w, shape, words, vocabulary, count):
         gx, gh = w["into"][last] + w["bias"], h @ w["recur"]
         z, r = sig(gx[:size] + gh[:size]), sig(gx[size : 2 * size] + gh[size : 2 * size])
         h = (1 - z) * np.tanh(gx[2 * size :] + r * gh[2 * size :]) + z * h
-        place = vocabulary.index.get(word, -1)
+        place = int(encoded(vocabulary, [word])[1][0])
         cls_logits = h @ w["to_class"] + w["class_bias"]
         cls_p = np.exp(cls_logits - cls_logits.max())
         cls_p /= cls_p.sum()
@@ -85,15 +90,16 @@ def test_documents_scored_in_lanes_equal_one_by_one(spark):
     docs = corpus(spark)
     vocabulary, count, learned = fitted(spark, docs)
     weights = gru.initial(vocabulary.shape, *vocabulary.shares())
-    weights, seen = lm.train_round(learned, vocabulary, weights, 0.02, 2)
+    rows = learned.selectExpr("doc_id", "text", "false AS held_out", "monotonically_increasing_id() AS row", "xxhash64(doc_id, text) AS mix")
+    weights, seen = lm.train_round(lm.encode_rows(rows, vocabulary), vocabulary.shape, weights, 0.02, 2)
     assert seen == sum(count.values())
     texts = [tokens_of(r["text"]) for r in docs.collect() if len(r["text"] or "") < 3000]
-    encoded = [vocabulary.encode(t)[0] for t in texts]
+    tokens = [encoded(vocabulary, t)[0] for t in texts]
     for lanes, window in ((256, 64), (3, 5)):  # the state is carried from window to window
-        logs = gru.score(weights, vocabulary.shape, encoded, lanes, window) / np.log(10)
+        logs = gru.score(weights, vocabulary.shape, tokens, lanes, window) / np.log(10)
         at = 0
-        for words, token in zip(texts, encoded):
-            own, place = logs[at : at + len(words)].sum(), vocabulary.encode(words)[1]
+        for words, token in zip(texts, tokens):
+            own, place = logs[at : at + len(words)].sum(), encoded(vocabulary, words)[1]
             for w, p in zip(words, place):
                 if p >= 0:
                     own += vocabulary.static[p]
@@ -108,7 +114,7 @@ def test_probabilities_of_a_class_sum_to_one(spark):
     vocabulary, count, _ = fitted(spark, corpus(spark))
     mass = vocabulary.unseen.copy()
     for w, n in count.items():
-        if not 0 <= vocabulary.index.get(w, -1) < vocabulary.shape.frequent:
+        if not 0 <= encoded(vocabulary, [w])[1][0] < vocabulary.shape.frequent:
             t = vocabulary.class_of_ending[lm.ending(w)]
             mass[t] += (1 - vocabulary.unseen[t]) * n / vocabulary.class_tokens[t]
     assert mass == pytest.approx(np.where(vocabulary.class_tokens > 0, 1.0, vocabulary.unseen))
@@ -147,3 +153,20 @@ def test_no_rows_and_nothing_to_learn(spark):
     only = spark.createDataFrame([r for r in only if held_out(r["doc_id"])] or [(10**6 + k, "a b", "", 0.0) for k in range(60) if held_out(10**6 + k)], docs.schema)
     for r in lm.score_documents(only, **SMALL).collect():
         assert r["held_out"] and r["train_tokens"] == 0 and r["n_known"] == 0 and np.isfinite(r["score"]) and r["base_score"] == pytest.approx(0.0)
+
+
+def test_words_of_texts():
+    texts = ["  A\x0bb\tÉA ", "", " \n", "b", "x\x1cy\x85z b", "B"]
+    for some in (texts, texts[:1], texts[1:3], []):
+        types, number, n = lm.words_of(pa.array(some, pa.string()))
+        assert [types[k].as_py() for k in number] == [w for t in some for w in [*t.encode().lower().split(), b""]]
+        assert n.tolist() == [len(t.encode().split()) + 1 for t in some]
+    words = pa.array([b"", b"a", b"xyz", "é".encode()], pa.binary())
+    assert lm.endings(words).tolist() == [lm.ending(w.as_py()) for w in words] and lm.endings(words[2:]).tolist() == lm.endings(words).tolist()[2:]
+
+
+def test_scores_do_not_depend_on_the_layout_of_the_input(spark):
+    docs = corpus(spark)
+    by_layout = [sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in lm.score_documents(docs.repartition(k), **SMALL).collect()) for k in (1, 7)]
+    for one, other in zip(*by_layout):
+        assert one[:2] == other[:2] and one[2] == pytest.approx(other[2], rel=1e-5)
