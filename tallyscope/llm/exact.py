@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from math import ceil, log2
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,38 +51,60 @@ def directory(entries: DataFrame, capacity: int) -> tuple[DataFrame, int]:
     )
 
 
-def build_index(
-    docs: DataFrame, capacity: int = 65_536, hasher: Callable[[Column], Column] = F.xxhash64, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """One row per distinct normalised text, written as files ordered by bucket and hash.
+class Index(NamedTuple):
+    """``entries`` on shared files, ordered by bucket and hash, and the directory that leads to them."""
+
+    entries: DataFrame
+    slots: DataFrame
+    depth: int
+
+    def bucket_of(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the bucket that the directory names for their column ``h``; rows without a slot drop out."""
+        return rows.withColumn("slot", prefix(F.col("h"), self.depth)).join(self.slots, "slot").drop("slot", "local_depth")
+
+    def look_up(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (h, text_sha256, …) with what the index says of their text: slot, bucket, then the chain of the hash."""
+        return self.bucket_of(rows).join(self.entries, ["bucket", "h", "text_sha256"])
+
 
-    Columns: ``h``, ``bucket``, ``local_depth``, ``chain`` (position among different texts of one hash), ``text_sha256``,
+def build_index(
+    docs: DataFrame,
+    capacity: int = 65_536,
+    hasher: Callable[[Column], Column] = F.xxhash64,
+    key: str = "doc_id",
+    text: str = "text",
+    parts: int = 32,
+) -> Index:
+    """An extendible-hash index of the distinct normalised texts; a bucket has no more than ``capacity`` hashes.
+
+    Columns of its entries: ``h``, ``bucket``, ``chain`` (position among different texts of one hash), ``text_sha256``,
     ``keep_id``, ``keep_points`` (its code points), ``group_size``.
 
-    Texts are compared byte by byte: they are grouped by hash and text, each task collapsing its copies before anything is
-    shuffled, so a group of copies of any size leaves one row per task. Every owner task holds a range of buckets.
+    Every owner task holds a range of buckets and the hashes in them. The directory deals texts to the owners, who compare
+    the texts of a hash byte by byte. Before that, copies are collapsed in each task and in ``parts`` parts by id, so a
+    group of any size reaches its owner as no more than ``parts`` rows.
     """
     rows = docs.select(F.col(key).alias("id"), text_of(text).alias("text")).select(
         "id", F.length("text").alias("points"), F.regexp_replace("text", SPACE, "").alias("norm")
     )
-    # Most code points first, then the smallest id (null last): one decimal, as its aggregate works in place.
-    high = F.lit(2**63 - 1)
-    order = F.col("points").cast("decimal(10,0)") * F.lit(str(2**64)).cast("decimal(20,0)") - F.coalesce("id", high).cast("decimal(20,0)")
-    entries = cut_lineage(
-        rows.groupBy(hasher(F.col("norm")).alias("h"), "norm")
-        .agg(F.max_by("id", order).alias("keep_id"), F.max("points").alias("keep_points"), F.count("*").alias("group_size"))
-        .select("h", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "keep_points", "group_size")
-    )
-    slots, depth = directory(entries, capacity)
+
+    def collapsed(some: DataFrame, *by: str) -> DataFrame:
+        # Most code points first, then the smallest id (null last): one decimal, as its aggregate works in place.
+        last = F.coalesce("id", F.lit(2**63 - 1)).cast("decimal(20,0)")
+        order = F.col("points").cast("decimal(10,0)") * F.lit(str(2**64)).cast("decimal(20,0)") - last
+        return some.groupBy(*by, "norm").agg(F.max_by("id", order).alias("id"), F.max("points").alias("points"), F.sum("n").alias("n"))
+
+    hashed = rows.select("id", "points", "norm", hasher(F.col("norm")).alias("h"), F.lit(1).cast("long").alias("n"))
+    entries = cut_lineage(collapsed(hashed.withColumn("part", F.pmod(F.xxhash64("id", "points"), F.lit(parts))), "h", "part"))
+    slots, depth = directory(entries.select("h").distinct(), capacity)
+    index = Index(entries, cut_lineage(slots), depth)
     owners = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        entries.withColumn("slot", prefix(F.col("h"), depth))
-        .join(slots, "slot")
-        .repartitionByRange(owners, "bucket", "h")
-        .sortWithinPartitions("bucket", "h", "text_sha256")
+    owned = collapsed(index.bucket_of(entries).repartitionByRange(owners, "bucket", "h"), "bucket", "h")
+    named = owned.select(
+        "bucket", "h", F.sha2("norm", 256).alias("text_sha256"), F.col("id").alias("keep_id"), F.col("points").alias("keep_points"), F.col("n").alias("group_size")
     )
     chain = F.row_number().over(Window.partitionBy("bucket", "h").orderBy("text_sha256"))
-    return cut_lineage(placed.withColumn("chain", chain).drop("slot"))
+    return index._replace(entries=cut_lineage(named.withColumn("chain", chain)))
 
 
 def exact_dedup(docs: DataFrame, capacity: int = 65_536, hasher: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
@@ -103,7 +126,7 @@ def exact_dedup(docs: DataFrame, capacity: int = 65_536, hasher: Callable[[Colum
         hasher(norm).alias("h"),
         F.sha2(norm, 256).alias("text_sha256"),
     )
-    found = rows.join(index, ["h", "text_sha256"])
+    found = index.look_up(rows)
     twin = F.row_number().over(Window.partitionBy("doc_id", "text_sha256", "points").orderBy("raw_hash"))
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points")) & (twin == 1)
     return found.withColumn("kept", stays).select("doc_id", "keep_id", "group_size", "kept", "text_sha256", "raw_hash")

@@ -44,10 +44,29 @@ def test_groups_and_keepers(spark):
 
 def test_collisions_are_chained(spark):
     index = exact.build_index(documents(spark), capacity=4, hasher=lambda c: (F.length(c) % 2).cast("long"))
-    rows = index.collect()
+    rows = index.entries.collect()
     assert len({(r["h"], r["chain"]) for r in rows}) == len(rows) and max(r["chain"] for r in rows) > 5
 
 
+def test_look_up_goes_through_the_directory(spark):
+    docs = documents(spark)
+    index = exact.build_index(docs, capacity=3)
+    rows = docs.select("text", F.regexp_replace(F.coalesce("text", F.lit("")), exact.SPACE, "").alias("norm"))
+    asked = rows.select(F.xxhash64("norm").alias("h"), F.sha2("norm", 256).alias("text_sha256"))
+    assert index.slots.count() > 8 and index.look_up(asked).count() == docs.count()
+    buckets = sorted({r["bucket"] for r in index.slots.collect()})
+    wrong, other = buckets[0], buckets[1]
+    of_wrong = index.bucket_of(asked).filter(F.col("bucket") == wrong).count()
+    moved = index._replace(slots=index.slots.withColumn("bucket", F.when(F.col("bucket") == wrong, other).otherwise(F.col("bucket"))))
+    assert of_wrong > 0 and moved.look_up(asked).count() == docs.count() - of_wrong
+
+
+def test_owners_hold_ranges_of_buckets(spark):
+    files = exact.build_index(documents(spark), capacity=3).entries.groupBy(F.input_file_name().alias("f"))
+    ranges = sorted((r["lo"], r["hi"]) for r in files.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).collect())
+    assert len(ranges) > 1 and all(one[1] <= other[0] for one, other in zip(ranges, ranges[1:]))
+
+
 def test_directory_doubles_until_buckets_fit(spark):
     entries = spark.range(3000).select(F.xxhash64("id").alias("h"))
     crowded = entries.unionByName(spark.range(2000).select((F.lit(2**62) + F.shiftright(F.xxhash64("id"), 12)).alias("h")))
