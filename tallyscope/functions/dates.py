@@ -93,3 +93,14 @@ def historic_months(month, start, lookback: int = 2) -> Column:
 
 def _no_dates() -> Column:
     return F.array().cast("array<date>")
+
+
+def zoned_times(time: Column) -> tuple[Column, Column]:
+    """The instant that a time names, and the wall clock that it shows, both as timestamps.
+
+    They differ for text with an offset (``2024-01-01T10:00:00.000+02:00``): the instant counts the offset, the wall clock
+    is the text without it. Text without an offset, and timestamps, are both. Text that is no time is null.
+    """
+    instant = time.try_cast("timestamp")
+    shown = F.regexp_extract(time.cast("string"), r"^\s*(\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(?:\.\d+)?)\s*(?:Z|[+-]\d\d:?\d\d)\s*$", 1)
+    return instant, F.coalesce(F.when(instant.isNotNull(), shown.try_cast("timestamp")), instant)

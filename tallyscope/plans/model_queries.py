@@ -323,6 +323,31 @@ def _(d):
     return labelled_sessions(d)
 
 
+#: Offsets of the zoned field log and their minutes, by the device's number.
+OFFSETS = {"Z": 0, "+02:00": 120, "-05:30": -330, "+09:00": 540}
+
+
+def zoned_log(d: Data):
+    """The learning log with its times as text: the wall clock of each device with its offset."""
+    place = F.pmod(F.substring("did", 2, 20).cast("int"), F.lit(len(OFFSETS))) + 1
+    minutes, name = (F.element_at(F.array(*map(F.lit, x)), place) for x in (OFFSETS.values(), OFFSETS))
+
+    def text(time: str):
+        shown = F.timestamp_micros(F.unix_micros(time) + minutes.cast("long") * 60_000_000)
+        return F.concat(F.date_format(shown, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), name)
+
+    return learning_log(d).withColumns({c: text(c) for c in ("first_time_stamp", "timestamp")})
+
+
+@query(
+    "labelled_sessions_zoned",
+    f"""SELECT * REPLACE (utc_ts + to_minutes({list(OFFSETS.values())}[1 + CAST(substr(did, 2) AS INTEGER) % {len(OFFSETS)}]) AS utc_ts)
+        FROM v_labelled""",
+)
+def _(d):
+    return labelled.labelled_sessions(zoned_log(d), BLOCK_GAP, 200_000, 1)
+
+
 STAGES["v_eval"] = """
     WITH p AS (SELECT app, sum(b) AS users, sum(s) AS sessions FROM (
       SELECT did, app, max(score) AS b, sum(score) AS s FROM f_solved GROUP BY ALL) x GROUP BY 1),
