@@ -15,6 +15,8 @@ from tallyscope.functions.lineage import cut_lineage
 
 #: Rows of a block of candidates, and of queries: a block is one row of a table, so this bounds memory and not the search.
 BLOCK, QUERY_BLOCK = 2048, 256
+#: Parts over which the vectors of an uncommon length are dealt.
+UNCOMMON_PARTS = 32
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -77,19 +79,20 @@ def usable(vector: Column) -> Column:
 
 
 def search(
-    rows: DataFrame, every: int = 50, best: int = 5, visited: float = 0.6, least: int = 5000, centroids: int = 32, sample: int = 20_000
+    rows: DataFrame, every: int = 50, best: int = 5, visited: float = 0.7, centroids: int = 32, sample: int = 20_000
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest ``best`` rows by cosine of every row whose vec_id is divisible by ``every``.
 
     Scores are cosines of the original vectors in double precision; ties go to the smaller vec_id, and a row is no
     candidate of its own. With fewer candidates, all found are returned. Vectors that are null, zero, or hold a null or
-    non-finite component, and rows without vec_id, take no part; nor do vectors whose length is not the most common one
-    (of equally common lengths, the smallest). Rows that repeat a vec_id and vector count once. Other columns are ignored.
+    non-finite component, and rows without vec_id, take no part. A cosine needs two vectors of one length, so the candidates
+    of a query are the vectors as long as its own. Rows that repeat a vec_id and vector count once. Other columns are ignored.
 
     The index: ``centroids`` k-means centroids for each half of the unit vectors, from ``sample`` vectors drawn by hash;
-    every vector is indexed. A query visits cells in the order of summed distances until they hold the share ``visited`` of
-    all entries, and ``least`` entries at any rate; all entries of a visited cell are scored exactly. The share sets the
-    recall: neighbours of vectors without structure lie in many cells.
+    every vector of the most common length (of equally common ones, the smallest) is indexed. A query visits cells in the
+    order of summed distances until they hold the share ``visited`` of all entries; all entries of a visited cell are scored
+    exactly. The share sets the recall: neighbours of vectors without structure lie in many cells. Each other length is one
+    cell, searched in full.
 
     Equal vectors are one entry that carries its smallest ids, one more than are asked for: enough for every answer. So
     very many copies of a vector are neither a hot cell nor repeated searches. Candidates and queries meet in blocks.
@@ -101,75 +104,89 @@ def search(
     if common is None:
         return spark.createDataFrame([], shape)
     size = common["n"]
-    given = given.filter(F.size("v") == size).distinct()
+    given = given.distinct()
     half = size // 2
     ids = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     entries = cut_lineage(given.withColumn("n", ids).filter(F.col("n") <= best + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
-    total = entries.count()
-    drawn = np.array([r[0] for r in entries.orderBy(F.xxhash64("ids")).limit(sample).select("v").collect()])  # ``sample`` vectors
+    indexed = entries.filter(F.size("v") == size)
+    total = indexed.count()
+    drawn = np.array([r[0] for r in indexed.orderBy(F.xxhash64("ids")).limit(sample).select("v").collect()])  # ``sample`` vectors
     drawn = unit(drawn)
     codebooks = k_means(drawn[:, :half], centroids), k_means(drawn[:, half:], centroids)
     n_second = len(codebooks[1])
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = unit(np.stack(batch["v"].to_numpy()))
-            yield batch.assign(one=nearest(x[:, :half], codebooks[0]), two=nearest(x[:, half:], codebooks[1]))
-
+            length = batch["v"].map(len).to_numpy()
+            one, two, own = -length, np.zeros(len(batch), dtype=np.int64), length == size
+            if own.any():
+                x = unit(np.stack(batch["v"].to_numpy()[own]))
+                one[own], two[own] = nearest(x[:, :half], codebooks[0]), nearest(x[:, half:], codebooks[1])
+            yield batch.assign(one=one, two=two)
+
+    # ``one`` is the first centroid; minus its length for a vector of another length.
     placed = cut_lineage(entries.mapInPandas(place, "v array<double>, ids array<long>, one int, two int"))
-    cells = placed.groupBy("one", "two").count().collect()  # one row per cell: centroids squared at most
+    cells = placed.filter("one >= 0").groupBy("one", "two").count().collect()  # one row per cell: centroids squared at most
     filled = np.zeros((len(codebooks[0]), n_second), dtype=np.int64)
     for r in cells:
         filled[r["one"], r["two"]] = r["count"]
-    enough = max(least, visited * total)
+    enough = max(best + 1, visited * total)  # fewer could not answer
 
     # Blocks of candidates: rows of one first centroid, split by hash to about BLOCK rows.
-    parts = F.element_at(F.array(*[F.lit(max(1, ceil(int(n) / BLOCK))) for n in filled.sum(axis=1)]), F.col("one") + 1)
+    of_centroid = F.element_at(F.array(*[F.lit(max(1, ceil(int(n) / BLOCK))) for n in filled.sum(axis=1)]), F.greatest("one", F.lit(0)) + 1)
+    parts = F.when(F.col("one") < 0, UNCOMMON_PARTS).otherwise(of_centroid)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for one, rows_of in batch.groupby("one"):
+            for (one, part), rows_of in batch.groupby(["one", "part"]):
                 for lo in range(0, len(rows_of), BLOCK):
                     some = rows_of.iloc[lo : lo + BLOCK]
                     yield pd.DataFrame(
                         {
                             "one": [one],
+                            "part": [part],
                             "twos": [some["two"].to_numpy(np.int32).tobytes()],
                             "ids": [[list(x) for x in some["ids"]]],
                             "vectors": [np.stack(some["v"].to_numpy()).tobytes()],
                         }
                     )
 
-    dealt = placed.repartition("one", F.pmod(F.xxhash64("ids"), parts))
-    blocks = dealt.mapInPandas(pack, "one int, twos binary, ids array<array<long>>, vectors binary")
+    dealt = placed.withColumn("part", F.pmod(F.xxhash64("ids"), parts).cast("int")).repartition("one", "part")
+    blocks = dealt.mapInPandas(pack, "one int, part int, twos binary, ids array<array<long>>, vectors binary")
 
     # Blocks of queries: each distinct vector that some query has, with the cells it visits below a first centroid.
     asked = given.filter(F.col("vec_id") % every == 0).groupBy("v").agg(F.min("vec_id").alias("q"))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = unit(np.stack(batch["v"].to_numpy()))
-            d1, d2 = distances(x[:, :half], codebooks[0]), distances(x[:, half:], codebooks[1])
+            vectors, q = batch["v"].to_numpy(), batch["q"].to_numpy()
             below: dict[int, list] = {}
-            for k in range(len(batch)):
+            for k, v in enumerate(vectors):
                 of_query: dict[int, np.ndarray] = {}
-                for i, j in traverse(d1[k], d2[k], filled, enough):
+                if len(v) == size:
+                    x = unit(v[None, :])
+                    d1, d2 = distances(x[:, :half], codebooks[0]), distances(x[:, half:], codebooks[1])
+                    taken = traverse(d1[0], d2[0], filled, enough)
+                else:
+                    taken = [(-len(v), 0)]
+                for i, j in taken:
                     of_query.setdefault(i, np.zeros(n_second, dtype=bool))[j] = True
                 for i, mask in of_query.items():
                     below.setdefault(i, []).append((k, mask))
-            vectors, q = np.stack(batch["v"].to_numpy()), batch["q"].to_numpy()
             for i, found in below.items():
                 for lo in range(0, len(found), QUERY_BLOCK):
                     ks = [k for k, _ in found[lo : lo + QUERY_BLOCK]]
                     masks = np.stack([m for _, m in found[lo : lo + QUERY_BLOCK]])
-                    yield pd.DataFrame({"one": [i], "masks": [masks.tobytes()], "qs": [q[ks].tobytes()], "asked": [vectors[ks].tobytes()]})
+                    yield pd.DataFrame({"one": [i], "masks": [masks.tobytes()], "qs": [q[ks].tobytes()], "asked": [np.stack(vectors[ks]).tobytes()]})
 
     routed = asked.repartition(F.col("q")).mapInPandas(route, "one int, masks binary, qs binary, asked binary")
+    routed = routed.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                x, y = np.frombuffer(r.vectors).reshape(-1, size), np.frombuffer(r.asked).reshape(-1, size)
+                width = size if r.one >= 0 else -r.one
+                x, y = np.frombuffer(r.vectors).reshape(-1, width), np.frombuffer(r.asked).reshape(-1, width)
                 masks = np.frombuffer(r.masks, dtype=bool).reshape(-1, n_second)
                 cosine = y @ x.T / (np.linalg.norm(y, axis=1)[:, None] * np.linalg.norm(x, axis=1))
                 cosine[~masks[:, np.frombuffer(r.twos, dtype=np.int32)]] = -np.inf
@@ -179,7 +196,7 @@ def search(
                 k, e = np.nonzero((cosine >= low[:, None]) & np.isfinite(cosine))
                 yield pd.DataFrame({"q": np.frombuffer(r.qs, dtype=np.int64)[k], "ids": [r.ids[i] for i in e], "score": cosine[k, e]})
 
-    found = routed.join(blocks, "one").mapInPandas(score, "q long, ids array<long>, score double")
+    found = routed.join(blocks, ["one", "part"]).mapInPandas(score, "q long, ids array<long>, score double")
     # Per distinct query vector the best entries, then the answers of each query that has this vector.
     by_score = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     listed = (

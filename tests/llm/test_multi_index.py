@@ -36,12 +36,36 @@ def test_all_cells_give_the_exact_answer(spark):
 def test_recall_of_a_partial_visit(spark):
     rows, x = table(spark, n=4000)
     found = {}
-    for r in mi.search(rows, visited=0.25, least=100, centroids=16).collect():
+    for r in mi.search(rows, visited=0.25, centroids=16).collect():
         found.setdefault(r["query_id"], set()).add(r["vec_id"])
     hits = np.mean([len(found[q] & set(brute(x, q)[0])) / 5 for q in found])
     assert len(found) == 80 and hits >= 0.9
 
 
+def test_defaults_on_vectors_without_structure(spark):
+    x = np.random.default_rng(8).normal(size=(6000, 32))
+    found = {}
+    for r in mi.search(spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert len(found) == 120 and np.mean([len(found[q] & set(brute(x, q)[0])) / 5 for q in found]) >= 0.9
+
+
+def test_vectors_meet_those_of_their_own_length(spark):
+    rng = np.random.default_rng(9)
+    sizes = {0: 8, 1: 8, 2: 8, 3: 3, 4: 1}  # the most common length and two others
+    vectors = [rng.normal(size=sizes[i % 5]) for i in range(500)]
+    got = {}
+    for r in mi.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>"), every=3, visited=1.0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert sorted(got) == list(range(0, 500, 3))
+    for q, found in got.items():
+        same = [i for i in range(500) if len(vectors[i]) == len(vectors[q])]
+        want, _ = brute(np.stack([vectors[i] for i in same]), same.index(q))
+        if len(vectors[q]) > 1:  # of one component, all cosines are 1 or -1
+            assert [i for _, i in sorted(found)] == [same[i] for i in want]
+        assert len(found) == 5
+
+
 def test_cells_come_in_the_order_of_summed_distance():
     rng = np.random.default_rng(1)
     for _ in range(20):
