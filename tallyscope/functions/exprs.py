@@ -70,5 +70,11 @@ def round_doubles(df: DataFrame, places: int = 12) -> DataFrame:
     )
 
 
+def fits_int(column) -> Column:
+    """Aggregate: whether every whole number of a column fits into 32 bits."""
+    lo, hi = F.min(column), F.max(column)
+    return F.coalesce((lo >= -(2**31)) & (hi < 2**31), F.lit(True))
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c

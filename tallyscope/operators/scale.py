@@ -47,7 +47,7 @@ def median_scale(
     min_truth: float = MIN_TRUTH,
     by_date: bool = True,
 ) -> DataFrame:
-    """Per country: median over apps of mean truth / mean estimate, as a whole number ``adj``.
+    """Per country: median over apps of mean truth / mean estimate, as a whole number ``adj`` (long: users over a small share).
 
     Days of the truth the estimate lacks count 0. ``estimates`` needs a device count ``k`` only with ``min_users``.
     """
@@ -67,7 +67,7 @@ def median_scale(
         .withColumn("_adj", ratio("_truth", "_est"))
     )
     medians = grouped_quantiles(apps, ["country"], "_adj", {"adj": 0.5}, discrete=True)
-    return medians.select("country", F.floor("adj").cast("int").alias("adj"))
+    return medians.select("country", F.floor("adj").cast("bigint").alias("adj"))
 
 
 def scale_signal(estimates: DataFrame, scale: DataFrame, p: str, name: str) -> DataFrame:

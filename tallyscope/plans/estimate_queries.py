@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyscope.functions.exprs import fits_int
 from tallyscope.functions.lineage import new_folder
 from tallyscope.operators import calibrate, evaluate, labelled, reach, scale, share, trend
 from tallyscope.operators.assoc import match_entities
@@ -402,15 +403,23 @@ def adjustments(d: Data):
     )
 
 
+def sql_typed(d: Data, out):
+    """``out`` with its scales typed as in the SQL, INTEGER, where all scales fit; beyond, where the SQL's cast fails, they stay long."""
+    if union_all(df.select("adj") for df in adjustments(d)).agg(fits_int("adj").alias("fits")).first()["fits"]:
+        return out.withColumns({c: F.col(c).cast("int") for c in out.columns if c == "adj" or c.endswith("_adj")})
+    return out
+
+
 @query(
     "median_scale",
     """SELECT 'raw' AS signal, country, adj FROM v_raw_adj UNION ALL SELECT 'share', country, adj FROM v_share_adj
        UNION ALL SELECT 'field', country, adj FROM v_field_adj""",
 )
 def _(d):
-    return union_all(
+    scales = union_all(
         df.select(F.lit(name).alias("signal"), "country", "adj") for name, df in zip(("raw", "share", "field"), adjustments(d))
     )
+    return sql_typed(d, scales)
 
 
 STAGES["v_raw_scaled"] = f"""
@@ -450,7 +459,7 @@ def scaled_signals(d: Data):
 def _(d):
     raw, _, _ = scaled_signals(d)
     n_days = scale.count_days(between_dates(daily_estimates(d), DAY, DAY, 27)).scalar()
-    return scale.average_signal(raw, "raw_est", n_days, with_days=True)
+    return sql_typed(d, scale.average_signal(raw, "raw_est", n_days, with_days=True))
 
 
 def signals(d: Data):
@@ -468,7 +477,7 @@ def signals(d: Data):
 
 @query("joined_signals", f"SELECT {SIGNAL_COLS}, days_count, first_seen FROM v_signals")
 def _(d):
-    return signals(d)
+    return sql_typed(d, signals(d))
 
 
 STAGES["v_train"] = f"""
@@ -495,7 +504,7 @@ def training(d: Data):
     f"SELECT {SIGNAL_COLS}, round(ga_active_users, 12) AS ga_active_users FROM v_train",
 )
 def _(d):
-    return training(d)
+    return sql_typed(d, training(d))
 
 
 STAGES["v_features"] = """
