@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyscope.contracts import require
 from tallyscope.functions.exprs import ratio
+from tallyscope.functions.lineage import cut_lineage
 
 MIN_SHARE = 0.001
 TYPICAL_APPS = 4
 SESSION = ["country", "did", "session_id"]
+#: Rows (session, app, host) that one task orders.
+ROWS_PER_TASK = 250_000
 
 
 def posterior_params(ls: DataFrame, min_share: float = MIN_SHARE, distinct_apps: bool = False) -> DataFrame:
@@ -37,12 +42,27 @@ def posterior_params(ls: DataFrame, min_share: float = MIN_SHARE, distinct_apps:
 
 
 def session_pairs(sessions: DataFrame, params: DataFrame) -> DataFrame:
-    """Distinct (session, app, host) with the host's portions and the mean event time of the session."""
-    hosts = sessions.groupBy(*SESSION, "host").agg(F.count(F.lit(1)).alias("_events"), F.sum("ts").alias("_ts"))
+    """Distinct (session, app, host) with the host's portions and the mean event time of the session.
+
+    A host weighs as many times as it has apps. Rows are dealt by session over as many tasks as they need, at
+    ``ROWS_PER_TASK`` each: a few bytes a row when shuffled, they take much more when ordered.
+    """
     known = params.select("host", "app", "total_host_portion", "host_portion_per_bundle")
-    pairs = hosts.join(known, "host")
-    times = pairs.groupBy(*SESSION).agg(ratio(F.sum("_ts"), F.sum("_events")).alias("avg_session"))
-    return pairs.drop("_events", "_ts").join(times, SESSION)
+    hosts = (
+        sessions.dropna(subset=SESSION)
+        .groupBy(*SESSION, "host")
+        .agg(F.count(F.lit(1)).alias("_events"), F.sum("ts").alias("_ts"))
+        .join(known.groupBy("host").agg(F.count(F.lit(1)).alias("_apps")), "host")
+    )
+    whole = Window.partitionBy(*SESSION)
+    time = ratio(F.sum(F.col("_ts") * F.col("_apps")).over(whole), F.sum(F.col("_events") * F.col("_apps")).over(whole))
+    timed = cut_lineage(hosts.select(*SESSION, "host", "_apps", time.alias("avg_session")))
+    rows = timed.agg(F.coalesce(F.sum("_apps"), F.lit(0)).alias("n")).first()["n"]
+    return (
+        timed.join(known, "host")
+        .repartition(max(1, ceil(rows / ROWS_PER_TASK)), *SESSION)
+        .select(*SESSION, "host", "app", "total_host_portion", "host_portion_per_bundle", "avg_session")
+    )
 
 
 def _pooled(own: Column, total: Column, best: Column) -> Column:
@@ -97,18 +117,26 @@ def session_posterior(sessions: DataFrame, params: DataFrame) -> DataFrame:
     )
 
 
-def windowed_posterior(sessions: DataFrame, params: DataFrame, reach: int) -> DataFrame:
-    """Posterior over ``reach`` neighbours on each side of every host, hosts of a (session, app) in host order."""
+def _around(reach: int) -> Column:
+    """Posterior over ``reach`` neighbours on each side of a host, hosts of a (session, app) in host order."""
     around = Window.partitionBy(*SESSION, "app").orderBy("avg_session", "host").rowsBetween(-reach, reach)
     own, total = F.col("host_portion_per_bundle"), F.col("total_host_portion")
-    pooled = _pooled(F.sum(own).over(around), F.sum(total).over(around), F.max(F.try_divide(own, total)).over(around))
-    return session_pairs(sessions, params).withColumn("posterior", pooled)
+    return _pooled(F.sum(own).over(around), F.sum(total).over(around), F.max(F.try_divide(own, total)).over(around))
+
+
+def windowed_posterior(sessions: DataFrame, params: DataFrame, reach: int) -> DataFrame:
+    """Posterior over ``reach`` neighbours on each side of every host, hosts of a (session, app) in host order."""
+    return session_pairs(sessions, params).withColumn("posterior", _around(reach))
+
+
+def first_frame_posteriors(sessions: DataFrame, params: DataFrame, reaches: tuple[int, ...]) -> DataFrame:
+    """The windowed posterior at the first host of every (session, app), one row per reach; pairs are ordered once for all."""
+    frames = session_pairs(sessions, params).withColumns({f"_{n}": _around(n) for n in reaches})
+    first = frames.groupBy(*SESSION, "app", "avg_session").agg(*[F.min_by(f"_{n}", "host").alias(f"_{n}") for n in reaches])
+    rows = F.inline(F.array(*[F.struct(F.lit(n).alias("reach"), F.col(f"_{n}").alias("posterior")) for n in reaches]))
+    return first.select(*SESSION, "app", "avg_session", rows)
 
 
 def first_frame_posterior(sessions: DataFrame, params: DataFrame, reach: int) -> DataFrame:
     """The windowed posterior at the first host of every (session, app)."""
-    return (
-        windowed_posterior(sessions, params, reach)
-        .groupBy(*SESSION, "app", "avg_session")
-        .agg(F.min_by("posterior", "host").alias("posterior"))
-    )
+    return first_frame_posteriors(sessions, params, (reach,)).drop("reach")

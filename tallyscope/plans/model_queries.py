@@ -169,11 +169,12 @@ STAGES["v_solved_models"] = """
     UNION ALL SELECT *, DATE '2023-12-24', 'NB_1', false FROM v_scored_two"""
 
 
+def scored_models(d: Data):
+    return cnb.infer_sessions(counts(d), model_params(d), models=("model_date", "model_type", "is_main_model"))
+
+
 def solved_models(d: Data):
-    return d.stage(
-        "solved",
-        lambda: cnb.infer_sessions(counts(d), model_params(d), models=("model_date", "model_type", "is_main_model")),
-    )
+    return d.stage("solved", lambda: scored_models(d))
 
 
 @query(
@@ -182,7 +183,8 @@ def solved_models(d: Data):
          model_date, model_type, is_main_model FROM v_solved_models""",
 )
 def _(d):
-    return solved_models(d).drop("hosts", "local_ts", "utc_ts")
+    # Read once and without its maps, so it needs no table.
+    return scored_models(d).drop("hosts", "local_ts", "utc_ts")
 
 
 STAGES["v_solved_full"] = """
@@ -566,11 +568,8 @@ STAGES["v_frame1"], STAGES["v_frame2"] = frame_sql(1), frame_sql(2)
        UNION ALL SELECT 2, country, did, session_id, app, round(avg_session, 12), round(posterior, 12) FROM v_frame2""",
 )
 def _(d):
-    parts = [
-        posterior.first_frame_posterior(panel_sessions(d), portions(d), n).select(F.lit(n).alias("reach"), "*")
-        for n in (1, 2)
-    ]
-    return seconds(parts[0].unionByName(parts[1]))
+    frames = posterior.first_frame_posteriors(panel_sessions(d), portions(d), (1, 2))
+    return seconds(frames.select("reach", *[c for c in frames.columns if c != "reach"]))
 
 
 @query(
