@@ -57,7 +57,17 @@ def invert_demand(share: Column, start: Column, end: Column) -> Column:
     return F.when(F.abs(b - a) < 1e-12, share).otherwise(F.when(root + a <= 0, F.lit(0.0)).otherwise(2 * share / (root + a)))
 
 
-def mix(docs: DataFrame, rows_per_bin: int = 4096, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, schedules=SCHEDULES) -> DataFrame:
+def in_order(rows: DataFrame, *by: Column | str) -> DataFrame:
+    """``rows`` cut into ranges of ``by`` and sorted within them, so that all parts, one after the other, are in order."""
+    return rows.repartitionByRange(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by)
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``positions`` in the order in which training first reads them; those it does not read come last."""
+    return in_order(positions(docs, **options), F.asc_nulls_last("first_position"), spread(F.col("doc_id")), F.col("doc_id"))
+
+
+def positions(docs: DataFrame, rows_per_bin: int = 4096, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, schedules=SCHEDULES) -> DataFrame:
     """Words that a mix takes of every row of ``docs`` (doc_id, text, source, …) and when training reads them.
 
     Each source is read in the order of md5(doc_id), whole pass after whole pass, until its target is met; the text on
@@ -113,11 +123,5 @@ def mix(docs: DataFrame, rows_per_bin: int = 4096, weights=WEIGHTS, share: float
 def training_order(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as training reads them: whole texts, repeated as often as the mix passes over them, sorted by position."""
     passes = F.array_compact(F.array("first_position", "second_position"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        mix(docs, **options)
-        .select(*docs.columns, F.explode(passes).alias("_position"))
-        .repartitionByRange(parts, "_position")
-        .sortWithinPartitions("_position", "doc_id")
-        .select(*docs.columns)
-    )
+    reads = positions(docs, **options).select(*docs.columns, F.explode(passes).alias("_position"))
+    return in_order(reads, "_position", "doc_id").select(*docs.columns)

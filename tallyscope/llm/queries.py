@@ -163,7 +163,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document, and when training first reads it."""
+    """Words that the mix takes of every document, and when training first reads it, in that order."""
     mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_position")
 

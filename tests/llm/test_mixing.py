@@ -86,3 +86,15 @@ def test_no_rows_and_no_words(spark):
     assert mixing.mix(documents(spark).limit(0)).count() == 0
     rows = mixing.mix(spark.createDataFrame([(1, None, None), (2, " \t", "a")], "doc_id long, text string, source string")).collect()
     assert [(r["size"], r["target"], r["taken"], r["first_position"]) for r in rows] == [(0, 0.0, 0, None)] * 2
+
+
+def test_mix_is_sorted_by_position(spark):
+    """Parts one after the other are in order, rows that are not read last."""
+    docs = documents(spark, 300).repartition(5)
+    at = mixing.mix(docs, rows_per_bin=16).withColumn("_part", F.spark_partition_id())
+    parts = {}
+    for r in at.select("_part", "first_position").toLocalIterator():
+        parts.setdefault(r["_part"], []).append((r["first_position"] is None, r["first_position"] or 0.0))
+    assert len(parts) > 1
+    flat = [x for k in sorted(parts) for x in parts[k]]
+    assert flat == sorted(flat) and len(flat) == docs.count()
