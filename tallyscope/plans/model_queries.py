@@ -108,10 +108,14 @@ STAGES["v_info"] = """
     GROUP BY session_id, did, country, source HAVING sum(inv_freq * host_count) >= 1"""
 
 
+def host_text(hosts):
+    """A host map as sorted text, so that both engines show it alike."""
+    listed = F.transform(F.map_entries(hosts), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
+    return F.array_join(F.array_sort(listed), ",")
+
+
 def flat_hosts(df):
-    """Host maps as sorted text, so that both engines show them alike."""
-    listed = F.transform(F.map_entries("hosts"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
-    return df.withColumn("hosts", F.array_join(F.array_sort(listed), ","))
+    return df.withColumn("hosts", host_text(F.col("hosts")))
 
 
 @query(
@@ -169,8 +173,8 @@ STAGES["v_solved_models"] = """
     UNION ALL SELECT *, DATE '2023-12-24', 'NB_1', false FROM v_scored_two"""
 
 
-def scored_models(d: Data):
-    return cnb.infer_sessions(counts(d), model_params(d), models=("model_date", "model_type", "is_main_model"))
+def scored_models(d: Data, show=None):
+    return cnb.infer_sessions(counts(d), model_params(d), models=("model_date", "model_type", "is_main_model"), show=show)
 
 
 def solved_models(d: Data):
@@ -207,7 +211,7 @@ def _(d):
     both.write.parquet(f"{root}/nb/new")
     cnb.filter_params(both, 30).drop("hits").withColumn("note", F.lit("older")).write.parquet(f"{root}/nb/old")
     found = read_models(d.spark, "nb/new,2023-12-31,NB_1,True;nb/old,2023-12-24,NB_1,False", root)
-    return flat_hosts(cnb.infer_sessions(counts(d), found, models=("model_date", "model_type", "is_main_model")))
+    return cnb.infer_sessions(counts(d), found, models=("model_date", "model_type", "is_main_model"), show=host_text)
 
 
 STAGES["v_trivial"] = """
@@ -258,7 +262,9 @@ def merged_solved(d: Data):
          round(score, 12) AS score, model_date, model_type, is_main_model FROM v_merged_solved""",
 )
 def _(d):
-    return flat_hosts(merged_solved(d))
+    # Hosts are shown once per session; the maps themselves are not needed here.
+    solved = d.stage("solved_shown", lambda: scored_models(d, host_text))
+    return cnb.merge_trivial(solved, flat_hosts(cnb.trivial_matches(panel_sessions(d), model_params(d))))
 
 
 @query(
@@ -710,4 +716,6 @@ def _(d):
        FROM l WHERE model_date = latest GROUP BY ALL""",
 )
 def _(d):
-    return reach.merge_newest(reach.source_estimation(solved_models(d)))
+    # Read twice, but without the maps and times of the sessions.
+    scores = d.stage("scores", lambda: scored_models(d).drop("hosts", "local_ts", "utc_ts"))
+    return reach.merge_newest(reach.source_estimation(scores))
