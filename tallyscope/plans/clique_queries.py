@@ -62,8 +62,12 @@ STAGES["v_app_hosts"] = """
       OR contains(app_name, split_part(domain, '.', 1)) OR contains(lower(bundle_id), split_part(domain, '.', 1)))"""
 
 
+def app_pages(d: Data):
+    return d.stage("app_pages", lambda: d["f_app_pages"])
+
+
 def app_hosts(d: Data):
-    return d.stage("app_hosts", lambda: cliques.validated_app_hosts(d["f_app_pages"], d["f_suffix"]))
+    return d.stage("app_hosts", lambda: cliques.validated_app_hosts(app_pages(d), d["f_suffix"]))
 
 
 @query("validated_app_hosts", "SELECT bundle_id, host, domain FROM v_app_hosts")
@@ -240,11 +244,12 @@ STAGES["v_name_matches"] = """
          CAST(match_app_name AS DOUBLE) AS match_app_name FROM v_name_matches""",
 )
 def _(d):
-    found = cliques.flatten_cliques(all_cliques(d), d["f_suffix"])
+    found = d.stage("flat_cliques", lambda: cliques.flatten_cliques(all_cliques(d), d["f_suffix"]))
     pairs = cliques.clique_jaccard(found, app_hosts(d), "domain", "app_info").select(*cliques.PAIR).unionByName(
         cliques.clique_jaccard(found, lab_hosts(d), "domain", "panel").select(*cliques.PAIR)
     )
-    return cliques.name_matches(pairs.distinct(), cliques.clique_labels(found), d["f_app_pages"])
+    # Dealt by clique alone, so that the labels of the clique meet its pairs without another shuffle.
+    return cliques.name_matches(pairs.repartition("clique_id").distinct(), cliques.clique_labels(found), app_pages(d))
 
 
 def _filled(c: str) -> str:
@@ -266,7 +271,7 @@ STAGES["v_candidates"] = f"""
 def candidates(d: Data):
     return d.stage(
         "candidates",
-        lambda: cliques.clique_candidates(all_cliques(d), app_hosts(d), lab_hosts(d), d["f_app_pages"], d["f_suffix"]),
+        lambda: cliques.clique_candidates(all_cliques(d), app_hosts(d), lab_hosts(d), app_pages(d), d["f_suffix"]),
     )
 
 
