@@ -5,6 +5,7 @@ from itertools import combinations
 
 import pandas as pd
 import pytest
+
 from tallyscope.operators import cliques
 
 
