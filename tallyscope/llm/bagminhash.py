@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyscope.functions.lineage import cut_lineage
-from tallyscope.llm.common import slices, text_of
+from tallyscope.llm.common import lengths, slices, text_of
 from tallyscope.llm.graph import components
 from tallyscope.llm.pieces import STEP, scramble
 
@@ -123,9 +123,9 @@ def sign(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for lo, hi in slices([len(t) for t in texts], CHARS):
-                words = [words_of(t) for t in texts[lo:hi]]
+            texts = batch.column("text")
+            for lo, hi in slices(lengths(texts), CHARS):
+                words = [words_of(t) for t in texts.slice(lo, hi - lo).to_pylist()]
                 text, h, count = shingles(words, width)
                 keys = band_keys(signatures(text, h, count, hi - lo, bands * rows), bands)
                 size = np.bincount(text, weights=count, minlength=hi - lo).astype(np.int64)
@@ -146,14 +146,15 @@ def sign(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, width: int) -> DataFrame:
-    """(a, b, similarity) of rows (a, b, text_a, text_b): the exact weighted Jaccard similarity of their shingles."""
+    """(a, b, similarity, common) of rows (a, b, text_a, text_b): the exact weighted Jaccard similarity of their shingles, and
+    how many they have in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
-            for lo, hi in slices([len(x) + len(y) for x, y in zip(left, right)], CHARS):
+            left, right = batch.column("text_a"), batch.column("text_b")
+            for lo, hi in slices([x + y for x, y in zip(lengths(left), lengths(right))], CHARS):
                 n = hi - lo
-                text, h, count = shingles([words_of(t) for t in left[lo:hi] + right[lo:hi]], width)
+                text, h, count = shingles([words_of(t) for side in (left, right) for t in side.slice(lo, n).to_pylist()], width)
                 size = np.bincount(text, weights=count, minlength=2 * n)
                 pair = text % n
                 order = np.lexsort((h, pair))
@@ -162,11 +163,16 @@ def overlaps(pairs: DataFrame, width: int) -> DataFrame:
                 common = np.bincount(pair[twice], weights=np.minimum(count[twice], count[twice + 1]), minlength=n)
                 union = size[:n] + size[n:] - common
                 same = np.divide(common, union, out=np.zeros(n), where=union > 0)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("a").slice(lo, n), batch.column("b").slice(lo, n), pa.array(same)], names=["a", "b", "similarity"]
-                )
+                columns = [batch.column("a").slice(lo, n), batch.column("b").slice(lo, n), pa.array(same), pa.array(common.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "similarity", "common"])
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {NODE}, b {NODE}, similarity double")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {NODE}, b {NODE}, similarity double, common long")
+
+
+def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``overlaps`` of pairs (a, b) of the texts (id, text)."""
+    with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    return overlaps(with_b.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a"), width)
 
 
 def shingle_rows(texts: DataFrame, width: int) -> DataFrame:
@@ -174,22 +180,28 @@ def shingle_rows(texts: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given, ids = batch.column("text").to_pylist(), batch.column("id")
-            for lo, hi in slices([len(t) for t in given], CHARS):
-                text, h, count = shingles([words_of(t) for t in given[lo:hi]], width)
+            given, ids = batch.column("text"), batch.column("id")
+            for lo, hi in slices(lengths(given), CHARS):
+                text, h, count = shingles([words_of(t) for t in given.slice(lo, hi - lo).to_pylist()], width)
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo).take(pa.array(text)), pa.array(h.view(np.int64)), pa.array(count)], names=["id", "shingle", "n"])
 
     return texts.select("id", "text").mapInArrow(run, f"id {NODE}, shingle long, n long")
 
 
-def unconnected(member: DataFrame, texts: DataFrame, width: int, least: float, rare: int = 16) -> DataFrame:
-    """Pairs (a, b) of texts in different components that may still reach ``least``, of buckets with three or more texts.
+def unconnected(member: DataFrame, texts: DataFrame, width: int, least: float, rare: int = 16, crowd: int = 32) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of texts in different components that may still reach ``least``, of buckets with three or more texts; and
+    links (a, b) that were found on the way.
 
     ``member`` has (key, id, size, component) of every text of a bucket. No pair that reaches the threshold is left out:
     a pair of sizes m and n needs a common part of least / (1 + least) * (m + n) shingles. A shingle that at most ``rare``
     of the texts have can be common to few pairs, which are listed; all other pairs have in common at most what either text
     has of shingles that are not rare. So texts that each differ from a much copied one in words of their own, many enough
     to part them, are told apart by counting, without being paired.
+
+    Where more than ``crowd`` texts of a bucket are left, they are first compared with its centre, the text with the smallest
+    share of rare shingles: the original of a much edited text, or what is nearest to it. That joins most of their components.
+    It also parts what is not rare of each text in two, in common with the centre and beyond it, and a pair has no
+    more in common than the smaller of either part: texts that lack different passages of the centre are told apart, too.
     """
     need = least / (1 + least) * (1 - 1e-9)
     per = member.groupBy("key", "component").agg(F.count("*").alias("n"))
@@ -215,27 +227,47 @@ def unconnected(member: DataFrame, texts: DataFrame, width: int, least: float, r
     # Pairs with rare shingles in common: at most rare ** 2 / 2 for each of these.
     listed = scarce.filter("texts > 1").groupBy("shingle").agg(F.collect_list(F.struct("id", "n")).alias("of"))
     one = listed.select("of", F.explode("of").alias("x")).select("x", F.explode("of").alias("y")).filter("x.id < y.id")
-    common = one.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.sum(F.least("x.n", "y.n")).alias("extra"))
+    common = cut_lineage(one.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.sum(F.least("x.n", "y.n")).alias("extra")))
     may = F.col("extra") + F.least("plain_a", "plain_b") >= need * (F.col("size_a") + F.col("size_b"))
     with_rare = ends(common).filter(F.col("component_a") != F.col("component_b")).filter(may).select("a", "b")
 
     # The others: a text outside its bucket's largest component against the rest of the bucket.
-    kept = inside.join(known.select("id", "plain"), "id")
+    kept = inside.drop("major").join(known.select("id", "plain"), "id")
     smallest = kept.groupBy("key").agg(F.min("size").alias("smallest"))
     kept = kept.join(smallest, "key").filter(F.col("plain") >= need * (F.col("size") + F.col("smallest")))
-    # A pair that shares several buckets is taken in the one of the lowest key.
     kept = cut_lineage(kept)
-    kept = kept.join(kept.groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys")), "id")
-    x, y = (kept.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "size", "component", "plain", "major", "keys")]) for k in ("x", "y"))
+    fewest = F.max(F.struct((F.col("plain") / F.col("size")).alias("share"), "id")).alias("fewest")
+    centres = kept.groupBy("key").agg(F.count("*").alias("n"), fewest).filter(F.col("n") > crowd).select("key", F.col("fewest.id").alias("centre"))
+    centred = cut_lineage(kept.join(centres, "key", "left"))
+    a, b = F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")
+    near = cut_lineage(compared(centred.filter("id <> centre").select(a, b).distinct(), texts, width))
+    found = near.filter(F.col("similarity") >= least).select("a", "b")
+    of = nodes.select("id", "component")
+    joint = found.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    joined = components(joint).toDF("component", "whole")
+    shared = near.join(common, ["a", "b"], "left").select("a", "b", (F.col("common") - F.coalesce("extra", F.lit(0))).alias("within"))
+    shared = shared.unionByName(shared.select(F.col("b").alias("a"), F.col("a").alias("b"), "within")).toDF("id", "centre", "within")
+    placed = centred.join(joined, "component", "left").withColumn("component", F.coalesce("whole", "component")).drop("whole")
+    within = F.coalesce("within", "plain")  # the centre itself; and without a centre, no more is known
+    placed = cut_lineage(placed.join(shared, ["id", "centre"], "left").withColumn("within", within).withColumn("beyond", F.col("plain") - F.col("within")))
+    majors = placed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "component"))["component"].alias("major"))
+    # A pair that shares several buckets is taken in the one of the lowest key.
+    placed = placed.join(placed.groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys")), "id").join(majors, "key")
+    placed = cut_lineage(placed)
+    x, y = (placed.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "size", "component", "within", "beyond", "major", "keys")]) for k in ("x", "y"))
+    outside = x.filter("component_x <> major_x")
+    # What reaches none of the texts outside, by the most that any of them has, meets none.
+    most = outside.groupBy("key").agg(F.max("within_x").alias("within"), F.max("beyond_x").alias("beyond"), F.min("size_x").alias("size"))
+    reach = F.least("within_y", "within") + F.least("beyond_y", "beyond") >= need * (F.col("size_y") + F.col("size"))
+    y = y.join(most, "key").filter(reach).drop("within", "beyond", "size")
     meets = (
-        (F.col("component_x") != F.col("major_x"))
-        & (F.col("component_x") != F.col("component_y"))
+        (F.col("component_x") != F.col("component_y"))
         & ((F.col("id_x") < F.col("id_y")) | (F.col("component_y") == F.col("major_y")))
-        & (F.least("plain_x", "plain_y") >= need * (F.col("size_x") + F.col("size_y")))
+        & (F.least("within_x", "within_y") + F.least("beyond_x", "beyond_y") >= need * (F.col("size_x") + F.col("size_y")))
         & (F.get(F.array_intersect("keys_x", "keys_y"), F.lit(0)) == F.col("x.key"))
     )
-    plain = x.filter("component_x <> major_x").alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & meets)
-    return plain.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).unionByName(with_rare).distinct()
+    plain = outside.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & meets)
+    return plain.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).unionByName(with_rare).distinct(), found
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, least: float = 0.8, bands: int = 32, rows: int = 6) -> DataFrame:
@@ -252,7 +284,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, least: float = 0.8, bands:
     one of ``bands`` bands agree: at similarity 0.8 all but one pair in 17,000, at 0.9 all but one in 10 billion. In each
     bucket of equal keys every text is first compared with the bucket's smallest node, a star and not all pairs. Where that
     leaves texts of a bucket in different components, those of their pairs that can still reach the threshold are compared,
-    too (``unconnected``), so no link is lost and a group of near copies never meets itself pairwise. All candidates are
+    too (``unconnected``), in large buckets after a second star around a centre. So no text loses its class, and a group of
+    near copies never meets itself pairwise. All candidates are
     verified on whole texts.
     """
     return judged(docs, width, least, bands, rows).drop("raw")
@@ -276,16 +309,14 @@ def judged(docs: DataFrame, width: int, least: float, bands: int, rows: int) ->
     held = cut_lineage(texts.join(wanted, ["doc_id", "raw"]).dropDuplicates(["id"]).select("id", "text"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        with_b = pairs.join(held.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        both = with_b.join(held.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        return cut_lineage(overlaps(both, width).filter(F.col("similarity") >= least).select("a", "b").distinct())
+        return cut_lineage(compared(pairs, held, width).filter(F.col("similarity") >= least).select("a", "b").distinct())
 
     links = verified(stars)
     grouped = components(links)
     member = shared.join(grouped.withColumnRenamed("node", "b"), "b", "left")
     member = member.select("key", F.col("b").alias("id"), "size", F.coalesce("component", "b").alias("component"))
-    rest = unconnected(cut_lineage(member), held, width, least).join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(rest))
+    rest, found = unconnected(cut_lineage(member), held, width, least)
+    links = cut_lineage(links.unionByName(found).unionByName(verified(rest.join(stars, ["a", "b"], "left_anti"))).distinct())
     ends = F.explode(F.array("a", "b")).alias("node")
     degree = links.select(ends).groupBy("node").agg(F.count("*").alias("n_links"))
     # Only linked texts have a class beyond their own copies.

@@ -109,3 +109,51 @@ def test_signatures_do_not_depend_on_the_batch():
     together = bag.signatures(*bag.shingles(texts, 5), len(texts), 64)
     for k, words in enumerate(texts):
         assert np.array_equal(bag.signatures(*bag.shingles([words], 5), 1, 64)[0], together[k])
+
+
+def test_edits_of_one_text_are_not_paired_with_each_other(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"b{k}" for k in range(150)]
+    texts = [" ".join(base)]
+    for i in range(300):  # too far from each other, near enough to the text that all come from
+        words = list(base)
+        for k in rng.sample(range(0, 150, 6), 3):
+            words[k] = f"e{i}_{k}"
+        texts.append(" ".join(words))
+    for i in range(100):  # too far from that text
+        words = list(base)
+        for k in range(3, 150, 9):
+            words[k] = f"f{i}_{k}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(rng.sample(texts, len(texts))))
+    asked, compare = [], bag.overlaps
+
+    def counted(pairs, width):
+        asked.append(pairs.select("a", "b").distinct().count())
+        return compare(pairs, width)
+
+    monkeypatch.setattr(bag, "overlaps", counted)
+    got = bag.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == by_hand(rows)
+    assert sum(asked) < 40 * len(texts)
+
+
+def test_a_centre_loses_no_class(spark, monkeypatch):
+    """Several families whose members lack different passages, with and without the text they come from."""
+    rng = random.Random(11)
+    texts = []
+    for family in range(3):
+        base = [f"w{rng.randrange(400)}" for _ in range(70)]
+        texts += [" ".join(base)] * (family != 1)
+        for _ in range(60):
+            words = list(base)
+            for _ in range(rng.choice([1, 1, 2, 3])):
+                lo = rng.randrange(len(words) - 4)
+                words[lo : lo + rng.randrange(3)] = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(3))]
+            texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    cut = bag.unconnected
+    monkeypatch.setattr(bag, "unconnected", lambda *a: cut(*a, rare=3, crowd=4))
+    got = bag.near_duplicates(docs, rows=2).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == by_hand(rows)
