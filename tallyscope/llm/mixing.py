@@ -85,6 +85,8 @@ def positions(docs: DataFrame, rows_per_bin: int = 4096, weights=WEIGHTS, share:
     docs = docs.drop(*made)
     bits = min(40, max(0, ceil(log2(max(1, docs.count() / rows_per_bin)))))
     order = spread(F.col("doc_id"))
+    # A key without nulls: windows and the join on it share one shuffle of the texts, which eqNullSafe would not.
+    named = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
     head = F.conv(F.substring(order, 1, 10), 16, 10).cast("long")
     rows = docs.withColumn("size", F.regexp_count(text_of(), F.lit(WORD)).cast("long")).withColumn("_bin", F.shiftright(head, 40 - bits))
     bins = cut_lineage(rows.groupBy("source", "_bin").agg(F.sum("size").alias("words")))
@@ -93,12 +95,13 @@ def positions(docs: DataFrame, rows_per_bin: int = 4096, weights=WEIGHTS, share:
     starts = (
         bins.withColumn("ahead", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
         .join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
-        .select(F.col("source").alias("_source"), F.col("_bin").alias("_of"), "ahead", "source_size", "target", "starts_with", "ends_with")
+        .select(named.alias("_source"), F.col("_bin").alias("_of"), "ahead", "source_size", "target", "starts_with", "ends_with")
     )
-    inside = Window.partitionBy("source", "_bin").orderBy(order, "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_named", "_bin").orderBy(order, "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     begun = (
-        rows.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bin") == F.col("_of")))
+        rows.withColumn("_named", named)
+        .withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+        .join(starts, (F.col("_named") == F.col("_source")) & (F.col("_bin") == F.col("_of")))
         .withColumn("_from", F.col("ahead") + F.col("_inside"))
         .withColumn("_goal", F.floor(F.col("target") + 1e-6))
     )

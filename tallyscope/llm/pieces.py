@@ -11,12 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyscope.llm.common import slices, text_of
+from tallyscope.llm.common import lengths, slices, text_of
 
 #: The mark by which pieces write a space.
 MARK = "▁"
 #: The public piece vocabulary, by the installed package's name for it.
 MODEL = "piece_bpe_32k.model"
+#: Characters of distinct units whose lattices are held together (those of one unit, if it is longer).
+BLOCK = 50_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BASE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -104,7 +106,33 @@ class PieceSampler:
             return np.empty(0, dtype=np.int32), np.zeros(len(texts) + 1, dtype=np.int64)
         place: dict[str, int] = {}
         codes, distinct = np.array([place.setdefault(u, len(place)) for u in units], dtype=np.int64), list(place)
-        del units
+        del units, place
+        length = np.array([len(u) for u in distinct], dtype=np.int64)
+        begins = np.concatenate([[0], np.cumsum(length[codes])])
+        text_begins = begins[np.concatenate([[0], np.cumsum(per_text)])]
+        row = scramble(keys.astype(np.int64).view(np.uint64) + STEP * (self.seed + np.uint64(1)))
+        state = np.repeat(row - STEP * text_begins[:-1].astype(np.uint64), per_text)
+        # By the character at which a piece begins, the piece; a character written as bytes is -2 less its code point.
+        chosen = np.full(begins[-1], -1, dtype=np.int32)
+        # Units are drawn apart from each other, so the lattices of a block of them are all that is held at a time.
+        by_code = np.argsort(codes, kind="stable")
+        upto = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(distinct)))])
+        for lo, hi in slices(length.tolist(), BLOCK):
+            own = by_code[upto[lo] : upto[hi]]
+            self.draw(distinct[lo:hi], codes[own] - lo, begins[own], state[own], chosen)
+
+        at = np.flatnonzero(chosen != -1)
+        ids, width = chosen[at], np.ones(len(at), dtype=np.int64)
+        if (spelled := np.flatnonzero(ids < 0)).size:
+            raw = [chr(-2 - c).encode("utf-8", "surrogatepass") for c in ids[spelled].tolist()]
+            width[spelled] = [len(x) for x in raw]
+            ids = np.repeat(ids, width)
+            ids[ids < 0] = self.bytes[np.frombuffer(b"".join(raw), dtype=np.uint8)]
+        upto = np.concatenate([[0], np.cumsum(width)])
+        return ids.astype(np.int32), upto[np.searchsorted(at, text_begins)]
+
+    def draw(self, distinct: list[str], codes: np.ndarray, base: np.ndarray, state: np.ndarray, chosen: np.ndarray) -> None:
+        """Sample units, given by their place among distinct ones, their first character and their text's state, into ``chosen``."""
         points = np.frombuffer("".join(distinct).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
         space, mark = points == 0x20, points == ord(MARK)
         points[space], points[mark] = ord(MARK), 0x20  # a mark in the text is no space: it has no piece
@@ -142,35 +170,19 @@ class PieceSampler:
         low[into[heads]] = np.concatenate([[0.0], total])[heads]
         # A little less than the whole, so that rounding never leads to the next node's pieces.
         spread[into[heads]] = np.diff(np.concatenate([low[into[heads]], total[-1:]])) * (1 - 1e-8)
-        begins = np.concatenate([[0], np.cumsum(length[codes])])
-        text_begins = begins[np.concatenate([[0], np.cumsum(per_text)])]
-        row = scramble(keys.astype(np.int64).view(np.uint64) + STEP * (self.seed + np.uint64(1)))
-        base, node = begins[:-1], (first[1:] + np.arange(len(length)))[codes].astype(np.int32)
-        state = np.repeat(row - STEP * text_begins[:-1].astype(np.uint64), per_text)
+        written = np.where(piece >= 0, piece, -2 - real[start].astype(np.int64)).astype(np.int32)
+        node = (first[1:] + np.arange(len(length)))[codes].astype(np.int32)
         at = base + length[codes]
-        chosen = np.full(begins[-1], -1, dtype=np.int32)  # by the character at which a piece begins, its edge
         while len(node):
             drawn = scramble(state + STEP * at.astype(np.uint64))
             u = (drawn >> np.uint64(11)).astype(np.float64) * 2.0**-53
             e = np.searchsorted(total, low[node] + u * spread[node], side="right")
             behind = back[e]
             at = base + behind
-            chosen[at] = e
+            chosen[at] = written[e]
             more = np.flatnonzero(behind)
             base, state, at, node = base[more], state[more], at[more], out_of[e[more]]
 
-        at = np.flatnonzero(chosen >= 0)
-        edge = chosen[at]
-        ids, width = piece[edge], np.ones(len(at), dtype=np.int64)
-        if (spelled := np.flatnonzero(ids < 0)).size:
-            codepoints = real[start[edge[spelled]]]
-            raw = [chr(c).encode("utf-8", "surrogatepass") for c in codepoints.tolist()]
-            width[spelled] = [len(x) for x in raw]
-            ids = np.repeat(ids, width)
-            ids[ids < 0] = self.bytes[np.frombuffer(b"".join(raw), dtype=np.uint8)]
-        upto = np.concatenate([[0], np.cumsum(width)])
-        return ids.astype(np.int32), upto[np.searchsorted(at, text_begins)]
-
     def decode(self, ids: list[int]) -> str:
         """The text of the pieces: exactly the one they were sampled from."""
         return b"".join([self.spelled[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
@@ -189,12 +201,11 @@ def encode(docs: DataFrame, path: str | None = None, sharpness: float = 1.0, see
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = PieceSampler(path, sharpness, seed)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            keys = batch.column("doc_id").fill_null(0).to_numpy()
-            for lo, hi in slices([len(t) for t in texts], chars):
-                ids, offsets = sampler.sample(keys[lo:hi], texts[lo:hi])
-                flat = ids.tolist()
-                same = [sampler.decode(flat[a:b]) == t for t, a, b in zip(texts[lo:hi], offsets, offsets[1:])]
+            given, keys = batch.column("text"), batch.column("doc_id").fill_null(0).to_numpy()
+            for lo, hi in slices(lengths(given), chars):
+                texts = given.slice(lo, hi - lo).to_pylist()
+                ids, offsets = sampler.sample(keys[lo:hi], texts)
+                same = [sampler.decode(ids[a:b].tolist()) == t for t, a, b in zip(texts, offsets, offsets[1:])]
                 listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 counts = pa.array(np.diff(offsets), pa.int32())
                 columns = [batch.column("doc_id").slice(lo, hi - lo), listed, counts, pa.array(same, pa.bool_())]

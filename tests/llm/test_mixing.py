@@ -98,3 +98,17 @@ def test_mix_is_sorted_by_position(spark):
     assert len(parts) > 1
     flat = [x for k in sorted(parts) for x in parts[k]]
     assert flat == sorted(flat) and len(flat) == docs.count()
+
+
+def test_texts_are_shuffled_once_by_bin(spark):
+    """However the small side of the join turns out: the texts are dealt by bin for their window, and not again for the join."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = mixing.positions(documents(spark), rows_per_bin=16)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert sum("_of" not in x and "_bin" in x for x in dealt) == 1, plan

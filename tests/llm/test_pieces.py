@@ -57,3 +57,22 @@ def test_sharp_weights_approach_the_best_segmentation():
     sharp = pieces.PieceSampler(pieces.model_path(), sharpness=60.0)
     ids, _ = sharp.sample(np.arange(50), ["therefore"] * 50)
     assert len(set(map(tuple, np.split(ids, 50)))) == 1
+
+
+def test_lattices_are_held_block_by_block(sampler, monkeypatch):
+    text = " ".join(f"word{k}x{k * 7919 % 100_003}" for k in range(20_000))
+    held, edges = [], pieces.PieceSampler.edges
+
+    def seen(self, points, ends):
+        held.append(len(points))
+        return edges(self, points, ends)
+
+    monkeypatch.setattr(pieces.PieceSampler, "edges", seen)
+    keys, texts = np.array([5, 6, 7]), [text, *TEXTS[1:3]]
+    ids, offsets = sampler.sample(keys, texts)
+    assert sum(held) > 200_000 and max(held) <= 50_000
+    assert all(sampler.decode(ids[a:b].tolist()) == t for t, a, b in zip(texts, offsets, offsets[1:]))
+    for block in (1, 10**9):
+        monkeypatch.setattr(pieces, "BLOCK", block)
+        some = sampler.sample(keys[1:], texts[1:])[0]
+        assert np.array_equal(some, ids[offsets[1] :])
