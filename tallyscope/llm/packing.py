@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, insort
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, compress, pairwise
 from zlib import crc32
 
 import numpy as np
@@ -22,12 +22,13 @@ from tallyscope.llm.common import slices
 
 #: The public vocabulary, by the installed package's name for it.
 MODEL = "word_bpe_49k.json"
-#: Words and parts of words whose tokens a Python worker keeps, and bytes of text split into words at a time.
-WORDS, BYTES = 300_000, 1_000_000
+#: Parts of words, and other words, whose tokens a Python worker keeps besides those of its texts at hand, and bytes of text split into words at a time.
+KEPT, BYTES = 300_000, 8_000_000
 #: Words of these letters, digits and signs are in normal form and have plain lower cases; all others go through the library.
 PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]+")
-#: The vocabulary's own rule by which a plain word falls into parts.
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-zß-öø-ſ0-9]+")
+#: The kind of each byte of plain words in lower case, line breaks between them. All bytes beyond ASCII are of letters.
+LETTER, SIGN, DIGIT, BREAK = range(4)
+KINDS = np.array([LETTER if chr(b).islower() or b >= 0x80 else DIGIT if chr(b).isdigit() else BREAK if b == 0x0A else SIGN for b in range(256)], dtype=np.uint8)
 #: Blanks, after any of which a word begins.
 BLANKS = (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")
 
@@ -57,11 +58,63 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(0x100 + k) for k, b in enumerate(others)}
 
 
+def plain(word: str) -> bool:
+    """Whether a word's tokens are those of its parts; a sign such as ``<|endoftext|>`` has a token of its own."""
+    return "<|" not in word and ((word.isascii() and word.isprintable()) or PLAIN.fullmatch(word) is not None)
+
+
+def split_parts(lines: bytes) -> tuple[pa.Array, np.ndarray]:
+    """The parts of plain words in lower case, every word ended by a line break, and which of these parts are line breaks.
+
+    This is the vocabulary's rule ``'s|'t|'re|'ve|'m|'ll|'d|letters|digit|signs``: a part ends where the kind changes, a digit
+    is a part alone, and an apostrophe that begins a part takes one of these endings with it.
+    """
+    text = np.frombuffer(lines, np.uint8)
+    kind = KINDS[text]
+    begins = np.ones(len(text), dtype=bool)
+    begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] >= DIGIT)
+    marks = np.flatnonzero(begins & (text == ord("'")))  # a line break comes after each
+    first, second = text[marks + 1], text[np.minimum(marks + 2, len(text) - 1)]
+    of_two = (np.isin(first, list(b"rv")) & (second == ord("e"))) | ((first == ord("l")) & (second == ord("l")))
+    for ending, size in ((np.isin(first, list(b"stmd")), 1), (of_two, 2)):
+        begins[marks[ending] + 1] = False
+        begins[marks[ending] + 1 + size] = True
+    at = np.flatnonzero(begins)
+    offsets = np.append(at, len(text)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(lines)]), np.flatnonzero(kind[at] == BREAK)
+
+
+def strings_of(distinct: pa.Array, between: str) -> list[str]:
+    """An Arrow array of bytes as strings; none of them holds ``between``."""
+    joined = pc.binary_join(pa.ListArray.from_arrays([0, len(distinct)], distinct), between.encode())[0]
+    return joined.as_py().decode("utf-8", "replace").split(between)
+
+
+class Kept(dict):
+    """Ids by part or word, worked out once. Where they are too many, only those asked for last stay."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self[key] = self.find(key)
+        return ids
+
+    def of(self, keys: list[str]) -> pa.Array:
+        ids = list(map(self.__getitem__, keys))
+        if len(self) > KEPT:
+            self.clear()
+            self.update(zip(keys, ids))
+        return pa.array(ids, pa.large_binary())
+
+
 class WordTokens:
-    """Token ids of words, as little-endian unsigned 32-bit numbers, worked out once per distinct word and part of a word.
+    """Token ids of words, as little-endian unsigned 32-bit numbers, worked out once per distinct word of the texts at hand.
 
-    The vocabulary's rules drop white space and let no token cross it, so a text's tokens are those of its words. A word's
-    parts, by the vocabulary's rule for splitting, are given to its merges one by one.
+    The vocabulary's rules drop white space and let no token cross it, so a text's tokens are those of its words. Plain words
+    are taken apart together; each distinct part, by the vocabulary's rule for splitting, is given to its merges by itself.
+    Ids of parts and of all other words are kept from one call to the next.
     """
 
     def __init__(self, path: str):
@@ -72,30 +125,54 @@ class WordTokens:
         letters = byte_letters()
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.written = [letters[b] for b in range(256)]
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts, self.others = Kept(self.of_part), Kept(self.of_other)
 
     def of_part(self, part: str) -> bytes:
+        if part == "\n":
+            return b""
         written = part if part.isascii() else "".join([self.written[b] for b in part.encode()])
-        ids = self.parts[part] = b"".join([self.id_bytes[t.id] for t in self.model.tokenize(written)])
-        return ids
+        return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(written)])
+
+    def of_other(self, word: str) -> bytes:
+        return b"".join([self.id_bytes[i] for i in self.tokenizer.encode(word, add_special_tokens=False).ids])
+
+    def of_plain_words(self, words: list[str]) -> pa.Array:
+        parts, breaks = split_parts("\n".join([*words, ""]).lower().encode())
+        parts = parts.dictionary_encode()
+        ids = self.parts.of(strings_of(parts.dictionary, " ")).take(parts.indices)
+        ends = np.append(0, np.cumsum(pc.binary_length(ids))[breaks])
+        return pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(ends), ids.buffers()[2]])
+
+    def of_words(self, words: list[str]) -> pa.Array:
+        """Ids of words without white space in them."""
+        are_plain = np.fromiter(map(plain, words), dtype=bool, count=len(words))
+        if are_plain.all():
+            return self.of_plain_words(words)
+        first, then = list(compress(words, are_plain)), list(compress(words, ~are_plain))
+        ids = [self.of_plain_words(first)] if first else []
+        place = np.where(are_plain, np.cumsum(are_plain), len(first) + np.cumsum(~are_plain)) - 1
+        return pa.concat_arrays([*ids, self.others.of(then)]).take(pa.array(place))
 
     def of_word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if "<|" not in text and PLAIN.fullmatch(text):
-            known = self.parts.get
-            return b"".join([known(part) or self.of_part(part) for part in PARTS.findall(text.lower())])
-        return b"".join([self.id_bytes[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+        return self.of_words([word.decode("utf-8", "replace")])[0].as_py()
+
+    def of_lists(self, texts: pa.ListArray) -> list[bytes]:
+        """Ids of texts that are given as lists of words."""
+        words = texts.flatten().view(pa.binary()).dictionary_encode()
+        if not len(words):
+            return [b""] * len(texts)
+        ids = self.of_words(strings_of(words.dictionary, "\n")).take(words.indices)
+        joined = memoryview(ids.buffers()[2] or b"")
+        ends = np.append(0, np.cumsum(pc.binary_length(ids)))[texts.offsets].tolist()
+        return [bytes(joined[lo:hi]) for lo, hi in pairwise(ends)]
 
     def encode(self, texts: list[list[bytes]]) -> list[bytes]:
         """Ids of texts that are given as words."""
-        if len(self.words) > WORDS:
-            self.words.clear()
-        if len(self.parts) > WORDS:
-            self.parts.clear()
-        for word in set(chain.from_iterable(texts)).difference(self.words):
-            self.words[word] = self.of_word(word)
-        return [b"".join(map(self.words.__getitem__, words)) for words in texts]
+        return self.of_lists(pa.array(texts, pa.list_(pa.binary())))
+
+    def encode_texts(self, texts: pa.Array) -> list[bytes]:
+        """Ids of texts that are given whole, in UTF-8; Arrow splits at the same white space as Python splits bytes."""
+        return self.of_lists(pc.ascii_split_whitespace(texts.cast(pa.binary()).view(pa.string())))
 
 
 @cache
@@ -147,8 +224,7 @@ def tokenized(docs: DataFrame, capacity: int, path: str, end: int) -> DataFrame:
                     ids = (tokens.encode([some.split()])[0] for some in parts_of(texts[lo].as_py(), BYTES))
                     rows.extend(pieces(keys[lo], chain(ids, [last])))
                 else:
-                    own = tokens.encode([text.split() for text in texts.slice(lo, hi - lo).to_pylist()])
-                    for key, ids in zip(keys[lo:hi], own):
+                    for key, ids in zip(keys[lo:hi], tokens.encode_texts(texts.slice(lo, hi - lo))):
                         rows.extend(pieces(key, (ids + last,)))
             if rows:
                 yield table(rows)

@@ -1,9 +1,11 @@
 import random
 from bisect import bisect_left, insort
 from collections import defaultdict
+from types import SimpleNamespace
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -89,6 +91,43 @@ def test_words_have_the_library_s_ids():
         assert np.frombuffer(tokens.of_word(word.encode()), "<u4").tolist() == TOKENIZER.encode(word, add_special_tokens=False).ids, word
 
 
+def numbers(ids):
+    return np.frombuffer(ids, "<u4").tolist()
+
+
+def test_words_of_many_texts_have_the_library_s_ids():
+    rng = random.Random(7)
+    letters = [*"''''sstmdrevllL9-.|Aß×÷", *map(chr, range(0xC0, 0x180)), "<|endoftext|>", "中", "e\u0301", "\x7f", "\x1c", "\x85", "\u2028"]
+    blanks = [" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x0c"]
+    texts = ["".join(rng.choice(letters[:22] if k % 2 else letters) if rng.random() < 0.8 else rng.choice(blanks) for _ in range(rng.randint(0, 60))) for k in range(3000)]
+    tokens = packing.WordTokens(packing.model_path())
+    want = [TOKENIZER.encode(text, add_special_tokens=False).ids for text in texts]
+    raw = [text.encode() for text in texts]
+    for kind in (pa.binary(), pa.large_binary()):
+        assert [numbers(ids) for ids in tokens.encode_texts(pa.array(raw, kind))] == want
+    assert [numbers(ids) for ids in tokens.encode([text.split() for text in raw])] == want
+    assert [numbers(ids) for ids in tokens.encode_texts(pa.array([b"x", *raw])[1:])] == want
+    broken = [b"a\xffb \xc3", b"\xe4\xb8", b"", b" ", b"\xc3\x9f's \xf0\x9f\nx"]
+    assert [numbers(ids) for ids in tokens.encode_texts(pa.array(broken))] == [TOKENIZER.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids for text in broken]
+    assert tokens.encode([]) == [] and tokens.encode([[], []]) == [b"", b""] and tokens.encode_texts(pa.array([], pa.binary())) == []
+
+
+def test_frequent_words_stay_known_when_rare_ones_are_forgotten(monkeypatch):
+    for limit in ("WORDS", "KEPT"):
+        monkeypatch.setattr(packing, limit, 500, raising=False)
+    tokens, asked = packing.WordTokens(packing.model_path()), []
+    library, merges = tokens.tokenizer, tokens.model
+    tokens.model = SimpleNamespace(tokenize=lambda part: asked.append(part) or merges.tokenize(part))
+    tokens.tokenizer = SimpleNamespace(encode=lambda word, **how: asked.append(word) or library.encode(word, **how))
+    rng = random.Random(2)
+    rare = ["".join(rng.choices("abcdefgh", k=12)) + rng.choice(["", "λόγος"]) for _ in range(4000)]
+    for k in range(0, 4000, 200):
+        words = ["often", "часто", *rare[k : k + 200], "often"]
+        [ids] = tokens.encode([[word.encode() for word in words]])
+        assert numbers(ids) == TOKENIZER.encode(" ".join(words), add_special_tokens=False).ids
+    assert asked.count("often") == asked.count("часто") == 1
+
+
 def test_plan_is_best_fit_over_counts():
     rng = random.Random(3)
     for capacity in (1, 2, 7, 30, 100):
