@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tallyscope.llm import multi_index as mi
 
@@ -85,3 +87,55 @@ def test_few_and_no_rows(spark):
     same = spark.createDataFrame([(i, [1.0, 2.0, 2.0]) for i in range(120)], "vec_id long, embedding array<double>")
     got = {(r["query_id"], r["rank"]): r["vec_id"] for r in mi.search(same).collect()}
     assert [got[0, k] for k in range(1, 6)] == [1, 2, 3, 4, 5] and [got[50, k] for k in range(1, 6)] == [0, 1, 2, 3, 4] and len(got) == 15
+
+
+def test_the_drawn_vectors_stay_with_the_tasks(spark):
+    """The driver takes 1 MB of results; the vectors drawn have 0.5 MB, and each task could hand on as many."""
+    x = np.random.default_rng(4).normal(size=(6000, 64))
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    conf = spark.sparkContext._jsc.sc().conf()
+    before = conf.get("spark.driver.maxResultSize", "1g")
+    conf.set("spark.driver.maxResultSize", "1m")
+    try:
+        assert len(mi.search(rows, sample=1000).collect()) == 600
+    finally:
+        conf.set("spark.driver.maxResultSize", before)
+
+
+def test_vectors_are_drawn_by_the_hash_of_their_ids(spark):
+    rows = spark.createDataFrame([(str(i).encode(), [i % 3000]) for i in range(9000)], "v binary, ids array<long>")
+    want = {bytes(r["v"]) for r in rows.orderBy(F.xxhash64("ids"), "v").limit(700).collect()}
+    assert {bytes(r["v"]) for r in mi.draw(rows, 700).collect()} == want
+    assert mi.draw(rows.withColumn("ids", F.array(F.lit(7))), 700).count() == 700
+    assert mi.draw(rows, 10_000).count() == 9000
+
+
+def test_entries_in_many_parts_give_the_exact_answer(spark, monkeypatch):
+    monkeypatch.setattr(mi, "PAIRS", 500)
+    rows, x = table(spark)
+    got = {}
+    for r in mi.search(rows, visited=1.0, centroids=8).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert sorted(got) == list(range(0, 900, 50))
+    for q, found in got.items():
+        assert [i for _, i in sorted(found)] == brute(x, q)[0]
+
+
+def test_entries_held_are_searched_exactly():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(5000, 7)).astype(np.float32)
+    x[1000:1800] = x[1000] * 2.0 ** rng.integers(-9, 9, size=(800, 1))  # equal cosines, beyond a block
+    cells = rng.integers(0, 40, size=5000).astype(np.int32)
+    cells[1000:3000] = 7
+    ids = rng.permutation(5000)
+    blocks = [(cells[lo:hi], x[lo:hi], pa.array([[i, i + 9000] for i in ids[lo:hi].tolist()])) for lo, hi in ((0, 1), (1, 3100), (3100, 5000))]
+    y, masks = x[::40].astype(float) * 3, rng.random((125, 40)) < 0.6
+    masks[3], masks[4] = False, np.arange(40) == 39
+    held = mi.Held(blocks, 5)
+    k, e, s = held.search(y, masks)
+    first = held.ids.values.to_numpy()[::2]
+    cosine = y @ x.T.astype(float) / (np.linalg.norm(y, axis=1)[:, None] * np.linalg.norm(x.astype(float), axis=1))
+    for q in range(125):
+        seen = np.flatnonzero(masks[q, cells])
+        want = sorted(seen, key=lambda i: (-round(cosine[q, i], 12), ids[i]))[:6]  # noqa: B023
+        assert [ids[i] for i in want] == [i for _, i in sorted(zip(-np.round(s[k == q], 12), first[e[k == q]], strict=True))]
